@@ -17,34 +17,51 @@ CHART_URL = r"/weekly/(\d{4})W(\d{1,2})"
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
-def _named_entities() -> Column:
-    names = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
-    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+# The names that make up nearly all entities.
+_COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
 
 
-def decode_entities(text: Column) -> Column:
-    """Replace ``&amp;``, ``&#39;`` and the like by their characters; unknown ones stay as they are."""
+def _named(name: Column) -> Column:
+    """Character for an entity name; the long list is searched only for a rare name."""
+    rare = {n[:-1]: value for n, value in html5.items() if n.endswith(";")}
+    found = F.try_element_at(F.from_json(F.lit(json.dumps(rare)), "map<string,string>"), name)
+    for common, character in _COMMON.items():
+        found = F.when(name == common, F.lit(character)).otherwise(found)
+    return found
 
-    def piece(part: Column) -> Column:
-        name = F.regexp_extract(part, _ENTITY, 1)
-        digits = F.when(F.lower(name).startswith("#x"), F.substr(name, F.lit(3))).when(
-            name.startswith("#"), F.hex(F.substr(name, F.lit(2)).try_cast("bigint"))
-        )
-        character = F.when(
-            name.startswith("#"), F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
-        ).otherwise(F.try_element_at(_named_entities(), name))
-        rest = F.substr(part, F.length(name) + 2)
-        return F.coalesce(F.concat(character, rest), F.concat(F.lit("&"), part))
 
-    parts = F.split(text, "&")
-    tail = F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), piece), "")
-    return F.when(text.contains("&"), F.concat(F.element_at(parts, 1), tail)).otherwise(text)
+def _character(piece: Column) -> Column:
+    """Text of one piece that followed an ampersand, with the entity at its start decoded."""
+    name, part = piece["name"], piece["part"]
+    digits = F.when(F.lower(name).startswith("#x"), F.substr(name, F.lit(3))).otherwise(
+        F.hex(F.substr(name, F.lit(2)).try_cast("bigint"))
+    )
+    character = (
+        F.when(name == "", F.lit(None))
+        .when(name.startswith("#"), F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
+        .otherwise(_named(name))
+    )
+    return F.coalesce(F.concat(character, F.substr(part, F.length(name) + 2)), F.concat(F.lit("&"), part))
 
 
-def text_of(markup: Column) -> Column:
-    """Visible text: comments and tags dropped, entities decoded, line feeds removed."""
-    bare = F.regexp_replace(markup, r"(?s)<!--.*?-->|<[^>]*>", "")
-    return F.replace(decode_entities(bare), F.lit("\n"), F.lit(""))
+def decode_entities(texts: Column) -> Column:
+    """Array of texts with ``&amp;``, ``&#39;`` and the like as characters; unknown ones stay as they are.
+
+    Each ``transform`` binds a value that the next one uses several times, so that it is computed once.
+    """
+    named = lambda part: F.struct(part.alias("part"), F.regexp_extract(part, _ENTITY, 1).alias("name"))
+
+    def join(parts: Column) -> Column:
+        tail = F.transform(F.transform(F.slice(parts, F.lit(2), F.size(parts)), named), _character)
+        return F.when(F.size(parts) == 1, parts[0]).otherwise(F.concat(parts[0], F.array_join(tail, "")))
+
+    return F.transform(F.transform(texts, lambda text: F.split(text, "&")), join)
+
+
+def texts_of(markup: Column) -> Column:
+    """Visible text of each element: comments and tags dropped, entities decoded, line feeds removed."""
+    bare = F.transform(markup, lambda element: F.regexp_replace(element, r"(?s)<!--.*?-->|<[^>]*>", ""))
+    return F.transform(decode_entities(bare), lambda text: F.replace(text, F.lit("\n"), F.lit("")))
 
 
 def elements(markup: Column, tag: str) -> Column:
@@ -53,7 +70,7 @@ def elements(markup: Column, tag: str) -> Column:
 
 
 def element_texts(markup: Column, tag: str) -> Column:
-    return F.transform(elements(markup, tag), text_of)
+    return texts_of(elements(markup, tag))
 
 
 def chart_table(page: Column) -> Column:
@@ -62,10 +79,9 @@ def chart_table(page: Column) -> Column:
     return F.regexp_extract(page, rf"(?is){opening}.*?</table\s*>", 0)
 
 
-def visible_cells(row: Column, tag: str) -> Column:
-    """Texts of the cells of a row whose markup does not say hidden."""
-    shown = F.filter(elements(row, tag), lambda cell: ~cell.contains(HIDDEN))
-    return F.transform(shown, text_of)
+def visible(cells: Column) -> Column:
+    """The cells whose markup does not say hidden."""
+    return F.filter(cells, lambda cell: ~cell.contains(HIDDEN))
 
 
 def chart_year(url: Column) -> Column:

@@ -45,24 +45,23 @@ _PLAIN = r"replace(replace(regexp_replace({}, '(?s)<!--.*?-->|<[^>]*>', '', 'g')
 
 
 def chart_pages(spark, folder):
-    """One small chart page per line item, as a chart site would mark it up."""
-    part = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    lines = table(spark, folder, "lineitem").join(part, "l_partkey")
-    year, week = F.year(ship_day()), F.weekofyear(ship_day())
+    """One small chart page per order, as a chart site would mark it up."""
+    day = F.col("o_orderdate").cast("date")
+    year, week = F.year(day), F.weekofyear(day)
     cell = lambda value: F.concat(F.lit("<td>"), value, F.lit("</td>"))
     page = F.concat(
         F.lit('<html><body><table class="other"><tr><th>Release</th></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>'),
         F.lit('<!-- chart --><table class="a-bordered mojo-body-table scroll">\n<tr><th>Rank</th><th class="a-hidden hidden">LW'),
         F.lit("</th><th>Release\n</th><th>Gross</th><th>Theaters</th><th>Weeks</th></tr>\n<tr>"),
-        cell(F.col("l_linenumber").cast("string")),
+        cell(F.col("o_custkey").cast("string")),
         F.lit('<td class="hidden">-</td>'),
-        cell(F.concat(F.lit('<a href="/release/">'), F.col("p_name"), F.lit(" &amp; Co &#39;s\n</a>"))),
-        cell(F.concat(F.lit("$"), F.format_number(F.floor("l_extendedprice"), 0))),
-        cell(F.col("l_quantity").cast("int").cast("string")),
+        cell(F.concat(F.lit('<a href="/release/">'), F.col("o_orderpriority"), F.lit(" &amp; Co &#39;s\n</a>"))),
+        cell(F.concat(F.lit("$"), F.format_number(F.floor("o_totalprice"), 0))),
+        cell(F.col("o_orderkey").cast("string")),
         F.lit("<td>-</td></tr><tr><td>9</td><td>too short</td></tr></table></body></html>"),
     )
     url = F.format_string("https://charts.example.com/weekly/%dW%02d/?ref_=x", year, week)
-    return lines.select("l_orderkey", url.alias("url"), page.alias("html"))
+    return table(spark, folder, "orders").select(url.alias("url"), page.alias("html"))
 
 
 def chart_rows_from_html(spark, folder):
@@ -272,11 +271,11 @@ SELECT page_id, CAST(position AS INTEGER) AS position, {_PLAIN.format("item")} A
     ),
     "chart_rows_from_html": Query(
         chart_rows_from_html,
-        """SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(weekofyear(CAST(l_shipdate AS DATE)) AS INTEGER) AS week,
-       p_name || ' & Co ''s' AS "Release", CAST(l_linenumber AS BIGINT) AS "Rank",
-       '$' || format('{:,}', CAST(floor(l_extendedprice) AS BIGINT)) AS "Gross",
-       CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS "Theaters", '-' AS "Weeks"
-FROM lineitem JOIN part ON p_partkey = l_partkey""",
+        """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(weekofyear(CAST(o_orderdate AS DATE)) AS INTEGER) AS week,
+       o_orderpriority || ' & Co ''s' AS "Release", o_custkey AS "Rank",
+       '$' || format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS "Gross",
+       CAST(o_orderkey AS VARCHAR) AS "Theaters", '-' AS "Weeks"
+FROM orders""",
     ),
     "rerelease_flag": Query(
         rerelease_flag,

@@ -124,18 +124,23 @@ def chart_rows(pages: DataFrame) -> DataFrame:
 
     The first table row gives the headers. Hidden cells are skipped, rows with fewer than three cells left out.
     """
-    rows = html.elements(html.chart_table(F.col("html")), "tr")
-    table = pages.select(
+    tables = pages.select(
         "url",
         html.chart_year(F.col("url")).alias("year"),
         html.chart_week(F.col("url")).alias("week"),
-        html.visible_cells(F.element_at(rows, 1), "th").alias("headers"),
-        F.posexplode(rows).alias("position", "row"),
-    ).where("position > 0")
-    cells = table.withColumn("texts", html.visible_cells(F.col("row"), "td")).where(F.size("texts") >= 3)
-    # a row without a text for some header has null there
-    padded = F.transform("headers", lambda name, i: F.struct(name, F.get("texts", i)))
-    return cells.select("url", "year", "week", "position", F.map_from_entries(padded).alias("cells"))
+        html.elements(html.chart_table(F.col("html")), "tr").alias("rows"),
+    )
+    # the headers are taken before the rows are spread, so that they are read once per page
+    headers = html.texts_of(html.visible(html.elements(F.element_at("rows", 1), "th")))
+    spread = tables.where(F.size("rows") > 1).withColumn("headers", headers)
+    row = lambda markup, i: F.struct(
+        i.alias("position"), html.visible(html.elements(markup, "td")).alias("shown")
+    )
+    kept = F.filter(F.transform("rows", row), lambda r: (r["position"] > 0) & (F.size(r["shown"]) >= 3))
+    rows = spread.select("url", "year", "week", "headers", F.inline(kept))
+    # a row without a text for some header has null there, texts beyond the headers are left out
+    texts = F.slice(html.texts_of(F.col("shown")), F.lit(1), F.size("headers"))
+    return rows.select("url", "year", "week", "position", F.map_from_entries(F.arrays_zip("headers", texts)).alias("cells"))
 
 
 def weekly_chart(pages: DataFrame) -> DataFrame:
