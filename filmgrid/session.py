@@ -31,17 +31,15 @@ def work_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediates.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session, as in tests, may fall back to a folder
-    on the machine, and that choice is then kept for the session.
+    on the machine, and only where nothing is set.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured and spark.sparkContext.master.startswith("local"):
-        configured = tempfile.mkdtemp(prefix="filmgrid-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if not configured:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="filmgrid-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return configured
+    return folder
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
