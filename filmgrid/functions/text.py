@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that count as white space, and those that do not count as part of a word.
-SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
-NON_WORD = r"[^\p{L}\p{N}_]+"
+#: all white space, in any script; none of it lies beyond U+3000
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+# Fixed value: characters that are no part of a word, that is neither letter nor number nor underscore. The ASCII class
+# comes first because it settles most characters at once.
+NON_WORD = r"[\W&&[^\p{L}\p{N}]]+"
 # Fixed value: how a chart marks a film that is back in cinemas.
 RERELEASE = r"(?:.+\d{4}\sRe-release)|(?:.+\d{2}th\sAnniversary)|(?:.+4K\sRestoration)"
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of any kind at both ends (``trim`` knows only the blank)."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    """Remove white space of any kind at both ends (plain ``trim`` knows only the blank)."""
+    return F.btrim(text, F.lit(SPACES))
 
 
 def normalise_title(title: Column) -> Column:

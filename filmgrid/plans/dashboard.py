@@ -48,19 +48,18 @@ def genre_money(movies: DataFrame, weekly: DataFrame, measure: str = "revenue")
     """
     if measure not in ("revenue", "profit"):
         raise ValueError(f"unknown measure {measure}")
-    rows = _genre_weeks(with_profit(movies), weekly, F.col(measure), measure)
-    total = F.coalesce(F.sum(F.col(measure).cast("decimal(24,4)")), F.lit(0)).cast("double")
+    # decimals make the sums independent of their order; the cast is done once per film
+    rows = _genre_weeks(with_profit(movies), weekly, F.col(measure).cast("decimal(24,4)"), measure)
+    total = F.coalesce(F.sum(measure), F.lit(0)).cast("double")
     return rows.where("genres IS NOT NULL").groupBy("genres", "week_end_date").agg(total.alias(measure))
 
 
 def genre_popularity(movies: DataFrame, weekly: DataFrame, metric: str = "tmdb_popularity") -> DataFrame:
     """Popularity or vote average (rounded mean) or vote count (sum) by genre and week."""
-    rows = _genre_weeks(movies, weekly, F.col(metric), metric).where("genres IS NOT NULL")
-    if metric == "tmdb_vote_count":
-        value = F.sum(metric)
-    else:
-        mean = F.avg(F.col(metric).cast("decimal(24,6)"))
-        value = numbers.round_half_even(mean).cast("bigint")
+    counted = metric == "tmdb_vote_count"
+    exact = F.col(metric) if counted else F.col(metric).cast("decimal(24,6)")
+    rows = _genre_weeks(movies, weekly, exact, metric).where("genres IS NOT NULL")
+    value = F.sum(metric) if counted else numbers.round_half_even(F.avg(metric)).cast("bigint")
     return rows.groupBy("genres", "week_end_date").agg(value.alias(metric))
 
 

@@ -1,6 +1,7 @@
 """Film-shaped views over the test tables, as DataFrames and as SQL common table expressions.
 
-Money is summed as decimals on both sides, so that the order of summation cannot show in the result.
+Money is summed exactly on both sides, as whole cents here and as decimals in SQL, so that the order of summation cannot
+show in the result.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def money(column: str) -> Column:
-    return F.col(column).cast("decimal(12,2)")
+def cents(column: str) -> Column:
+    return F.round(F.col(column) * 100).cast("bigint")
 
 
 def ship_day() -> Column:
@@ -29,7 +30,7 @@ def ship_day() -> Column:
 def film_columns() -> dict[str, Column]:
     """Columns of a film that come from its own row of ``part``."""
     key, size = F.col("p_partkey"), F.col("p_size")
-    budget = F.when(size % 5 == 0, F.lit(0.0)).otherwise((money("p_retailprice") * size).cast("double"))
+    budget = F.when(size % 5 == 0, F.lit(0.0)).otherwise(cents("p_retailprice") * size / 100)
     return {
         "movie_id": key,
         "title": F.col("p_name"),
@@ -53,7 +54,7 @@ def movies(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem")
         .groupBy("l_partkey")
         .agg(
-            F.sum(money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("double").alias("revenue"),
+            (F.sum(cents("l_extendedprice") * (100 - cents("l_discount"))) / 10000).alias("revenue"),
             F.min("l_suppkey").alias("cast1_id"),
             F.max("l_suppkey").alias("cast2_id"),
             F.count("*").alias("tmdb_vote_count"),
@@ -89,12 +90,12 @@ v_movie AS (
 
 def weekly(spark: SparkSession, folder: str) -> DataFrame:
     """Sales per part and chart week (closed by a Thursday)."""
-    lines = table(spark, folder, "lineitem")
+    lines = table(spark, folder, "lineitem").withColumn("cents", cents("l_extendedprice"))
     return (
         lines.groupBy(F.col("l_partkey").alias("movie_id"), dates.week_ending_on(ship_day(), 5).alias("week_end_date"))
         .agg(
             F.min("l_linenumber").cast("bigint").alias("rank"),
-            F.floor(F.sum(money("l_extendedprice"))).cast("bigint").alias("domestic_gross"),
+            F.expr("sum(cents) div 100").alias("domestic_gross"),
             F.sum(F.col("l_quantity").cast("bigint")).alias("domestic_theaters_count"),
         )
     )
