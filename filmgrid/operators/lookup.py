@@ -39,10 +39,11 @@ def find_values(
     return df.join(found, F.col(column) == F.col("_name"), "left").drop("_name")
 
 
-def distinct_ids(df: DataFrame, columns: Sequence[str], output: str) -> DataFrame:
+def distinct_ids(df: DataFrame, columns: Sequence[str], output: str, ordered: bool = False) -> DataFrame:
     """All different non-null ids found in several columns, in one scan."""
     ids = df.select(F.explode(F.array(*[F.col(c).cast("bigint") for c in columns])).alias(output))
-    return ids.where(F.col(output).isNotNull()).distinct()
+    ids = ids.where(F.col(output).isNotNull()).distinct()
+    return ids.orderBy(output) if ordered else ids
 
 
 def ids_missing_from(ids: DataFrame, known: DataFrame, column: str) -> DataFrame:

@@ -183,6 +183,11 @@ def weekly_performance(raw: DataFrame, movies: DataFrame, **calendar_options) ->
     return resolve.resolve_chart(chart, titled_films(movies)).select(*columns)
 
 
+def in_chart_order(performance: DataFrame) -> DataFrame:
+    """By week and rank. Files written in this order can be skipped by week."""
+    return performance.orderBy("week_end_date", "rank", "movie_id")
+
+
 def latest_chart(initial: DataFrame, updates: DataFrame) -> DataFrame:
     """All chart rows, the newest file's for every (year, week, film title).
 

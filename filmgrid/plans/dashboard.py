@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from filmgrid.functions import dates, nested, numbers, text
 from filmgrid.operators import competitors as matching
 from filmgrid.operators import distribution, reshape
+from filmgrid.session import written
 
 # Department of the people table behind each role, and the count columns of trailers.
 DEPARTMENTS = {"director_id": "Directing", "producer_id": "Production"}
@@ -204,12 +205,17 @@ def roi_trimmed(movies: DataFrame, low: float = 0.01, high: float = 0.99) -> Dat
     return distribution.trim(film_roi(movies), "ROI", low, high)
 
 
+def roi_values(movies: DataFrame) -> DataFrame:
+    """All ROI values, written out once for the passes that trimming, histogram and density take over them."""
+    return written(film_roi(movies).select("ROI").where("ROI IS NOT NULL"), "roi")
+
+
 def roi_histogram(movies: DataFrame, max_bins: int = 50) -> DataFrame:
-    return distribution.histogram(roi_trimmed(movies), "ROI", max_bins)
+    return distribution.histogram(distribution.trim(roi_values(movies), "ROI"), "ROI", max_bins)
 
 
 def roi_density(movies: DataFrame, steps: int = 100) -> DataFrame:
-    return distribution.density(roi_trimmed(movies).select("ROI"), "ROI", steps)
+    return distribution.density(distribution.trim(roi_values(movies), "ROI"), "ROI", steps)
 
 
 def engagement(
@@ -230,15 +236,18 @@ def top_films(movies: DataFrame, n: int = 5) -> DataFrame:
     }
     best = movies.orderBy(F.col("revenue").desc_nulls_last(), "movie_id").limit(n)
     shown = best.select(*[F.col(c).alias(name) for c, name in columns.items()], text.join_list(F.col("genres")).alias("Genres"))
-    measures = list(columns.values())[1:]
-    marks = shown.agg(
-        *[F.max(m).alias(f"{m} max") for m in measures], *[F.min(m).alias(f"{m} min") for m in measures]
-    )
-    # both sides hold at most n rows, the marks just one
-    marked = shown.join(F.broadcast(marks))
-    flags = [(F.col(m) == F.col(f"{m} max")).alias(f"{m} is best") for m in measures]
-    flags += [(F.col(m) == F.col(f"{m} min")).alias(f"{m} is worst") for m in measures]
-    return marked.select(*shown.columns, *flags)
+    # the list holds n rows at most, so that marking them needs no second look at the films
+    films = shown.agg(F.collect_list(F.struct(*shown.columns)).alias("films"))
+
+    def marked(film: Column) -> Column:
+        flags = []
+        for mark, extreme in (("best", F.array_max), ("worst", F.array_min)):
+            for measure in list(columns.values())[1:]:
+                flag = film[measure] == extreme(F.col("films")[measure])
+                flags.append(flag.alias(f"{measure} is {mark}"))
+        return F.struct(*[film[c].alias(c) for c in shown.columns], *flags)
+
+    return films.select(F.inline(F.transform("films", marked)))
 
 
 def competitors(movies: DataFrame, planned: DataFrame) -> DataFrame:

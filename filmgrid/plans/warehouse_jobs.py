@@ -43,7 +43,7 @@ def initialise(
     stats = cleaning.clean_video_stats(cleaning.video_details(films), _statistics(spark, landing, None, None))
     warehouse.load("video_stats", stats, run_time, "truncate")
     weekly = cleaning.weekly_performance(charts, warehouse.read("movie"), **calendar_options)
-    warehouse.load("weekly_domestic_performance", weekly, run_time, "truncate")
+    warehouse.load("weekly_domestic_performance", cleaning.in_chart_order(weekly), run_time, "truncate")
 
 
 def update_windows(spark: SparkSession, run_date: date) -> dict[str, object]:
@@ -108,4 +108,4 @@ def weekly_update(
         updates = readers.with_file_order(readers.read_csv(spark, update_path, schemas.WEEKLY_CHART))
     chart = cleaning.latest_chart(initial, updates)
     weekly = cleaning.weekly_performance(chart, warehouse.read("movie"), **calendar_options)
-    warehouse.load("weekly_domestic_performance", weekly, run_time, "truncate")
+    warehouse.load("weekly_domestic_performance", cleaning.in_chart_order(weekly), run_time, "truncate")

@@ -21,7 +21,7 @@ def new_people_ids(movies: DataFrame, people: DataFrame) -> DataFrame:
 
 
 def known_people_ids(people: DataFrame) -> DataFrame:
-    return lookup.distinct_ids(people, ["people_id"], "people_id")
+    return lookup.distinct_ids(people, ["people_id"], "people_id", ordered=True)
 
 
 def collection_ids(raw_films: DataFrame) -> DataFrame:

@@ -5,18 +5,35 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "filmgrid", master: str | None = None, cores: int | None = None) -> SparkSession:
-    """A session with adaptive execution on. On a cluster, pass neither ``master`` nor ``cores``."""
+#: adaptive execution merges shuffle partitions up to about this size, and splits skewed ones down to it
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def build_session(
+    app: str = "filmgrid",
+    master: str | None = None,
+    cores: int | None = None,
+    largest_shuffle_bytes: int | None = None,
+) -> SparkSession:
+    """A session with adaptive execution on.
+
+    ``master`` and ``cores`` are for local runs. On a cluster give ``largest_shuffle_bytes``, a guess at what the
+    largest shuffle moves: shuffles then start with that many partitions of 128 MB, and adaptive execution merges those
+    that turn out small.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(PARTITION_BYTES))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # recording the Python call site of every column expression takes longer than planning small queries
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.driver.host", "127.0.0.1")
@@ -24,6 +41,9 @@ def build_session(app: str = "filmgrid", master: str | None = None, cores: int |
         builder = builder.config("spark.sql.shuffle.partitions", str(cores)).config(
             "spark.default.parallelism", str(cores)
         )
+    if largest_shuffle_bytes:
+        partitions = max(200, -(-largest_shuffle_bytes // PARTITION_BYTES))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return builder.getOrCreate()
 
 
@@ -45,3 +65,13 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For frames that several passes go over: what computed them runs once, and lost executors cost a re-read only.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -10,8 +10,8 @@ FOLDER = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
 WRITERS = {"warehouse_upsert", "warehouse_append", "csv_round_trip", "ndjson_round_trip", "incremental_upsert"}
 MODELS = {"lr_predict", "rf_predict", "forecast_predict"}
-# one-row sides only, see operators.distribution and dashboard.top_films
-ONE_ROW_JOINS = {"roi_histogram", "roi_density", "top5_films"}
+# one-row sides only, see operators.distribution
+ONE_ROW_JOINS = {"roi_histogram", "roi_density"}
 
 
 def plan(df):
@@ -45,3 +45,8 @@ def test_resolution_reads_the_chart_once(spark):
 def test_small_batch_leaves_the_target_in_place(spark):
     text = plan(QUERIES["upsert_orders"](spark, FOLDER))
     assert "SortMergeJoin" not in text
+
+
+def test_top_films_reads_the_films_once(spark):
+    text = plan(QUERIES["top5_films"](spark, FOLDER))
+    assert text.count("lineitem.parquet") == 1 and "TakeOrderedAndProject" in text
