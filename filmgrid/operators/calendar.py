@@ -62,20 +62,25 @@ def _up_to(year: Column, first: Column, last: Column) -> Column:
     )
 
 
+def _last_closed(year: Column, run_date: Column) -> Column:
+    """Last week of a year that has its data when the run starts."""
+    current = F.year(run_date)
+    return (
+        F.when(year < current, F.lit(WEEKS_PER_YEAR))
+        .when(year == current, dates.iso_week(run_date) - 2)
+        .otherwise(F.lit(0))
+    )
+
+
 def weeks_to_reload(year: Column, run_date: Column) -> Column:
-    """Past year: weeks 49 to 52. Running year: from five to two weeks before the run."""
-    now = dates.iso_week(run_date)
-    past = year < F.year(run_date)
-    first = F.when(past, F.lit(49)).otherwise(F.greatest(F.lit(1), now - 5))
-    last = F.when(past, F.lit(WEEKS_PER_YEAR)).otherwise(F.least(F.lit(WEEKS_PER_YEAR), now - 2))
-    return _up_to(year, first, last)
+    """Past year: weeks 49 to 52. Running year: from five to two weeks before the run. Later years: none."""
+    first = F.when(year < F.year(run_date), F.lit(49)).otherwise(F.greatest(F.lit(1), dates.iso_week(run_date) - 5))
+    return _up_to(year, first, _last_closed(year, run_date))
 
 
 def weeks_to_load(year: Column, run_date: Column) -> Column:
-    """All weeks of a past year; in the running year those up to two weeks before the run."""
-    past = year < F.year(run_date)
-    last = F.when(past, F.lit(WEEKS_PER_YEAR)).otherwise(dates.iso_week(run_date) - 2)
-    return _up_to(year, F.lit(1), last)
+    """All weeks of a past year; in the running year those up to two weeks before the run. Later years: none."""
+    return _up_to(year, F.lit(1), _last_closed(year, run_date))
 
 
 def check_batch(year: Column, week: Column, run_date: Column) -> Column:

@@ -363,7 +363,7 @@ SELECT o_orderkey, CASE WHEN n < 1 THEN y - 1 ELSE y END AS year, CASE WHEN n <
         + """, b AS (SELECT o_orderkey, y - CAST(o_orderkey % 2 AS INTEGER) AS year,
                  CASE WHEN o_orderkey % 2 = 1 THEN 49 ELSE greatest(1, w - 5) END AS f,
                  CASE WHEN o_orderkey % 2 = 1 THEN 52 ELSE least(52, w - 2) END AS t FROM o)
-SELECT o_orderkey, CAST(year AS BIGINT) AS year, CAST(unnest(range(f, t + 1)) AS INTEGER) AS week FROM b""",
+SELECT o_orderkey, CAST(year AS INTEGER) AS year, CAST(unnest(range(f, t + 1)) AS INTEGER) AS week FROM b""",
     ),
     "weeks_to_load": Query(weeks_to_load, WEEKS + "SELECT o_orderkey, CAST(greatest(0, w - 2) AS INTEGER) AS n FROM o"),
     "batch_validity": Query(

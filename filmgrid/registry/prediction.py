@@ -18,16 +18,17 @@ from filmgrid.registry.views import (
     table,
     video_stats,
 )
+from filmgrid.session import written
 
 
 def lr_predict(spark, folder):
-    features = prediction.identity_features(movies(spark, folder)).persist()
+    features = written(prediction.identity_features(movies(spark, folder)), "training")
     model = prediction.train_linear(features)
     return prediction.predict(model, features).select("movie_id", "label", "predicted_revenue")
 
 
 def rf_predict(spark, folder):
-    features = prediction.identity_features(movies(spark, folder)).persist()
+    features = written(prediction.identity_features(movies(spark, folder)), "training")
     model = prediction.train_forest(features)
     return prediction.predict(model, features).select("movie_id", "label", "predicted_revenue")
 
@@ -43,7 +44,7 @@ def forecast_features(spark, folder):
 
 
 def forecast_predict(spark, folder):
-    features = _forecast(spark, folder).persist()
+    features = written(_forecast(spark, folder), "training")
     model = prediction.train_forecast(features)
     scored = prediction.with_interval(prediction.predict(model, features))
     return scored.select("movie_id", "label", "predicted_revenue", "lower_bound", "upper_bound")
@@ -90,7 +91,7 @@ SELECT p_partkey AS form_id, CAST(p_size * 1000 AS DOUBLE) AS budget, CAST(day A
        CAST(p_size + 60 AS DOUBLE) AS runtime, CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END AS is_adult,
        CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END AS is_adaptation, CAST(p_size AS BIGINT) AS view_count,
        a.pop AS cast1_popularity, b.pop AS cast2_popularity, d.pop AS director_popularity, p.pop AS producer_popularity,
-       n_regionkey * 1.5 AS avg_popularity_before_2020, CAST(year(day) AS INTEGER) AS release_year,
+       CAST(n_regionkey * 1.5 AS DOUBLE) AS avg_popularity_before_2020, CAST(year(day) AS INTEGER) AS release_year,
        CAST(month(day) AS INTEGER) AS release_month, CAST(dayofyear(day) AS INTEGER) AS release_day
 FROM f LEFT JOIN n a ON a.name = 'Supplier' || p_partkey % 7
 LEFT JOIN n b ON b.name = 'Supplier' || (p_partkey % 1000 + 100000)

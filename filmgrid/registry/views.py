@@ -146,7 +146,7 @@ def collections(spark: SparkSession, folder: str) -> DataFrame:
 
 COLLECTIONS = """
 v_collection AS (
-  SELECT CAST(n_nationkey AS BIGINT) AS collection_id, n_name AS name, n_regionkey * 1.5 AS avg_popularity_before_2020
+  SELECT CAST(n_nationkey AS BIGINT) AS collection_id, n_name AS name, CAST(n_regionkey * 1.5 AS DOUBLE) AS avg_popularity_before_2020
   FROM nation)
 """
 

@@ -36,7 +36,10 @@ def build_session(
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
-        builder = builder.master(master).config("spark.driver.host", "127.0.0.1")
+        # a local session has one process for everything, and the default of 1 GB spills early
+        builder = (
+            builder.master(master).config("spark.driver.host", "127.0.0.1").config("spark.driver.memory", "8g")
+        )
     if cores:
         builder = builder.config("spark.sql.shuffle.partitions", str(cores)).config(
             "spark.default.parallelism", str(cores)

@@ -205,6 +205,8 @@ def test_load_ranges(one):
     assert weeks(one(calendar.weeks_to_load(F.col("y"), run), y=2024)) == list(range(1, 10))
     assert weeks(one(calendar.weeks_to_load(F.col("y"), run), y=2021)) == list(range(1, 53))
     assert weeks(one(calendar.weeks_to_load(F.col("y"), F.lit(date(2024, 1, 3))), y=2024)) == []
+    assert weeks(one(calendar.weeks_to_load(F.col("y"), run), y=2025)) == []
+    assert weeks(one(calendar.weeks_to_reload(F.col("y"), run), y=2025)) == []
 
 
 def test_check_batch(one):
