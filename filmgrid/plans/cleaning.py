@@ -132,6 +132,14 @@ def video_statistics(youtube: DataFrame, vimeo: DataFrame) -> DataFrame:
     return youtube.withColumnsRenamed(YOUTUBE_NAMES).unionByName(vimeo).distinct()
 
 
+def latest_statistics(statistics: DataFrame) -> DataFrame:
+    """One row per video: of refreshed counts the larger ones, which are the later ones; missing counts are 0.
+
+    Taken before the join to the films, it keeps a video that many films share from being paired with each refresh.
+    """
+    return dedup.keep_last(statistics.na.fill(dict.fromkeys(COUNTS, 0.0)), ["video_key_id"], COUNTS)
+
+
 def clean_video_stats(details: DataFrame, statistics: DataFrame) -> DataFrame:
     """Videos that have statistics; missing counts are 0."""
     named = details.select(

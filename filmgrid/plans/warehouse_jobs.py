@@ -85,9 +85,10 @@ def weekly_update(
     warehouse.update("people", cleaning.clean_people_changes(changes), run_time)
 
     details = readers.read_window(spark, landing, "update_raw_movie_details", "ndjson", schemas.FILM_DETAILS, start, end)
-    stats = cleaning.clean_video_stats(cleaning.video_details(details), _statistics(spark, landing, start, end))
-    # refreshed counts give a second row for a video: the larger ones are the later ones
-    stats = dedup.keep_last(stats, ["movie_id", "video_key_id"], cleaning.COUNTS)
+    counts = cleaning.latest_statistics(_statistics(spark, landing, start, end))
+    stats = cleaning.clean_video_stats(cleaning.video_details(details), counts)
+    # a film may list one video under several types
+    stats = dedup.keep_last(stats, ["movie_id", "video_key_id"], ["published_at", "video_type"])
     warehouse.upsert("video_stats", stats, run_time)
 
     if not readers.list_files(spark, landing, "update_raw_collection_data", "json").isEmpty():

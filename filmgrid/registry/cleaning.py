@@ -296,6 +296,18 @@ def film_keyed_stats(spark, folder):
     return cleaning.film_keyed_stats(films, stats)
 
 
+def latest_statistics(spark, folder):
+    """Every event read as a refresh of a user's counts: the largest counts per user."""
+    clicks = F.from_json("props", "k BIGINT")["k"]
+    refreshed = table(spark, folder, "events").select(
+        F.col("user_id").cast("string").alias("video_key_id"),
+        F.when(F.col("event_id") % 5 != 0, F.floor(F.col("value") / 10).cast("double")).alias("view_count"),
+        clicks.cast("double").alias("like_count"),
+        F.col("event_id").cast("double").alias("comment_count"),
+    )
+    return cleaning.latest_statistics(refreshed)
+
+
 # the chart as rows with the raw title, to follow the keep-last step
 RAW_CHART = """
 v_raw AS (
@@ -403,6 +415,15 @@ QUALIFY row_number() OVER (PARTITION BY title_cleaned, day ORDER BY days_diff, m
         latest_by_key,
         """SELECT user_id, event_type, event_id, value, CAST(ts AS DATE) AS day FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+    ),
+    "latest_statistics": Query(
+        latest_statistics,
+        """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS video_key_id,
+  CASE WHEN event_id % 5 <> 0 THEN floor(value / 10) ELSE 0.0 END AS view_count,
+  coalesce(CAST(regexp_extract(props, '"k":\\s*(-?\\d+)', 1) AS DOUBLE), 0) AS like_count,
+  CAST(event_id AS DOUBLE) AS comment_count FROM events)
+SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY video_key_id
+  ORDER BY view_count DESC, like_count DESC, comment_count DESC) = 1""",
     ),
     "film_keyed_stats": Query(
         film_keyed_stats,

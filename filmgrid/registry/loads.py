@@ -15,7 +15,7 @@ from filmgrid.sources import readers, writers
 from filmgrid.sources.warehouse import Warehouse
 from filmgrid.streaming.ingest import ingest_files
 
-RUN_TIME = datetime(2024, 4, 1)
+RUN_TIME = datetime(2024, 4, 1, 12)
 
 ORDERS = schemas.record(
     o_orderkey=schemas.LONG,

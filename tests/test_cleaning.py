@@ -297,3 +297,32 @@ def test_prediction(spark):
     value = prediction.with_interval(prediction.predict(model, row)).first()
     assert value.predicted_revenue is not None and value.lower_bound == 1.0 and value.upper_bound > 10847621
     assert prediction.residual_margin(scored) > 0
+
+
+def test_genre_sums_add_up(spark):
+    """Summed over genres, a film counts once per genre and chart week."""
+    films = [(i, [f"g{j}" for j in range(i % 4)], float(i * 10), float(i % 3)) for i in range(40)]
+    weeks = [(i, date(2024, 1, 4 + 7 * w)) for i in range(40) for w in range(i % 3)]
+    movies = spark.createDataFrame(films, "movie_id long, genres array<string>, revenue double, budget double")
+    weekly = spark.createDataFrame(weeks, "movie_id long, week_end_date date")
+    total = dashboard.genre_money(movies, weekly).agg(F.sum("revenue")).first()[0]
+    assert total == sum(r * len(g) * (i % 3) for i, g, r, b in films if b > 0)
+
+
+def test_latest_statistics(spark):
+    stats = spark.createDataFrame(
+        [("a", None, 5.0, 1.0), ("a", 0.0, 3.0, 9.0), ("b", 7.0, 1.0, None), ("b", 8.0, None, None)], schemas.VIMEO_STATS
+    )
+    found = sorted(tuple(r) for r in cleaning.latest_statistics(stats).collect())
+    assert found == [("a", 0.0, 5.0, 1.0), ("b", 8.0, 0.0, 0.0)]
+
+
+def test_competitors_of_one(spark):
+    movies = spark.createDataFrame(
+        [(1, ["A"], 5.0, 1.0, date(2024, 5, 1)), (2, ["B"], 9.0, 1.0, date(2024, 5, 1)), (3, ["A", "B"], 7.0, 0.0, date(2024, 5, 1)), (4, ["A"], 8.0, 1.0, date(2024, 6, 15))],
+        "movie_id long, genres array<string>, revenue double, budget double, release_date date",
+    )
+    ids = lambda genres: [r.movie_id for r in dashboard.competitors_of_one(movies, "2024-05-01", genres).collect()]
+    assert ids(["A"]) == [1] and ids([]) == [2, 1] and ids(["A", "B"]) == [2, 1]
+    names = dashboard.name_choices(spark.createDataFrame([("C",)], "name string"), ["Others", "None"])
+    assert sorted(r.name for r in names.collect()) == ["C", "None", "Others"]
