@@ -21,10 +21,10 @@ def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds go; the number of characters follows the text."""
     index = line_dedup.LineIndex(spark, fresh_path(spark, "pipeline-lines"))
     index.insert(docs.select("doc_id", "text"))
-    cleaned = index.clean(docs).drop("n_lines", "n_dropped").withColumn("text", F.col("kept")).drop("kept")
+    cleaned = index.clean(docs, counts=False)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return cleaned
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,9 +108,14 @@ class _Runs:
 
     def __init__(self, values: np.ndarray):
         inverse = pow(_BASE, -1, 1 << 64)
-        powers = lambda base: np.cumprod(np.concatenate([[1], np.full(len(values), base)]).astype(np.uint64))
-        self.up = powers(np.uint64(_BASE))
-        sums = np.cumsum(values * powers(np.uint64(inverse))[:-1], dtype=np.uint64)
+
+        def powers(base: int) -> np.ndarray:
+            steps = np.full(len(values) + 1, base, dtype=np.uint64)
+            steps[0] = 1
+            return np.cumprod(steps)
+
+        self.up = powers(_BASE)
+        sums = np.cumsum(values * powers(inverse)[:-1], dtype=np.uint64)
         self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), sums])
 
     def of(self, n: int) -> np.ndarray:

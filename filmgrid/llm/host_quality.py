@@ -20,6 +20,8 @@ WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 #: a host goes if the lower bound of its failure rate (posterior mean less so many deviations) is above the limit
 MAX_FAILURE_RATE, DEVIATIONS = 0.5, 1.645
+#: bounds of the fitted correlation inside a host; prior strength is 1 / correlation - 1 documents, so 10 to 999
+CORRELATION = (0.001, 1 / 11)
 
 
 def repeated_words(word: Column, window: int = WINDOW) -> Column:
@@ -80,7 +82,7 @@ def host_verdicts(hosts: DataFrame) -> DataFrame:
     rate, noise = F.col("k") / F.col("n"), F.col("m") * (1 - F.col("m"))
     excess = F.sum(F.col("n") * (rate - F.col("m")) * (rate - F.col("m"))) - F.sum(noise)
     possible = F.sum(noise * (F.col("n") - 1))
-    fitted = F.least(F.greatest(F.when(possible > 0, excess / possible).otherwise(0.999), F.lit(0.001)), F.lit(0.999))
+    fitted = F.least(F.greatest(F.when(possible > 0, excess / possible).otherwise(CORRELATION[1]), F.lit(CORRELATION[0])), F.lit(CORRELATION[1]))
     strength = with_mean.agg((1 / fitted - 1).alias("c")).scalar()
     alpha = F.col("k") + F.col("c") * F.col("m")
     total = F.col("n") + F.col("c")

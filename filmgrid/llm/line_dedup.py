@@ -146,7 +146,7 @@ def line_keys(docs: DataFrame) -> DataFrame:
 
 
 def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["row", "n_lines", "n_dropped", "kept"]
+    names = ["row", "n_lines", "n_dropped", "left"]
     for batch in batches:
         lines_of, dropped_of, kept_of = [], [], []
         for text, drop in zip(batch.column(1), batch.column(2)):
@@ -316,21 +316,24 @@ class LineIndex:
         marker = self.spark.createDataFrame([(-1, n_shards, 0, b"")], fields)  # a batch that touched no shard is finished, too
         self._write(kept.union(rebuilt).union(marker), "filters", batch)
 
-    def clean(self, docs: DataFrame) -> DataFrame:
-        """The rows ``(doc_id, text, ...)`` with ``n_lines``, ``n_dropped`` and ``kept``, the text that stays.
+    def clean(self, docs: DataFrame, counts: bool = True) -> DataFrame:
+        """The rows ``(doc_id, text, ...)`` with the text that stays and, if ``counts``, ``n_lines`` and ``n_dropped``.
 
         A line goes if its key is held by at least two documents of the index of which another one has the smallest
-        id. Null and empty texts have one empty line, which stays. Rows without an id keep all their lines. Rows that
-        repeat an id are cleaned alike. Columns with the names of the added ones are replaced.
+        id. Null and empty texts have one empty line, which stays, and become empty. Rows without an id keep all their
+        lines. Rows that repeat an id are cleaned alike. Columns that have the names of the counts are replaced by
+        them; without the counts, all columns stay.
         """
         shared = self.counts().where("n_docs > 1").select("key", "first_doc")
         lost = self.holders().join(shared, "key").where("doc_id <> first_doc")
         # one list for each document, as long as its own lines at most
-        drops = lost.groupBy("doc_id").agg(F.collect_list("key").alias("drop"))
-        others = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "kept")]
-        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in others if c != "text"]).alias("row"), F.col("text"), F.col("doc_id"))
-        joined = rows.join(drops, "doc_id", "left").select("row", "text", "drop")
-        schema = StructType([rows.schema["row"]]).add("n_lines", "long").add("n_dropped", "long").add("kept", "string")
+        drops = lost.groupBy("doc_id").agg(F.collect_list("key").alias("drop")).withColumnRenamed("doc_id", "of")
+        added = ["n_lines", "n_dropped"] if counts else []
+        kept = [c for c in docs.columns if c.lower() not in added]
+        others = [F.col(f"`{c}`") for c in kept if c.lower() != "text"]
+        rows = docs.select(F.struct(*others).alias("row"), F.col("text"), F.col("doc_id").alias("id"))
+        joined = rows.join(drops, F.col("id") == F.col("of"), "left").select("row", "text", "drop")
+        schema = StructType([rows.schema["row"]]).add("n_lines", "long").add("n_dropped", "long").add("left", "string")
         cleaned = joined.mapInArrow(_without_lines, schema)
-        return cleaned.select("row.*", "n_lines", "n_dropped", "kept")
-
+        columns = [F.col("left").alias(c) if c.lower() == "text" else F.col(f"row.`{c}`") for c in kept]
+        return cleaned.select(*columns, *added)

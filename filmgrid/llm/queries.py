@@ -72,7 +72,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     index = line_dedup.LineIndex(spark, fresh_path(spark, "line-index"))
     index.insert(docs)
     cleaned = index.clean(docs)
-    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
 QUERIES = {

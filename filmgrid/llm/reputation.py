@@ -20,8 +20,10 @@ from filmgrid.llm.common import lower_ascii
 MAX_BAD_RATE = 0.5
 #: ... with this many standard deviations of the posterior in between (95 % one-sided)
 DEVIATIONS = 1.645
-#: bounds of the fitted correlation inside a group; prior strength is 1 / correlation - 1 pages
-CORRELATION = (0.001, 0.999)
+#: bounds of the fitted correlation inside a group; prior strength is 1 / correlation - 1 pages, so 10 to 999
+CORRELATION = (0.001, 1 / 11)
+#: the rate over all pages is itself shrunk to a half by so many pages
+BASE_PAGES = 10
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -71,7 +73,7 @@ def host_reputation(outcomes: DataFrame, max_bad_rate: float = MAX_BAD_RATE, dev
     domain, suffix = host_levels(F.col("host"))
     hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
     counts = [F.sum("n").alias("n"), F.sum("k").alias("k")]
-    base = hosts.agg(((F.coalesce(F.sum("k"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).alias("m")).scalar()
+    base = hosts.agg(((F.coalesce(F.sum("k"), F.lit(0)) + BASE_PAGES / 2) / (F.coalesce(F.sum("n"), F.lit(0)) + BASE_PAGES)).alias("m")).scalar()
     suffixes = _shrunk(hosts.groupBy("suffix").agg(*counts).withColumn("prior", base))
     domains = hosts.groupBy("suffix", "domain").agg(*counts).join(suffixes.select("suffix", F.col("rate").alias("prior")), "suffix")
     domains = _shrunk(domains)
