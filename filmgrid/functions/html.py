@@ -14,7 +14,7 @@ HIDDEN = "hidden"
 # Fixed value: the shape of a chart page address.
 CHART_URL = r"/weekly/(\d{4})W(\d{1,2})"
 
-_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_ENTITY = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 # The names that make up nearly all entities.
@@ -33,14 +33,14 @@ def _named(name: Column) -> Column:
 def _character(piece: Column) -> Column:
     """Text of one piece that followed an ampersand, with the entity at its start decoded."""
     name, part = piece["name"], piece["part"]
-    digits = F.when(F.lower(name).startswith("#x"), F.substr(name, F.lit(3))).otherwise(
+    digits = F.when(F.lower(name).startswith("#x"), F.ltrim(F.substr(name, F.lit(3)), F.lit("0"))).otherwise(
         F.hex(F.substr(name, F.lit(2)).try_cast("bigint"))
     )
-    character = (
-        F.when(name == "", F.lit(None))
-        .when(name.startswith("#"), F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
-        .otherwise(_named(name))
-    )
+    # numbers too long for a character are cut to what is out of range as well
+    number = F.when(F.length(digits) <= 6, F.conv(F.concat(F.lit("0"), digits), 16, 10).cast("bigint"))
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    decoded = F.decode(F.unhex(F.lpad(F.when(valid, digits).otherwise("FFFD"), 8, "0")), "UTF-32")
+    character = F.when(name == "", F.lit(None)).when(name.startswith("#"), decoded).otherwise(_named(name))
     return F.coalesce(F.concat(character, F.substr(part, F.length(name) + 2)), F.concat(F.lit("&"), part))
 
 

@@ -12,6 +12,8 @@ SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 NON_WORD = r"[\W&&[^\p{L}\p{N}]]+"
 # Fixed value: how a chart marks a film that is back in cinemas.
 RERELEASE = r"(?:.+\d{4}\sRe-release)|(?:.+\d{2}th\sAnniversary)|(?:.+4K\sRestoration)"
+#: a text in single or double quotes; possessive, so that long ones need no backtracking
+QUOTED = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+\""""
 
 
 def strip(text: Column) -> Column:
@@ -87,9 +89,10 @@ def week_label(week: Column) -> Column:
 
 
 def parse_string_list(text: Column) -> Column:
-    """``['a', 'b']`` as an array.
+    """``['a', "b's"]`` as an array; null for anything but a list of quoted texts. Text is never evaluated.
 
-    Read as JSON after swapping the quote character, so an element with a quote inside gives null; text is never
-    evaluated.
+    Quotes are single or double, a backslash keeps the character after it.
     """
-    return F.from_json(F.translate(text, "'", '"'), "array<string>")
+    tokens = F.regexp_extract_all(text, F.lit(QUOTED), F.lit(0))
+    plain = F.transform(tokens, lambda t: F.regexp_replace(F.substr(t, F.lit(2), F.length(t) - 2), r"\\(.)", "$1"))
+    return F.when(F.rlike(text, F.lit(rf"^\s*\[\s*(?:(?:{QUOTED})\s*(?:,\s*|(?=\])))*+\]\s*$")), plain)

@@ -17,6 +17,24 @@ def week_end(year: Column, week: Column) -> Column:
     return F.date_add(dates.first_friday(year), F.lit(6) + (week - 1) * 7)
 
 
+def weeks_in(year: Column) -> Column:
+    """Number of chart weeks that start in a year, 52 or 53: its Fridays."""
+    return F.floor(F.datediff(dates.last_date(year), dates.first_friday(year)) / 7).cast("int") + 1
+
+
+def week_problem(year: Column, week: Column) -> Column:
+    """Why a chart week does not exist; null if it does."""
+    return F.when(year.isNull() | week.isNull(), F.lit("no year or week")).when(
+        (week < 1) | (week > weeks_in(year)), F.lit("no such week in the year")
+    )
+
+
+def week_ends_in(year: Column, week: Column) -> Column:
+    """Array of the ends that a numbered week has in a calendar year, be it a week of that year or of the year before."""
+    ends = F.array(*[F.when(week_problem(y, week).isNull(), week_end(y, week)) for y in (year - 1, year)])
+    return F.filter(ends, lambda end: F.year(end) == year)
+
+
 def weeks_of(years: DataFrame, legacy_year: bool = False) -> DataFrame:
     """``(year, week, week_end_date)`` for each row of a one-column frame of years.
 

@@ -22,30 +22,27 @@ def competitors(planned: DataFrame, films: DataFrame, salts: int = 16) -> DataFr
     ``movie_id, release_date, genres`` and whatever else is to be shown.
 
     Both sides get a date bucket as wide as the window, the planned side also its two neighbours, and a genre, so the
-    match is an equi-join and no row meets a film outside its neighbourhood. A pair with several shared genres is
-    kept only under the first of them, which saves a distinct over the pairs. A popular genre in a busy season would
-    still pile up in one place; the films are therefore spread over ``salts`` parts and the planned rows repeated
-    once for each.
+    match is an equi-join and no row meets a film outside its neighbourhood. Plans for any genre are matched apart, by
+    date alone, so films are not copied for them. A pair with several shared genres is kept only under the first of
+    them, which saves a distinct over the pairs. A popular genre in a busy season would still pile up in one place;
+    the films are therefore spread over ``salts`` parts and the planned rows repeated once for each.
     """
-    any_genre = F.lit("")
     plan = planned.withColumn("plan_genres", F.array_distinct(F.coalesce("plan_genres", F.array().cast("array<string>"))))
     centre = _bucket(F.col("plan_date"))
-    plan = (
-        plan.withColumn(
-            "_genre", F.explode(F.when(F.size("plan_genres") > 0, F.col("plan_genres")).otherwise(F.array(any_genre)))
-        )
-        .withColumn("_bucket", F.explode(F.array(centre - 1, centre, centre + 1)))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    plan = plan.withColumn("_bucket", F.explode(F.array(centre - 1, centre, centre + 1))).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    film_genres = F.array_distinct(F.coalesce("genres", F.array().cast("array<string>")))
     film = (
-        films.withColumn("_film_genres", film_genres)
-        .withColumn("_genre", F.explode(F.concat(F.array(any_genre), "_film_genres")))
+        films.withColumn("_film_genres", F.array_distinct(F.coalesce("genres", F.array().cast("array<string>"))))
         .withColumn("_bucket", _bucket(F.col("release_date")))
         .withColumn("_salt", F.pmod(F.xxhash64("movie_id"), F.lit(salts)).cast("int"))
     )
     in_window = dates.strictly_within(F.col("release_date"), F.col("plan_date"), WINDOW_DAYS)
+    own = ["_bucket", "_salt"]
+    open_to_all = plan.where(F.size("plan_genres") == 0).join(film, own).where(in_window)
+    # explode leaves out plans and films without genres
+    chosen = plan.withColumn("_genre", F.explode("plan_genres"))
     shared = F.try_element_at(F.array_intersect("plan_genres", "_film_genres"), F.lit(1))
-    once = (F.size("plan_genres") == 0) | (shared == F.col("_genre"))
-    pairs = plan.join(film, ["_genre", "_bucket", "_salt"]).where(in_window & once)
-    return pairs.drop("_genre", "_bucket", "_salt", "_film_genres")
+    by_genre = chosen.join(film.withColumn("_genre", F.explode("_film_genres")), ["_genre", *own])
+    by_genre = by_genre.where(in_window & (shared == F.col("_genre")))
+    return by_genre.drop("_genre").unionByName(open_to_all).drop(*own, "_film_genres")

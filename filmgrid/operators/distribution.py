@@ -6,27 +6,19 @@ import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: inputs up to this many values are sorted in one place, larger ones are narrowed down first
-SMALL = 200_000
 _ACCURACY = 10_000
 
 
-def _order_statistics(values: DataFrame, ranks: Sequence[int], n: int, small: int) -> dict[int, float]:
+def _order_statistics(values: DataFrame, ranks: Sequence[int], n: int) -> dict[int, float]:
     """Values at 0-based ranks of a one-column frame ``x`` of ``n`` rows.
 
     Each round asks the quantile sketch for bounds around every rank, counts the rows below, at and between the
     bounds, and goes on with the rows strictly between them. The sketch's error bound makes these a small fraction
     of the rows, whatever the ties, so a few rounds of one-row aggregates suffice.
     """
-    if n <= small:
-        ordered = F.array_sort(F.collect_list("x"))
-        picks = [F.element_at(ordered, F.lit(rank + 1)).alias(f"r{rank}") for rank in ranks]
-        row = values.agg(*picks).first()
-        return {rank: row[f"r{rank}"] for rank in ranks}
-
     margin = 3 / _ACCURACY
     shares = [s for rank in ranks for s in (max(0.0, rank / n - margin), min(1.0, (rank + 1) / n + margin))]
     bounds = values.agg(F.percentile_approx("x", shares, _ACCURACY).alias("b"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
@@ -56,12 +48,12 @@ def _order_statistics(values: DataFrame, ranks: Sequence[int], n: int, small: in
             inner.setdefault((low, high), []).append((rank, rank - below - at_low, inside))
     for (low, high), wanted in inner.items():
         part = values.where((x > low) & (x < high))
-        deeper = _order_statistics(part, sorted({w[1] for w in wanted}), wanted[0][2], small)
+        deeper = _order_statistics(part, sorted({w[1] for w in wanted}), wanted[0][2])
         found.update({rank: deeper[local] for rank, local, _ in wanted})
     return found
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float], small: int = SMALL) -> list[float | None]:
+def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
     """Quantiles with linear interpolation, nulls and NaN left out; ``[None, ...]`` for no values."""
     values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     values = values.persist(StorageLevel.MEMORY_AND_DISK)
@@ -71,7 +63,7 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float], small:
             return [None for _ in shares]
         positions = [share * (n - 1) for share in shares]
         ranks = sorted({r for p in positions for r in (math.floor(p), math.ceil(p))})
-        at = _order_statistics(values, ranks, n, small)
+        at = _order_statistics(values, ranks, n)
     finally:
         values.unpersist()
     result = []
@@ -81,9 +73,9 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float], small:
     return result
 
 
-def trim(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99, small: int = SMALL) -> DataFrame:
+def trim(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Rows between two quantiles of a column, both included."""
-    bottom, top = exact_quantiles(df, column, [low, high], small)
+    bottom, top = exact_quantiles(df, column, [low, high])
     return df.where(F.col(column).between(F.lit(bottom).cast("double"), F.lit(top).cast("double")))
 
 
@@ -106,47 +98,40 @@ def histogram(df: DataFrame, column: str, max_bins: int = 50) -> DataFrame:
         .withColumn("unit", F.when(F.col("span") > 0, unit))
         .select(step.otherwise(F.col("unit") * 10.0).alias("step"))
     )
-    # scale is one row, so this is not a product of two tables
-    bins = values.join(F.broadcast(scale)).select(F.floor(F.col("x") / F.col("step")).alias("bin"), "step")
+    stepped = values.withColumn("step", scale.scalar())
+    bins = stepped.select(F.floor(F.col("x") / F.col("step")).alias("bin"), "step")
     return bins.groupBy("bin", "step").agg(F.count("*").alias("n")).select(
         (F.col("bin") * F.col("step")).alias("bin_start"), ((F.col("bin") + 1) * F.col("step")).alias("bin_end"), "n"
     )
 
 
-def density(df: DataFrame, column: str, steps: int = 100, small: int = SMALL) -> DataFrame:
+def density(df: DataFrame, column: str, steps: int = 100) -> DataFrame:
     """``(x, density)``: Gaussian kernel estimate over all rows on an even grid of ``steps + 1`` points.
 
-    The bandwidth is Scott's rule with the smaller of deviation and scaled quartile range. Every row adds to every
-    grid point; the sums are folded in each task, so only the grid is shuffled.
+    The bandwidth is Scott's rule with the smaller of deviation and scaled quartile range. Equal values are counted
+    first; one aggregate then sums their weights at every grid point, so no row is repeated and the result is exact.
     """
     x = F.col(column).cast("double")
     values = df.select(x.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    q1, q3 = exact_quantiles(values, "v", [0.25, 0.75], small)
+    q1, q3 = exact_quantiles(values, "v", [0.25, 0.75])
     if q1 is None:
         return values.select(F.col("v").alias("x"), F.col("v").alias("density"))
-    spread = (q3 - q1) / 1.34
-    deviation = F.coalesce("deviation", F.lit(0.0))
-    width = (
-        F.when((deviation > 0) & (F.lit(spread) > 0), F.least(deviation, F.lit(spread)))
-        .when(deviation > 0, deviation)
-        .otherwise(F.lit(abs(q1) or 1.0))
-    )
-    stats = (
-        values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n"), F.stddev_samp("v").alias("deviation"))
-        .withColumn("bandwidth", F.lit(1.06) * width * F.pow("n", F.lit(-0.2)))
-    )
-    grid = F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("i")
-    point = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("i") / steps
-    # stats is one row, so this is not a product of two tables
-    spread_rows = values.join(F.broadcast(stats)).select("v", "lo", "hi", "n", "bandwidth", grid)
-    z = (F.col("x") - F.col("v")) / F.col("bandwidth")
-    weight = F.exp(z * z * -0.5) / (F.col("n") * F.col("bandwidth") * math.sqrt(2 * math.pi))
-    return (
-        spread_rows.withColumn("x", point)
-        .groupBy("i", "x")
-        .agg(F.sum(weight).alias("density"))
-        .select("x", "density")
-    )
+    stats = values.agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n"), F.stddev_samp("v").alias("deviation")
+    ).first()
+    spread, deviation = (q3 - q1) / 1.34, stats["deviation"] or 0.0
+    width = min(deviation, spread) if deviation > 0 and spread > 0 else deviation if deviation > 0 else abs(q1) or 1.0
+    bandwidth = 1.06 * width * stats["n"] ** -0.2
+    points = [stats["lo"] + (stats["hi"] - stats["lo"]) * i / steps for i in range(steps + 1)]
+    counted = values.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("m"))
+
+    def height(point: float) -> Column:
+        z = (F.lit(point) - F.col("v")) / bandwidth
+        return F.sum(F.col("m") * F.exp(z * z * -0.5)) / (stats["n"] * bandwidth * math.sqrt(2 * math.pi))
+
+    curve = counted.agg(*[height(p).alias(f"d{i}") for i, p in enumerate(points)])
+    pairs = [F.struct(F.lit(p).alias("x"), F.col(f"d{i}").alias("density")) for i, p in enumerate(points)]
+    return curve.select(F.inline(F.array(*pairs)))
 
 
 def trend(df: DataFrame, x: str, y: str) -> DataFrame:

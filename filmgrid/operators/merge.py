@@ -42,16 +42,20 @@ def _check_columns(target: DataFrame, source: DataFrame) -> None:
         raise ValueError(f"columns missing from the target: {unknown}")
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], newer: Sequence[str] = ()) -> DataFrame:
     """Matched rows take all of the source's columns, nulls included; unmatched source rows are added.
 
     Target columns that the source lacks keep their values, or are null in added rows. Two source rows for one
-    target row are an error. A null key matches nothing.
+    target row are an error. A null key matches nothing. With ``newer``, columns of both sides, a target row is left
+    as it is if the source row comes before it in their order (nulls first).
     """
     _check_columns(target, source)
+    counts = F.col("_copies").isNotNull()
+    if newer:
+        counts = counts & (F.struct(*[F.col(f"_source.{c}") for c in newer]) >= F.struct(*newer))
 
     def replace(c: str):
-        return F.when(F.col("_copies").isNotNull(), F.col(f"_source.{c}")).otherwise(F.col(c))
+        return F.when(counts, F.col(f"_source.{c}")).otherwise(F.col(c))
 
     updated = _matched(target, source, keys, replace)
     known = target.select(*keys).join(source.select(*keys).dropna().distinct(), list(keys), "left_semi")

@@ -4,29 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: parts over which the names of a grid are dealt out
+GRID_PARTS = 64
+
 
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], variable: str, value: str) -> DataFrame:
     """One row per (row, value column)."""
     return df.unpivot(list(ids), list(values), variable, value)
 
 
-def to_wide(df: DataFrame, index: str, names: str, value: str, wanted: Sequence[str] | None = None) -> DataFrame:
-    """One column per name; two values for one cell are an error.
+def _one_value(value: str) -> Column:
+    return F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("two values for one cell"))).otherwise(F.first(value))
+
+
+def to_wide(df: DataFrame, index: str, names: str, value: str, wanted: Sequence[str]) -> DataFrame:
+    """One column per wanted name; two values for one cell are an error.
 
-    Without ``wanted`` Spark looks up the names first and refuses more than ``spark.sql.pivotMaxValues`` of them.
+    The names are given, since as columns they are part of the plan. A long form over all names is ``full_grid``.
     """
-    cell = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("two values for one cell"))).otherwise(F.first(value))
-    grouped = df.groupBy(index)
-    return (grouped.pivot(names, list(wanted)) if wanted is not None else grouped.pivot(names)).agg(cell)
+    return df.groupBy(index).pivot(names, list(wanted)).agg(_one_value(value))
 
 
 def full_grid(df: DataFrame, index: str, names: str, value: str, wanted: Sequence[str] | None = None) -> DataFrame:
-    """Long form with a row for every (index, name), null where there was no value."""
-    wide = to_wide(df, index, names, value, wanted)
-    return to_long(wide, [index], [c for c in wide.columns if c != index], names, value)
+    """Long form with a row for every (index, name), null where there was no value; two values for one are an error.
+
+    Without ``wanted`` the names are those of the frame, any number of them. The grid itself is the output, so it is
+    made where it ends up: names are dealt out over parts, each index goes to every part, and rows of a part meet.
+    """
+    cells = df.groupBy(index, names).agg(_one_value(value).alias(value))
+    indexes = df.select(index).distinct()
+    if wanted is not None:
+        grid = indexes.select(index, F.explode(F.array(*[F.lit(w) for w in wanted])).alias(names))
+    else:
+        part = F.pmod(F.xxhash64(names), F.lit(GRID_PARTS)).cast("int")
+        dealt = df.select(names).distinct().withColumn("_part", part)
+        everywhere = indexes.select(index, F.explode(F.sequence(F.lit(0), F.lit(GRID_PARTS - 1))).alias("_part"))
+        grid = everywhere.join(dealt, "_part").select(index, names)
+    return grid.join(cells, [index, names], "left").select(index, names, value)
 
 
 def explode_structs(df: DataFrame, keys: Sequence[str], items: str) -> DataFrame:

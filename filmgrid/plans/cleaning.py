@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,6 +98,16 @@ def clean_people_changes(raw: DataFrame) -> DataFrame:
     return _typed_people_fields(fields)
 
 
+def change_log(raw: DataFrame) -> DataFrame:
+    """Change records, with whatever order columns they have, as one row per edit of a kept field.
+
+    ``change`` is the place of the edit in its record.
+    """
+    order = [c for c in raw.columns if c not in ("people_id", "changes")]
+    pairs = raw.select("people_id", *order, F.posexplode(nested.kept_changes(F.col("changes"))).alias("change", "edit"))
+    return pairs.select("people_id", *order, "change", "edit.key", F.lit("updated").alias("action"), "edit.value")
+
+
 def fold_people_changes(log: DataFrame, order: list[str]) -> DataFrame:
     """The same from a log of single edits ``(people_id, key, action, value, *order)`` over any number of rows."""
     edits = log.where(~F.col("action").isin(*nested.DISCARDED_ACTIONS))
@@ -132,12 +144,14 @@ def video_statistics(youtube: DataFrame, vimeo: DataFrame) -> DataFrame:
     return youtube.withColumnsRenamed(YOUTUBE_NAMES).unionByName(vimeo).distinct()
 
 
-def latest_statistics(statistics: DataFrame) -> DataFrame:
-    """One row per video: of refreshed counts the larger ones, which are the later ones; missing counts are 0.
+def latest_statistics(statistics: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """One row per video: the last in ``order``, such as that of the files; missing counts are 0.
 
-    Taken before the join to the films, it keeps a video that many films share from being paired with each refresh.
+    Rows that ``order`` does not tell apart, or all without one, are told apart by their counts, the larger ones
+    being taken as the later ones. Taken before the join to the films, it keeps a video that many films share from
+    being paired with each refresh.
     """
-    return dedup.keep_last(statistics.na.fill(dict.fromkeys(COUNTS, 0.0)), ["video_key_id"], COUNTS)
+    return dedup.keep_last(statistics.na.fill(dict.fromkeys(COUNTS, 0.0)), ["video_key_id"], [*order, *COUNTS])
 
 
 def clean_video_stats(details: DataFrame, statistics: DataFrame) -> DataFrame:
@@ -156,17 +170,17 @@ def clean_video_stats(details: DataFrame, statistics: DataFrame) -> DataFrame:
     return counted.select(*columns).distinct()
 
 
-def clean_weekly_chart(
-    raw: DataFrame,
-    first_year: int = calendar.FIRST_YEAR,
-    end_year: int = calendar.END_YEAR,
-    legacy_year: bool = False,
-) -> DataFrame:
+def clean_weekly_chart(raw: DataFrame, years: tuple[int, int] | None = None, legacy_year: bool = False) -> DataFrame:
     """Chart rows parsed, re-releases left out, with the week's end and the likely release date.
 
-    The calendar has 52 rows a year by construction, so it can always be broadcast.
+    The week's end follows from year and week alone, for any year. Rows whose week does not exist are left out; see
+    ``chart_rejects``. ``years`` (first and last) is a filter. With ``legacy_year`` the row's year is that in which
+    the week ends, so a year's first weeks may have two meanings, or its last week none.
     """
-    chart = raw.where(text.is_rerelease(F.col("Release")) == 0).select(
+    first = raw.where(text.is_rerelease(F.col("Release")) == 0)
+    if years:
+        first = first.where(F.col("year").between(*years))
+    chart = first.select(
         "year",
         "week",
         text.normalise_title(F.col("Release")).alias("title_cleaned"),
@@ -175,18 +189,34 @@ def clean_weekly_chart(
         text.parse_count(F.col("Theaters")).alias("theaters"),
         text.parse_weeks(F.col("Weeks")).alias("weeks"),
     )
-    weeks = calendar.chart_calendar(raw.sparkSession, first_year, end_year, legacy_year)
-    dated = chart.join(F.broadcast(weeks), ["year", "week"])
+    year, week = F.col("year"), F.col("week")
+    if legacy_year:
+        dated = chart.select("*", F.explode(calendar.week_ends_in(year, week)).alias("week_end_date"))
+    else:
+        dated = chart.where(calendar.week_problem(year, week).isNull()).withColumn("week_end_date", calendar.week_end(year, week))
     return dated.withColumn("likely_release_date", dates.likely_release(F.col("week_end_date"), F.col("weeks")))
 
 
+def chart_rejects(raw: DataFrame) -> DataFrame:
+    """The chart rows whose week does not exist, as they are, with the ``reason``."""
+    return raw.withColumn("reason", calendar.week_problem(F.col("year"), F.col("week"))).where("reason IS NOT NULL")
+
+
+def lower_case_names(df: DataFrame) -> DataFrame:
+    """The frame with all column names in lower case; two names that become one are an error."""
+    names = [c.lower() for c in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError("two columns would have one name")
+    return df.toDF(*names)
+
+
 def titled_films(movies: DataFrame) -> DataFrame:
     return movies.select("movie_id", "release_date", text.normalise_title(F.col("title")).alias("title_cleaned"))
 
 
-def weekly_performance(raw: DataFrame, movies: DataFrame, **calendar_options) -> DataFrame:
+def weekly_performance(raw: DataFrame, movies: DataFrame, **chart_options) -> DataFrame:
     """Raw chart rows to weekly performance per film."""
-    chart = clean_weekly_chart(raw, **calendar_options)
+    chart = clean_weekly_chart(raw, **chart_options)
     columns = ["week_end_date", "movie_id", "rank", "domestic_gross", "domestic_theaters_count"]
     return resolve.resolve_chart(chart, titled_films(movies)).select(*columns)
 
@@ -207,7 +237,11 @@ def latest_chart(initial: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def film_keyed_stats(movies: DataFrame, stats: DataFrame) -> DataFrame:
-    """Video statistics keyed by film through the film's own list of video keys."""
+    """Video statistics keyed by film through the film's own list of video keys.
+
+    ``stats`` may repeat a video for each of its films; a film gets each different statistic once.
+    """
+    stats = stats.drop("movie_id", "insertion_datetime").distinct().withColumn("movie_id", F.lit(None))
     keys = movies.select("movie_id", F.explode("video_key_id").alias("video_key_id"))
     keys = keys.withColumn("video_key_id", text.first_token(F.col("video_key_id"), "__"))
     return keys.join(stats.drop("movie_id"), "video_key_id").drop("video_key_id")

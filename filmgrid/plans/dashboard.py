@@ -25,11 +25,6 @@ def in_range(df: DataFrame, ranges: dict[str, tuple[float, float]] | None) -> Da
     return df
 
 
-def films_by_week(movies: DataFrame, weekly: DataFrame) -> DataFrame:
-    """One row per film and chart week, with the film's columns."""
-    return weekly.drop("insertion_datetime").join(movies.drop("insertion_datetime"), "movie_id")
-
-
 def with_profit(movies: DataFrame) -> DataFrame:
     """Films with a budget, and their profit."""
     return movies.where("budget > 0").withColumn("profit", numbers.profit(F.col("revenue"), F.col("budget")))
@@ -60,7 +55,8 @@ def genre_popularity(movies: DataFrame, weekly: DataFrame, metric: str = "tmdb_p
     counted = metric == "tmdb_vote_count"
     exact = F.col(metric) if counted else F.col(metric).cast("decimal(24,6)")
     rows = _genre_weeks(movies, weekly, exact, metric).where("genres IS NOT NULL")
-    value = F.sum(metric) if counted else numbers.round_half_even(F.avg(metric)).cast("bigint")
+    total = F.coalesce(F.sum(metric), F.lit(0)).cast("bigint")
+    value = total if counted else numbers.round_half_even(F.avg(metric)).cast("bigint")
     return rows.groupBy("genres", "week_end_date").agg(value.alias(metric))
 
 
@@ -170,11 +166,16 @@ def domestic_and_international(
 
 
 def films_with_cast_names(movies: DataFrame, people: DataFrame) -> DataFrame:
-    """Films with the names of both leading actors, null where unknown."""
+    """Films with the names of both leading actors, null where unknown.
+
+    Films without an actor are spread by their own id: they match no one, and need not meet in one task for that.
+    """
     actors = people.where("known_for = 'Acting'")
     for slot in ("cast1", "cast2"):
-        named = actors.select(F.col("people_id").alias(f"{slot}_id"), F.col("name").alias(f"{slot}_name"))
-        movies = movies.join(named, f"{slot}_id", "left")
+        named = actors.select(F.col("people_id").alias("_person"), F.col("name").alias(f"{slot}_name"))
+        actor = F.col(f"{slot}_id")
+        known = F.coalesce(actor, -F.abs(F.xxhash64("movie_id") % 2**31)) == F.col("_person")
+        movies = movies.join(named, known & actor.isNotNull(), "left").drop("_person")
     return movies
 
 
@@ -202,7 +203,8 @@ def film_roi(movies: DataFrame) -> DataFrame:
 
 
 def roi_trimmed(movies: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
-    return distribution.trim(film_roi(movies), "ROI", low, high)
+    # written, since the bounds take several passes and the rows another one
+    return distribution.trim(written(film_roi(movies), "roi-films"), "ROI", low, high)
 
 
 def roi_values(movies: DataFrame) -> DataFrame:

@@ -1,22 +1,29 @@
 """Revenue prediction with ``pyspark.ml``: training tables, models, scoring, interval.
 
-Person ids are hashed into a fixed number of features. An index of ids would have to pass through the driver and grow
-with the number of people.
+Person ids are categories of which there may be any number, and an index of them would have to pass through the driver.
+The linear model hashes them into a wide sparse vector; the forest gets, for each role, the mean revenue of the person's
+other films, looked up by a join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import FeatureHasher, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filmgrid.functions import numbers
 from filmgrid.operators import lookup
+from filmgrid.session import written
 
+#: width of the hashed person ids, far above the number of people, as collisions cost accuracy
+HASHED = 1 << 18
+#: films that the mean over all of them counts for in a person's mean
+PRIOR_FILMS = 5
 ROLES = {"cast1": "cast1_id", "cast2": "cast2_id", "director": "director_id", "producer": "producer_id"}
 CALENDAR = ["release_year", "release_month", "release_day"]
 IDENTITY_NUMBERS = ["budget", "runtime", "tmdb_vote_count", *CALENDAR]
@@ -54,9 +61,13 @@ def forecast_features(movies: DataFrame, people: DataFrame, collections: DataFra
         "movie_id", F.col("revenue").alias("label"), "budget", "release_date", "runtime", "is_adult", "is_adaptation",
         "collection_id", *ROLES.values(),
     )
-    for role, key in ROLES.items():
-        known = people.select(F.col("people_id").alias(key), F.col("tmdb_popularity").alias(f"{role}_popularity"))
-        features = features.join(known, key, "left")
+    # all roles in one join: a row for each film and role, folded back to the film
+    ids = movies.select("movie_id", *[F.col(c).cast("bigint").alias(c) for c in ROLES.values()])
+    roles = ids.unpivot("movie_id", list(ROLES.values()), "role", "people_id").where("people_id IS NOT NULL")
+    known = roles.join(people.select("people_id", "tmdb_popularity"), "people_id")
+    popularity = lambda key: F.max(F.when(F.col("role") == key, F.col("tmdb_popularity")))
+    folded = known.groupBy("movie_id").agg(*[popularity(key).alias(f"{role}_popularity") for role, key in ROLES.items()])
+    features = features.join(folded, "movie_id", "left")
     series = collections.select("collection_id", "avg_popularity_before_2020")
     views = video_stats.groupBy("movie_id").agg(F.max("view_count").alias("view_count"))
     features = features.join(series, "collection_id", "left").join(views, "movie_id", "left")
@@ -83,16 +94,23 @@ def parameter_row(spark, values: dict, schema) -> DataFrame:
     return spark.createDataFrame([tuple(values.get(name) for name in schema.names)], schema)
 
 
-def _filled(training: DataFrame, columns: Sequence[str]) -> SQLTransformer:
-    """A stage that replaces missing numbers by the training mean (0 if there is none)."""
-    means = training.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    parts = [f"CAST(coalesce({c}, {means[c] if means[c] is not None else 0.0}D) AS DOUBLE) AS {c}_number" for c in columns]
-    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
+def _numbers(training: DataFrame, columns: Sequence[str]) -> list:
+    """Stages that make ``*_number`` columns: doubles, with the training mean for missing values and NaN.
+
+    A column without any value in the training set is 0 everywhere, as it has no mean.
+    """
+    present = [F.count_if(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))).alias(c) for c in columns]
+    counts = training.agg(*present).first()
+    known = [c for c in columns if counts[c]]
+    casts = [f"CAST({c} AS DOUBLE) AS {c}_number" if c in known else f"0D AS {c}_number" for c in columns]
+    names = [f"{c}_number" for c in known]
+    stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(casts)} FROM __THIS__")]
+    return stages + ([Imputer(strategy="mean", inputCols=names, outputCols=names)] if known else [])
 
 
-def _fit(training: DataFrame, columns: Sequence[str], categories: Sequence[str], hashed: int, regressor) -> PipelineModel:
+def _fit(training: DataFrame, columns: Sequence[str], regressor, categories: Sequence[str] = (), hashed: int = 0) -> PipelineModel:
     known = training.where("label IS NOT NULL")
-    stages = [_filled(known, columns)]
+    stages = _numbers(known, columns)
     inputs = [f"{c}_number" for c in columns]
     if categories:
         stages.append(
@@ -103,25 +121,70 @@ def _fit(training: DataFrame, columns: Sequence[str], categories: Sequence[str],
     return Pipeline(stages=stages).fit(known)
 
 
-def train_linear(training: DataFrame, hashed: int = 1024) -> PipelineModel:
+def train_linear(training: DataFrame, hashed: int = HASHED) -> PipelineModel:
     """Linear regression over numbers and person ids."""
     regressor = LinearRegression(solver="l-bfgs", maxIter=30, predictionCol="predicted_revenue")
-    return _fit(training, IDENTITY_NUMBERS, list(ROLES.values()), hashed, regressor)
+    return _fit(training, IDENTITY_NUMBERS, regressor, list(ROLES.values()), hashed)
+
+
+def train_line(training: DataFrame, column: str) -> PipelineModel:
+    """Linear regression over one number, solved exactly."""
+    return _fit(training, [column], LinearRegression(solver="normal", predictionCol="predicted_revenue"))
+
+
+@dataclass(frozen=True)
+class PeopleModel:
+    """A model over numbers and the mean revenue of the people, with the table of means that it was trained with."""
 
+    model: PipelineModel
+    totals: DataFrame
+    mean: float
 
-def train_forest(training: DataFrame, hashed: int = 64, trees: int = 20, seed: int = 17) -> PipelineModel:
-    """Random forest over the same features."""
+    def transform(self, features: DataFrame) -> DataFrame:
+        return self.model.transform(with_person_means(features, self.totals, self.mean))
+
+
+def person_totals(training: DataFrame) -> DataFrame:
+    """``(role, person, total, films)``: summed labels and number of films of every person in every role."""
+    roles = training.where("label IS NOT NULL").unpivot(["movie_id", "label"], list(ROLES.values()), "role", "person")
+    return roles.where("person IS NOT NULL").groupBy("role", "person").agg(F.sum("label").alias("total"), F.count("label").alias("films"))
+
+
+def with_person_means(features: DataFrame, totals: DataFrame, mean: float, own: bool = False) -> DataFrame:
+    """Adds ``*_mean`` for each role: the mean label of the person's films, shrunk to ``mean`` where there are few.
+
+    With ``own`` a row's own label is left out, as it must be in training. Rows are told apart by ``movie_id``. One
+    join looks up all roles.
+    """
+    label = F.col("label") if own else F.lit(None).cast("double")
+    rows = features.select("movie_id", label.alias("label"), *ROLES.values())
+    roles = rows.unpivot(["movie_id", "label"], list(ROLES.values()), "role", "person").where("person IS NOT NULL")
+    joined = roles.join(totals, ["role", "person"], "left")
+    total = F.coalesce("total", F.lit(0.0)) - F.coalesce("label", F.lit(0.0))
+    films = F.coalesce("films", F.lit(0)) - F.when(F.col("label").isNotNull(), 1).otherwise(0)
+    shrunk = (total + PRIOR_FILMS * mean) / (films + PRIOR_FILMS)
+    of_role = lambda key: F.max(F.when(F.col("role") == key, F.col("shrunk")))
+    folded = joined.withColumn("shrunk", shrunk).groupBy("movie_id").agg(*[of_role(key).alias(f"{role}_mean") for role, key in ROLES.items()])
+    return features.join(folded, "movie_id", "left").na.fill(mean, [f"{role}_mean" for role in ROLES])
+
+
+def train_forest(training: DataFrame, trees: int = 20, seed: int = 17) -> PeopleModel:
+    """Random forest over numbers and, for each role, the mean revenue of the person's other films."""
+    known = training.where("label IS NOT NULL").withColumn("label", F.col("label").cast("double"))
+    totals = written(person_totals(known), "person-totals")
+    mean = known.agg(F.avg("label")).first()[0] or 0.0
     regressor = RandomForestRegressor(numTrees=trees, seed=seed, predictionCol="predicted_revenue")
-    return _fit(training, IDENTITY_NUMBERS, list(ROLES.values()), hashed, regressor)
+    columns = [*IDENTITY_NUMBERS, *[f"{role}_mean" for role in ROLES]]
+    return PeopleModel(_fit(with_person_means(known, totals, mean, own=True), columns, regressor), totals, mean)
 
 
 def train_forecast(training: DataFrame, trees: int = 20, seed: int = 17) -> PipelineModel:
     """Random forest over what is known before a film opens."""
     regressor = RandomForestRegressor(numTrees=trees, seed=seed, predictionCol="predicted_revenue")
-    return _fit(training, FORECAST_NUMBERS, [], 0, regressor)
+    return _fit(training, FORECAST_NUMBERS, regressor)
 
 
-def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
+def predict(model: PipelineModel | PeopleModel, features: DataFrame) -> DataFrame:
     """The rows with their predicted revenue; missing features are allowed."""
     return model.transform(features).select(*features.columns, "predicted_revenue")
 

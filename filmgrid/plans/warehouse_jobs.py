@@ -1,8 +1,15 @@
 """The initial load and the weekly update of the warehouse, as plain functions for any scheduler.
 
-File names below ``landing`` follow the sources: ``raw_movie_details*.ndjson``, ``raw_people*.ndjson``,
-``raw_collection_data*.json``, ``raw_youtube_video_stats*.csv``, ``raw_vimeo_video_stats*.csv``, ``weekly_chart*.csv``,
-and for updates the same with ``update_`` in front.
+File names below ``landing`` follow the sources. Initial load: ``raw_movie_details*.ndjson``, ``raw_people*.ndjson``,
+``raw_collection_data*.json``, ``raw_youtube_video_stats*.csv``, ``raw_vimeo_video_stats*.csv``, ``weekly_chart*.csv``.
+Updates: ``update_raw_movie_details*``, ``append_raw_people*`` (people that are new), ``update_raw_people*`` (changes to
+known people), ``update_raw_collection_data*``, ``update_weekly_chart*``, and counts named like those of the initial load
+with a date window ``_20240101_20240108`` at the end.
+
+An update takes every file that no finished update has taken, early or late; the list of taken files is a table of the
+warehouse, and a run adds to it last. What counts as later is decided by the files: the window in the name, the name, and
+the place in the file. Tables keep that order with the rows, so a late file does not undo a newer one, and a run that is
+repeated changes nothing.
 """
 
 from __future__ import annotations
@@ -17,32 +24,50 @@ from filmgrid.functions import dates
 from filmgrid.operators import dedup
 from filmgrid.plans import cleaning
 from filmgrid.sources import readers
-from filmgrid.sources.warehouse import Warehouse
+from filmgrid.sources.warehouse import ORDER, Warehouse
 
+TAKEN = "taken_files"
+TAKEN_SCHEMA = schemas.record(file=schemas.STRING, insertion_datetime=schemas.TIME)
 
-def _statistics(spark: SparkSession, landing: str, start: date | None, end: date | None) -> DataFrame:
-    youtube = readers.read_window(spark, landing, "raw_youtube_video_stats", "csv", schemas.YOUTUBE_STATS, start, end)
-    vimeo = readers.read_window(spark, landing, "raw_vimeo_video_stats", "csv", schemas.VIMEO_STATS, start, end)
-    return cleaning.video_statistics(youtube, vimeo)
 
+def _statistics(spark: SparkSession, youtube: list[str], vimeo: list[str]) -> DataFrame:
+    """Counts of both sites with the order of their files."""
 
-def initialise(
-    spark: SparkSession, landing: str, warehouse: Warehouse, languages: DataFrame, run_time, **calendar_options
-) -> None:
-    """Create the tables and load all of them; the chart comes last because it looks up the loaded films."""
-    glob = lambda prefix, extension: readers.prefix_glob(landing, prefix, extension)
+    def read(paths: list[str], schema) -> DataFrame:
+        rows = readers.read_ordered(spark, paths, "csv", schema)
+        return rows.drop("_position").withColumn(ORDER, F.col("_order")).drop("_order")
+
+    return cleaning.video_statistics(read(youtube, schemas.YOUTUBE_STATS), read(vimeo, schemas.VIMEO_STATS))
+
+
+def _last(df: DataFrame, keys: list[str]) -> DataFrame:
+    return dedup.keep_last(df, keys, [ORDER])
+
+
+def initialise(spark: SparkSession, landing: str, warehouse: Warehouse, languages: DataFrame, run_time, **chart_options) -> None:
+    """Create the tables and load all of them; the chart comes last because it looks up the loaded films.
+
+    Of several records of one film, person or video the last one counts, by file and place in the file.
+    """
+    paths = lambda prefix, extension: readers.file_paths(spark, landing, prefix, extension)
     warehouse.create_all()
-    films = readers.read_ndjson(spark, glob("raw_movie_details", "ndjson"), schemas.FILM_DETAILS)
-    people = readers.read_ndjson(spark, glob("raw_people", "ndjson"), schemas.PEOPLE_DETAILS)
-    collections = readers.read_keyed_json(spark, glob("raw_collection_data", "json"), schemas.COLLECTION_DETAILS)
-    charts = readers.read_csv(spark, glob("weekly_chart", "csv"), schemas.WEEKLY_CHART)
+    films = readers.read_ordered(spark, paths("raw_movie_details", "ndjson"), "ndjson", schemas.FILM_DETAILS)
+    films = dedup.keep_last(films, ["id"], ["_order", "_position"])
+    people = readers.read_ordered(spark, paths("raw_people", "ndjson"), "ndjson", schemas.PEOPLE_DETAILS)
+    people = dedup.keep_last(people, ["id"], ["_order", "_position"])
+    collections = readers.read_keyed_json(spark, readers.prefix_glob(landing, "raw_collection_data", "json"), schemas.COLLECTION_DETAILS)
+    charts = readers.read_csv(spark, readers.prefix_glob(landing, "weekly_chart", "csv"), schemas.WEEKLY_CHART)
 
     warehouse.load("movie", cleaning.clean_movies(films, languages), run_time, "truncate")
     warehouse.load("people", cleaning.clean_people(people), run_time, "truncate")
     warehouse.load("collection", cleaning.clean_collections(collections), run_time, "truncate")
-    stats = cleaning.clean_video_stats(cleaning.video_details(films), _statistics(spark, landing, None, None))
+    # counts with a window in their name belong to the updates
+    initial = lambda prefix: [p for p in paths(prefix, "csv") if not readers.has_window(p)]
+    counts = cleaning.latest_statistics(_statistics(spark, initial("raw_youtube_video_stats"), initial("raw_vimeo_video_stats")), [ORDER])
+    stats = cleaning.clean_video_stats(cleaning.video_details(films), counts.drop(ORDER))
+    stats = dedup.keep_last(stats, ["movie_id", "video_key_id"], ["published_at", "video_type"])
     warehouse.load("video_stats", stats, run_time, "truncate")
-    weekly = cleaning.weekly_performance(charts, warehouse.read("movie"), **calendar_options)
+    weekly = cleaning.weekly_performance(charts, warehouse.read("movie"), **chart_options)
     warehouse.load("weekly_domestic_performance", cleaning.in_chart_order(weekly), run_time, "truncate")
 
 
@@ -59,54 +84,81 @@ def update_windows(spark: SparkSession, run_date: date) -> dict[str, object]:
     return row.first().asDict(recursive=True)
 
 
-def weekly_update(
-    spark: SparkSession,
-    landing: str,
-    warehouse: Warehouse,
-    languages: DataFrame,
-    run_date: date,
-    run_time,
-    **calendar_options,
-) -> None:
-    """Bring all tables up to date with what has landed for one run."""
-    window = update_windows(spark, run_date)["films"]
-    start, end = window["start"], window["end"]
-
-    newest = readers.latest_file(spark, landing, "update_raw_movie_details", "ndjson")
-    if newest:
-        films = readers.read_ndjson(spark, newest, schemas.FILM_DETAILS)
-        cleaned = dedup.keep_last(cleaning.clean_movies(films, languages), ["movie_id"], ["tmdb_vote_count", "revenue"])
-        warehouse.upsert("movie", cleaned, run_time)
-
-    people = readers.read_window(spark, landing, "update_raw_people", "ndjson", schemas.PEOPLE_DETAILS)
-    new_people = dedup.keep_last(cleaning.clean_people(people), ["people_id"], ["tmdb_popularity"])
-    warehouse.upsert("people", new_people, run_time)
-    changes = readers.read_window(spark, landing, "update_people_changes", "ndjson", schemas.PEOPLE_CHANGES)
-    warehouse.update("people", cleaning.clean_people_changes(changes), run_time)
-
-    details = readers.read_window(spark, landing, "update_raw_movie_details", "ndjson", schemas.FILM_DETAILS, start, end)
-    counts = cleaning.latest_statistics(_statistics(spark, landing, start, end))
-    stats = cleaning.clean_video_stats(cleaning.video_details(details), counts)
-    # a film may list one video under several types
-    stats = dedup.keep_last(stats, ["movie_id", "video_key_id"], ["published_at", "video_type"])
-    warehouse.upsert("video_stats", stats, run_time)
-
-    if not readers.list_files(spark, landing, "update_raw_collection_data", "json").isEmpty():
-        path = readers.prefix_glob(landing, "update_raw_collection_data", "json")
-        raw = readers.read_keyed_json(spark, path, schemas.COLLECTION_DETAILS)
+def _taken(warehouse: Warehouse) -> Warehouse:
+    """The list of taken files, kept beside the tables."""
+    return Warehouse(warehouse.spark, warehouse.root, {TAKEN: (TAKEN_SCHEMA, ["file"])}, buckets=1)
+
+
+def weekly_update(spark: SparkSession, landing: str, warehouse: Warehouse, languages: DataFrame, run_time, **chart_options) -> None:
+    """Bring all tables up to date with what has landed since the last finished update."""
+    taken = _taken(warehouse)
+    taken.create_if_absent(TAKEN)
+    done = {r["file"] for r in taken.read(TAKEN).select("file").collect()}  # names only, one for each landed file
+
+    def fresh(prefix: str, extension: str, windowed: bool = False) -> list[str]:
+        found = readers.file_paths(spark, landing, prefix, extension)
+        return [p for p in found if readers.file_name(p) not in done and (not windowed or readers.has_window(p))]
+
+    film_files = fresh("update_raw_movie_details", "ndjson")
+    people_files = fresh("append_raw_people", "ndjson")
+    change_files = fresh("update_raw_people", "ndjson")
+    youtube, vimeo = fresh("raw_youtube_video_stats", "csv", True), fresh("raw_vimeo_video_stats", "csv", True)
+    collection_files, chart_files = fresh("update_raw_collection_data", "json"), fresh("update_weekly_chart", "csv")
+
+    films = readers.read_ordered(spark, film_files, "ndjson", schemas.FILM_DETAILS)
+    latest = dedup.keep_last(films, ["id"], ["_order", "_position"])
+    if film_files:
+        order = latest.select(F.col("id").alias("movie_id"), F.col("_order").alias(ORDER))
+        warehouse.upsert("movie", cleaning.clean_movies(latest, languages).join(order, "movie_id"), run_time)
+    if people_files:
+        people = readers.read_ordered(spark, people_files, "ndjson", schemas.PEOPLE_DETAILS)
+        people = dedup.keep_last(people, ["id"], ["_order", "_position"])
+        order = people.select(F.col("id").alias("people_id"), F.col("_order").alias(ORDER))
+        warehouse.upsert("people", cleaning.clean_people(people).join(order, "people_id"), run_time)
+    if change_files or people_files:
+        # each field has its own latest change, so the people concerned are folded over all files of changes
+        every = readers.file_paths(spark, landing, "update_raw_people", "ndjson")
+        changes = readers.read_ordered(spark, every, "ndjson", schemas.PEOPLE_CHANGES)
+        touched = readers.read_ordered(spark, change_files, "ndjson", schemas.PEOPLE_CHANGES).select("people_id")
+        if people_files:
+            touched = touched.union(readers.read_ordered(spark, people_files, "ndjson", schemas.PEOPLE_DETAILS).select("id"))
+        log = cleaning.change_log(changes.join(touched.distinct(), "people_id", "left_semi"))
+        warehouse.update("people", cleaning.fold_people_changes(log, ["_order", "_position", "change"]), run_time)
+    if youtube or vimeo:
+        counts = cleaning.latest_statistics(_statistics(spark, youtube, vimeo), [ORDER])
+        # the films that list a video may have landed in any earlier run
+        details = readers.read_ordered(
+            spark,
+            readers.file_paths(spark, landing, "raw_movie_details", "ndjson") + readers.file_paths(spark, landing, "update_raw_movie_details", "ndjson"),
+            "ndjson",
+            schemas.FILM_DETAILS,
+        )
+        details = dedup.keep_last(details, ["id"], ["_order", "_position"])
+        order = counts.select("video_key_id", ORDER)
+        stats = cleaning.clean_video_stats(cleaning.video_details(details), counts.drop(ORDER)).join(order, "video_key_id")
+        # a film may list one video under several types
+        stats = dedup.keep_last(stats, ["movie_id", "video_key_id"], ["published_at", "video_type"])
+        warehouse.upsert("video_stats", stats, run_time)
+    if collection_files:
+        raw = readers.read_keyed_json(spark, collection_files, schemas.COLLECTION_DETAILS)
         known = warehouse.read("collection").select("collection_id")
+        # under one name for the run, so that a repeated run replaces what it added
         new = cleaning.clean_collections(raw).join(known, "collection_id", "left_anti")
-        if not new.isEmpty():
-            warehouse.load("collection", new, run_time, "append")
-
-    initial = readers.with_file_order(
-        readers.read_csv(spark, readers.prefix_glob(landing, "weekly_chart", "csv"), schemas.WEEKLY_CHART)
-    )
-    update_path = readers.prefix_glob(landing, "update_weekly_chart", "csv")
-    if readers.list_files(spark, landing, "update_weekly_chart", "csv").isEmpty():
+        warehouse.upsert("collection", new, run_time)
+    if chart_files or film_files:
+        initial = readers.with_file_order(
+            readers.read_csv(spark, readers.prefix_glob(landing, "weekly_chart", "csv"), schemas.WEEKLY_CHART)
+        )
         updates = initial.limit(0)
-    else:
-        updates = readers.with_file_order(readers.read_csv(spark, update_path, schemas.WEEKLY_CHART))
-    chart = cleaning.latest_chart(initial, updates)
-    weekly = cleaning.weekly_performance(chart, warehouse.read("movie"), **calendar_options)
-    warehouse.load("weekly_domestic_performance", cleaning.in_chart_order(weekly), run_time, "truncate")
+        if not readers.list_files(spark, landing, "update_weekly_chart", "csv").isEmpty():
+            path = readers.prefix_glob(landing, "update_weekly_chart", "csv")
+            updates = readers.with_file_order(readers.read_csv(spark, path, schemas.WEEKLY_CHART))
+        # a new film may be what an old row means, so all weeks are matched again
+        chart = cleaning.latest_chart(initial, updates)
+        weekly = cleaning.weekly_performance(chart, warehouse.read("movie"), **chart_options)
+        warehouse.load("weekly_domestic_performance", cleaning.in_chart_order(weekly), run_time, "truncate")
+
+    files = [film_files, people_files, change_files, youtube, vimeo, collection_files, chart_files]
+    names = [(readers.file_name(p),) for group in files for p in group]
+    if names:
+        taken.upsert(TAKEN, spark.createDataFrame(names, "file string"), run_time)

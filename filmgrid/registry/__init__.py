@@ -19,10 +19,10 @@ class Query:
 
 
 def all_queries() -> dict[str, Query]:
-    from filmgrid.registry import cleaning, columns, dashboard, loads, lookups, prediction
+    from filmgrid.registry import cleaning, columns, dashboard, files, loads, lookups, prediction
 
     found: dict[str, Query] = {}
-    for module in (dashboard, lookups, columns, cleaning, loads, prediction):
+    for module in (dashboard, lookups, columns, cleaning, loads, files, prediction):
         for name, query in module.QUERIES.items():
             if name in found:
                 raise ValueError(f"two queries named {name}")

@@ -6,18 +6,19 @@ from pyspark.sql import functions as F
 
 from filmgrid import schemas
 from filmgrid.operators import dedup, resolve
-from filmgrid.plans import cleaning
+from filmgrid.plans import cleaning, worklists
 from filmgrid.registry import Query
 from filmgrid.registry.views import (
     CHART,
     MOVIES,
-    YEARS,
     chart,
     cte,
+    WEEKLY,
     languages,
     movies,
     table,
 )
+from filmgrid.registry.views import weekly as weekly_view
 from filmgrid.sources import readers
 
 
@@ -111,7 +112,8 @@ WHERE p_partkey % 11 <> 0 AND (p_size % 4 = 1 OR (p_size % 4 > 1 AND p_size % 3
   AND p_partkey % 9 <> 0 AND p_partkey % 10 <> 0"""
 
 
-def clean_people(spark, folder):
+def people_details(spark, folder):
+    """People derived from ``customer``."""
     key = F.col("c_custkey")
     credit = lambda n: F.struct((key + n).alias("id"))
     value = F.struct(
@@ -129,7 +131,11 @@ def clean_people(spark, folder):
             ),
         ).alias("movie_credits"),
     )
-    return cleaning.clean_people(_parse(table(spark, folder, "customer"), value, schemas.PEOPLE_DETAILS))
+    return _parse(table(spark, folder, "customer"), value, schemas.PEOPLE_DETAILS)
+
+
+def clean_people(spark, folder):
+    return cleaning.clean_people(people_details(spark, folder))
 
 
 def clean_people_changes(spark, folder):
@@ -232,22 +238,54 @@ def clean_video_stats(spark, folder):
 
 
 def weekly_chart_parsed(spark, folder):
-    return cleaning.clean_weekly_chart(chart(spark, folder).drop("l_orderkey"), **YEARS)
+    return cleaning.clean_weekly_chart(chart(spark, folder).drop("l_orderkey"))
 
 
 def weekly_chart_legacy_calendar(spark, folder):
-    return cleaning.clean_weekly_chart(chart(spark, folder).drop("l_orderkey"), legacy_year=True, **YEARS).select(
+    return cleaning.clean_weekly_chart(chart(spark, folder).drop("l_orderkey"), legacy_year=True).select(
         "year", "week", "title_cleaned", "rank", "week_end_date"
     )
 
 
+def weekly_chart_all_years(spark, folder):
+    """Weeks 0 to 53 of the years 2020 to 2031: kept rows with the week's end, and rejects with their reason."""
+    key = F.col("o_orderkey")
+    raw = table(spark, folder, "orders").select(
+        F.when(key % 97 != 0, 2020 + F.col("o_custkey") % 12).cast("int").alias("year"),
+        (key % 54).cast("int").alias("week"),
+        key.cast("string").alias("Release"),
+        key.alias("Rank"),
+        F.lit("$1").alias("Gross"),
+        F.lit("1").alias("Theaters"),
+        F.lit("1").alias("Weeks"),
+    )
+    kept = cleaning.clean_weekly_chart(raw).select("year", "week", "rank", "week_end_date", F.lit(None).cast("string").alias("reason"))
+    rejects = cleaning.chart_rejects(raw).select("year", "week", F.col("Rank").alias("rank"), F.lit(None).cast("date").alias("week_end_date"), "reason")
+    return kept.unionByName(rejects)
+
+
+def lower_case_columns(spark, folder):
+    raw = chart(spark, folder).select("Release", "Rank", F.col("Gross").alias("GROSS"), "l_orderkey")
+    return cleaning.lower_case_names(raw)
+
+
+def chart_in_order(spark, folder):
+    """The first rows in the order in which performance is stored."""
+    weekly = weekly_view(spark, folder).select("week_end_date", "rank", "movie_id")
+    return cleaning.in_chart_order(weekly).limit(200)
+
+
+def video_key_worklist(spark, folder):
+    return worklists.video_keys(film_details(spark, folder).where("id % 2 = 0"), "YouTube")
+
+
 def weekly_performance(spark, folder):
-    return cleaning.weekly_performance(chart(spark, folder), movies(spark, folder), **YEARS)
+    return cleaning.weekly_performance(chart(spark, folder), movies(spark, folder))
 
 
 def nearest_title_match(spark, folder):
     """Chart titles and dates with the film they mean, without the cut-off."""
-    rows = cleaning.clean_weekly_chart(chart(spark, folder), **YEARS)
+    rows = cleaning.clean_weekly_chart(chart(spark, folder))
     wanted = rows.select("title_cleaned", F.col("likely_release_date").alias("day"))
     return resolve.nearest_films(wanted, cleaning.titled_films(movies(spark, folder)))
 
@@ -276,7 +314,7 @@ def _chart_files(spark, folder):
 
 def weekly_performance_after_updates(spark, folder):
     latest = cleaning.latest_chart(*_chart_files(spark, folder))
-    return cleaning.weekly_performance(latest, movies(spark, folder), **YEARS)
+    return cleaning.weekly_performance(latest, movies(spark, folder))
 
 
 def latest_by_key(spark, folder):
@@ -297,15 +335,16 @@ def film_keyed_stats(spark, folder):
 
 
 def latest_statistics(spark, folder):
-    """Every event read as a refresh of a user's counts: the largest counts per user."""
+    """Every event read as a refresh of a user's counts: the last counts per user, be they larger or smaller."""
     clicks = F.from_json("props", "k BIGINT")["k"]
     refreshed = table(spark, folder, "events").select(
         F.col("user_id").cast("string").alias("video_key_id"),
         F.when(F.col("event_id") % 5 != 0, F.floor(F.col("value") / 10).cast("double")).alias("view_count"),
         clicks.cast("double").alias("like_count"),
         F.col("event_id").cast("double").alias("comment_count"),
+        "ts",
     )
-    return cleaning.latest_statistics(refreshed)
+    return cleaning.latest_statistics(refreshed, ["ts"]).drop("ts")
 
 
 # the chart as rows with the raw title, to follow the keep-last step
@@ -336,7 +375,38 @@ v_late AS (
 """
 
 
+RAW_RELEASES = """
+v_release AS (
+  SELECT CASE l_orderkey % 7 WHEN 0 THEN p_name || ' 20th Anniversary' WHEN 1 THEN '  ' || upper(p_name) || '? '
+            WHEN 2 THEN p_name || ' (2021 Re-release)' WHEN 3 THEN p_name || ' 4K Restoration'
+            WHEN 4 THEN ' ' || array_to_string([upper(w[1]) || lower(w[2:]) for w in string_split(p_name, ' ')], ' - ') || '  '
+            ELSE p_name END AS release, CAST(l_linenumber AS BIGINT) AS rank,
+         '$' || format('{:,}', CAST(floor(l_extendedprice) AS BIGINT)) AS gross, l_orderkey
+  FROM lineitem JOIN part ON p_partkey = l_partkey)
+"""
+
 QUERIES = {
+    "weekly_chart_all_years": Query(
+        weekly_chart_all_years,
+        """WITH r AS (SELECT CASE WHEN o_orderkey % 97 <> 0 THEN CAST(2020 + o_custkey % 12 AS INTEGER) END AS year,
+                  CAST(o_orderkey % 54 AS INTEGER) AS week, o_orderkey AS rank FROM orders),
+f AS (SELECT *, DATE '1970-01-02' + CAST(7 * ceil(date_diff('day', DATE '1970-01-02', make_date(year, 1, 1)) / 7.0) AS INTEGER) AS friday FROM r),
+p AS (SELECT *, CASE WHEN year IS NULL THEN 'no year or week'
+                     WHEN week < 1 OR week > date_diff('day', friday, make_date(year, 12, 31)) // 7 + 1 THEN 'no such week in the year' END AS reason FROM f)
+SELECT year, week, rank, CASE WHEN reason IS NULL THEN CAST(friday + 6 + 7 * (week - 1) AS DATE) END AS week_end_date, reason FROM p""",
+    ),
+    "lower_case_columns": Query(
+        lower_case_columns,
+        cte(RAW_RELEASES) + "SELECT release, rank, gross, l_orderkey FROM v_release",
+    ),
+    "chart_in_order": Query(
+        chart_in_order, cte(WEEKLY) + "SELECT week_end_date, rank, movie_id FROM v_weekly ORDER BY week_end_date, rank, movie_id LIMIT 200"
+    ),
+    "video_key_worklist": Query(
+        video_key_worklist,
+        """SELECT unnest((['f' || p_partkey, 't' || p_partkey, 'c' || p_partkey, 's' || p_partkey])[1:p_size % 5]) AS key
+FROM part WHERE p_partkey % 2 = 0""",
+    ),
     "clean_movies": Query(clean_movies, CLEAN_MOVIES_SQL),
     "clean_people": Query(
         clean_people,
@@ -421,9 +491,9 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, ev
         """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS video_key_id,
   CASE WHEN event_id % 5 <> 0 THEN floor(value / 10) ELSE 0.0 END AS view_count,
   coalesce(CAST(regexp_extract(props, '"k":\\s*(-?\\d+)', 1) AS DOUBLE), 0) AS like_count,
-  CAST(event_id AS DOUBLE) AS comment_count FROM events)
-SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY video_key_id
-  ORDER BY view_count DESC, like_count DESC, comment_count DESC) = 1""",
+  CAST(event_id AS DOUBLE) AS comment_count, ts FROM events)
+SELECT * EXCLUDE (ts) FROM e QUALIFY row_number() OVER (PARTITION BY video_key_id
+  ORDER BY ts DESC, view_count DESC, like_count DESC, comment_count DESC) = 1""",
     ),
     "film_keyed_stats": Query(
         film_keyed_stats,

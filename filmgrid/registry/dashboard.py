@@ -283,7 +283,7 @@ QUERIES = {
         _genre_metric_sql("tmdb_vote_average", "round_even(avg(tmdb_vote_average), 0)"),
     ),
     "genre_votes_weekly": Query(
-        _genre_metric("tmdb_vote_count"), _genre_metric_sql("tmdb_vote_count", "sum(tmdb_vote_count)")
+        _genre_metric("tmdb_vote_count"), _genre_metric_sql("tmdb_vote_count", "coalesce(sum(tmdb_vote_count), 0)")
     ),
     "genre_week_grid": Query(
         genre_week_grid,
@@ -302,7 +302,7 @@ WHERE genres IN ('red', 'blue', 'widget') AND profit BETWEEN 100000 AND 50000000
         f"""SELECT coalesce(bool_or(tmdb_vote_count <> 0), false) AS any_nonzero,
        count(DISTINCT tmdb_vote_count) AS distinct_values,
        CAST(min(tmdb_vote_count) AS BIGINT) AS smallest, CAST(max(tmdb_vote_count) AS BIGINT) AS largest
-FROM ({_genre_metric_sql("tmdb_vote_count", "sum(tmdb_vote_count)")})""",
+FROM ({_genre_metric_sql("tmdb_vote_count", "coalesce(sum(tmdb_vote_count), 0)")})""",
     ),
     "genre_value_bounds": Query(
         genre_value_bounds,

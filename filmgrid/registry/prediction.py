@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from filmgrid.functions import numbers
 from filmgrid.plans import prediction
 from filmgrid.registry import Query
 from filmgrid.registry.views import (
@@ -99,7 +100,69 @@ LEFT JOIN n d ON d.name = 'Supplier' || p_size
 LEFT JOIN n p ON p.name = CASE WHEN p_size % 4 = 0 THEN 'Others' ELSE 'Supplier' || p_size % 4 END
 LEFT JOIN nation ON n_nationkey = p_partkey % 26"""
 
+def line_over_budget(spark, folder):
+    """Slope and intercept of a model over the budget alone."""
+    films = movies(spark, folder).select(F.col("revenue").alias("label"), "budget").where("label IS NOT NULL")
+    line = prediction.train_line(written(films, "training"), "budget").stages[-1]
+    slope, intercept = float(line.coefficients[0]), float(line.intercept)
+    return films.agg(
+        F.count("*").alias("films"), F.round(F.lit(slope), 6).alias("slope"), F.round(F.lit(intercept), 2).alias("intercept")
+    )
+
+
+def model_checks(spark, folder):
+    """What must hold of every model: rows and labels kept, a prediction for each, bounds around it, and, for the
+    linear one, errors that cancel out."""
+    identity = written(prediction.identity_features(movies(spark, folder)), "training")
+    forecast = written(_forecast(spark, folder), "training")
+    trained = {
+        "linear": (prediction.train_linear(identity), identity),
+        "forest": (prediction.train_forest(identity), identity),
+        "forecast": (prediction.train_forecast(forecast), forecast),
+    }
+    found = None
+    for name, (model, features) in trained.items():
+        scored = prediction.with_interval(prediction.predict(model, features))
+        value, margin = F.col("predicted_revenue"), F.lit(numbers.INTERVAL_MARGIN)
+        low, high = F.greatest(F.lit(1.0), value - margin), value + margin
+        bounds = (F.abs(F.col("lower_bound") - low) < 1) & (F.abs(F.col("upper_bound") - high) < 1)
+        error = F.abs(F.avg(F.col("label") - value)) < F.avg("label") * (0.01 if name == "linear" else 0.1)
+        row = scored.agg(
+            F.lit(name).alias("model"),
+            F.count("*").alias("films"),
+            F.countDistinct("movie_id").alias("ids"),
+            F.count("label").alias("labels"),
+            F.count(value).alias("predictions"),
+            F.coalesce(F.every(bounds), F.lit(False)).alias("bounds_hold"),
+            error.alias("errors_cancel"),
+        )
+        found = row if found is None else found.union(row)
+    return found
+
+
+def parameters(spark, folder):
+    """A form as one row of typed parameters, with what it leaves out as nulls, beside the number of films."""
+    schema = prediction.identity_features(movies(spark, folder)).schema
+    row = prediction.parameter_row(spark, {"movie_id": 1, "budget": 50.0}, schema).select("movie_id", "budget", "runtime", "cast1_id")
+    return row.withColumn("films", table(spark, folder, "part").agg(F.count("*").alias("n")).scalar())
+
+
+CHECKS_SQL = cte(MOVIES, "n AS (SELECT count(*) AS films, count(revenue) AS labels FROM v_movie)") + """
+SELECT model, films, films AS ids, labels, films AS predictions, true AS bounds_hold, true AS errors_cancel
+FROM n, (SELECT unnest(['linear', 'forest', 'forecast']) AS model)"""
+
 QUERIES = {
+    "line_over_budget": Query(
+        line_over_budget,
+        cte(MOVIES)
+        + """SELECT count(*) AS films, round(regr_slope(revenue, budget), 6) AS slope, round(regr_intercept(revenue, budget), 2) AS intercept
+FROM v_movie WHERE revenue IS NOT NULL""",
+    ),
+    "model_checks": Query(model_checks, CHECKS_SQL),
+    "parameters": Query(
+        parameters,
+        "SELECT CAST(1 AS BIGINT) AS movie_id, 50.0::DOUBLE AS budget, NULL::DOUBLE AS runtime, NULL::VARCHAR AS cast1_id, count(*) AS films FROM part",
+    ),
     "lr_predict": Query(lr_predict, None),
     "rf_predict": Query(rf_predict, None),
     "forecast_predict": Query(forecast_predict, None),

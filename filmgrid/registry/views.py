@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from filmgrid.functions import dates, text
 
-#: years of the calendar that the shipping dates fall in
-YEARS = {"first_year": 1995, "end_year": 2002}
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -221,7 +218,7 @@ v_chart AS (
 v_first AS (
   SELECT y AS year,
          DATE '1970-01-02' + CAST(7 * ceil(date_diff('day', DATE '1970-01-02', make_date(y, 1, 1)) / 7.0) AS INTEGER) AS first_friday
-  FROM (SELECT CAST(unnest(range(1995, 2002)) AS INTEGER) AS y)),
+  FROM (SELECT CAST(unnest(range(1900, 2101)) AS INTEGER) AS y)),
 v_dated AS (
   SELECT c.*, CAST(first_friday + 6 + 7 * (week - 1) AS DATE) AS week_end_date,
          CAST(first_friday + 6 + 7 * (week - 1) - (weeks + 1) * 7 AS DATE) AS likely_release_date

@@ -1,15 +1,17 @@
-"""Session helpers: a tuned local session and the shared work folder."""
+"""Session helpers: a tuned session and the shared work folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 #: adaptive execution merges shuffle partitions up to about this size, and splits skewed ones down to it
 PARTITION_BYTES = 128 * 1024 * 1024
+#: what a shuffle on a cluster is taken to move at most, where nothing better is known
+LARGEST_SHUFFLE_BYTES = 2 * 1024**4
 
 
 def build_session(
@@ -20,9 +22,8 @@ def build_session(
 ) -> SparkSession:
     """A session with adaptive execution on.
 
-    ``master`` and ``cores`` are for local runs. On a cluster give ``largest_shuffle_bytes``, a guess at what the
-    largest shuffle moves: shuffles then start with that many partitions of 128 MB, and adaptive execution merges those
-    that turn out small.
+    ``master`` and ``cores`` are for local runs. Elsewhere shuffles start with as many partitions of 128 MB as
+    ``largest_shuffle_bytes`` needs, since adaptive execution merges partitions that turn out small but never adds any.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -44,22 +45,15 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(cores)).config(
             "spark.default.parallelism", str(cores)
         )
-    if largest_shuffle_bytes:
-        partitions = max(200, -(-largest_shuffle_bytes // PARTITION_BYTES))
+    if largest_shuffle_bytes or not (master or "").startswith("local"):
+        partitions = max(200, -(-(largest_shuffle_bytes or LARGEST_SHUFFLE_BYTES) // PARTITION_BYTES))
         builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return builder.getOrCreate()
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for written intermediates.
-
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session, as in tests, may fall back to a folder
-    on the machine, and only where nothing is set.
-    """
+    """The folder for written intermediates, which the cluster names in ``spark.checkpoint.dir`` and all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder and spark.sparkContext.master.startswith("local"):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="filmgrid-"))
-        folder = spark.sparkContext.getCheckpointDir()
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return folder
@@ -67,14 +61,52 @@ def work_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
-    return f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _owned:
+        _owned[-1].append(path)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 
-    For frames that several passes go over: what computed them runs once, and lost executors cost a re-read only.
+    For frames that several passes go over: what computed them runs once, and lost executors cost a re-read only. The
+    files belong to the innermost ``scratch`` block around the call, which removes them; outside of one they stay for
+    as long as the caller wants to read them.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_owned: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, every path that ``written`` and ``fresh_path`` have handed out inside.
+
+    Results that read such files must be written or collected before the block ends.
+    """
+    _owned.append([])
+    try:
+        yield
+    finally:
+        for path in _owned.pop():
+            delete_path(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, there = _file_system(spark, path)
+    return system.exists(there)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder with all that is in it; nothing happens if it is not there."""
+    system, there = _file_system(spark, path)
+    system.delete(there, True)

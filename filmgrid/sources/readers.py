@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,10 @@ from filmgrid import schemas
 from filmgrid.functions import html
 
 STRICT = {"mode": "FAILFAST"}
+#: files that hold a single object are read by one task as one text, so larger ones are refused
+MAX_KEYED_JSON = 256 * 1024 * 1024
+# Fixed value: the date window at the end of a file's name.
+_WINDOW = r"_(\d{8})_(\d{8})\.[^.]*$"
 
 
 def read_csv(
@@ -44,6 +49,10 @@ def read_json_document(spark: SparkSession, path: str | list[str], schema: T.Str
 
 def read_keyed_json(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Files that hold one object of records by key: ``(_file, _key, fields...)``."""
+    sizes = spark.read.format("binaryFile").load(path).select("path", "length")
+    large = sizes.where(F.col("length") > MAX_KEYED_JSON).select("path").limit(1).collect()
+    if large:
+        raise ValueError(f"{large[0]['path']} is one object of more than {MAX_KEYED_JSON} bytes; land it as one record a line")
     text = spark.read.options(wholetext=True).text(path).select(F.col("_metadata.file_name").alias("_file"), "value")
     return entries(text, "value", schema, "_file")
 
@@ -59,6 +68,50 @@ def with_file_order(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_modification_time").alias("_landed"))
 
 
+def file_name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
+def has_window(path: str) -> bool:
+    """Whether a file's name ends in a date window."""
+    return re.search(_WINDOW, file_name(path)) is not None
+
+
+def file_paths(spark: SparkSession, folder: str, prefix: str, extension: str) -> list[str]:
+    """Paths of the matching files, by name. Names only; a folder holds some files a week."""
+    return [r["path"] for r in list_files(spark, folder, prefix, extension).select("path").orderBy("path").collect()]
+
+
+def read_ordered(spark: SparkSession, paths: list[str], extension: str, schema: T.StructType) -> DataFrame:
+    """The rows of some files with ``_order`` and ``_position``, by which the last of several records can be told.
+
+    ``_order`` begins with the end of the window in the file's name (files without one come first) and goes on with
+    the name; ``_position`` is the place in the file: the start of the part that a task reads, then the row in it. No
+    paths give an empty frame.
+    """
+    kinds = [T.StructField("_order", T.StringType()), T.StructField("_position", T.StructType([T.StructField("start", T.LongType()), T.StructField("row", T.LongType())]))]
+    if not paths:
+        return spark.createDataFrame([], T.StructType([*schema.fields, *kinds]))
+    rows = read_csv(spark, paths, schema) if extension == "csv" else read_ndjson(spark, paths, schema)
+    name = F.col("_metadata.file_name")
+    end = F.regexp_extract(name, _WINDOW, 2)
+    position = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return rows.select("*", F.concat(F.rpad(end, 8, "0"), F.lit(" "), name).alias("_order"), position.alias("_position"))
+
+
+def read_ndjson_with_rejects(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The good records, and ``(file, line)`` of the lines that are no record of the schema.
+
+    For loads that must not end at one bad line. Both frames read the files; count the rejects, or write them.
+    """
+    whole = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
+    # ``inline`` keeps Spark from parsing a line once for every field
+    parsed = lines.where(F.trim("line") != "").select("file", "line", F.inline(F.array(F.from_json("line", whole, options))))
+    return parsed.where("_bad IS NULL").select(*schema.names), parsed.where("_bad IS NOT NULL").select("file", "line")
+
+
 def prefix_glob(folder: str, prefix: str, extension: str) -> str:
     """All files of a folder with a name prefix; one read takes them together."""
     return f"{folder.rstrip('/')}/{prefix}*.{extension}"
@@ -140,7 +193,10 @@ def chart_rows(pages: DataFrame) -> DataFrame:
     rows = spread.select("url", "year", "week", "headers", F.inline(kept))
     # a row without a text for some header has null there, texts beyond the headers are left out
     texts = F.slice(html.texts_of(F.col("shown")), F.lit(1), F.size("headers"))
-    return rows.select("url", "year", "week", "position", F.map_from_entries(F.arrays_zip("headers", texts)).alias("cells"))
+    # of equal headers the last one counts
+    last = lambda entry, i: i == F.size("headers") - F.array_position(F.reverse("headers"), entry["headers"])
+    cells = F.map_from_entries(F.filter(F.arrays_zip("headers", texts.alias("texts")), last))
+    return rows.select("url", "year", "week", "position", cells.alias("cells"))
 
 
 def weekly_chart(pages: DataFrame) -> DataFrame:

@@ -1,149 +1,181 @@
-"""A folder of parquet tables that are replaced as a whole or not at all.
+"""A folder of parquet tables with declared schemas, kept as hash buckets of their keys.
 
-Every load that changes existing rows writes a new version folder next to the current one. A version counts once
-Spark has put its ``_SUCCESS`` file there, so readers see the old rows or the new ones and a failed job leaves no trace
-but an unused folder. The two newest versions are kept for readers that are still on the older one.
+A table is one partitioned parquet data set. ``bucket`` follows from the key, so a merge reads and rewrites the buckets
+that its batch touches and leaves the files of all others alone: Spark's dynamic partition overwrite replaces exactly
+the partitions that are written. An append adds a ``load_id`` partition of its own inside the buckets; a load that is
+run again under the same id replaces what it wrote. A merge keeps every row in its load's partition.
+
+Reads use the declared schema, so files that lack a column give nulls for it. Rows may carry ``source_order``, a text
+that tells which of two rows is the later one; the tables keep it, and upserts do not let an older row win.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filmgrid import schemas
 from filmgrid.operators import merge
+from filmgrid.session import delete_path, path_exists
 from filmgrid.sources import readers, writers
 
-_VERSION = re.compile(r"v(\d{8})$")
-KEEP = 2
+#: buckets of a table; a table must be opened with the number it was made with
+BUCKETS = 64
+#: the load that merged and replaced rows belong to
+MERGED = "merged"
+ORDER = "source_order"
+PLACE = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("load_id", T.StringType())])
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, tables=None):
+    """Tables below ``root``; ``tables`` maps a name to its schema and its key columns. One writer at a time."""
+
+    def __init__(self, spark: SparkSession, root: str, tables=None, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = dict(tables if tables is not None else schemas.WAREHOUSE_TABLES)
+        self.buckets = buckets
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def _schema(self, table: str) -> T.StructType:
+        """What is stored of a row, apart from its place."""
+        return T.StructType([*self.tables[table][0].fields, T.StructField(ORDER, T.StringType())])
+
+    def _stored(self, table: str) -> DataFrame:
+        """The rows with their place."""
+        if not self.exists(table):
+            raise ValueError(f"no table {table}")
+        return self.spark.read.schema(T.StructType([*self._schema(table).fields, *PLACE.fields])).parquet(self.path(table))
+
+    def _bucket(self, table: str) -> Column:
+        return F.pmod(F.xxhash64(*self.tables[table][1]), F.lit(self.buckets)).cast("int")
+
+    def _write(self, table: str, rows: DataFrame, overwrite: str) -> None:
+        """Rows with their ``load_id`` to their buckets; adaptive execution decides on the files of a bucket."""
+        placed = rows.withColumn("bucket", self._bucket(table)).hint("rebalance", "bucket")
+        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+        writer.partitionBy(*PLACE.names).parquet(self.path(table))
 
-    # folders
-
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _fs(self, path: str):
-        return self._path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _versions(self, table: str) -> list[tuple[int, bool]]:
-        folder = f"{self.root}/{table}"
-        fs = self._fs(folder)
-        if not fs.exists(self._path(folder)):
-            return []
-        found = []
-        for status in fs.listStatus(self._path(folder)):
-            match = _VERSION.search(status.getPath().getName())
-            if match:
-                done = fs.exists(self._path(f"{folder}/{status.getPath().getName()}/_SUCCESS"))
-                found.append((int(match.group(1)), done))
-        return sorted(found)
-
-    def _folder(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:08d}"
-
-    def current(self, table: str) -> str | None:
-        done = [version for version, complete in self._versions(table) if complete]
-        return self._folder(table, done[-1]) if done else None
-
-    def _replace(self, table: str, df: DataFrame) -> None:
-        versions = self._versions(table)
-        df.write.mode("errorifexists").parquet(self._folder(table, versions[-1][0] + 1 if versions else 1))
-        done = [version for version, complete in self._versions(table) if complete]
-        for version, _ in versions:
-            if version < done[-KEEP:][0]:
-                self._fs(self.root).delete(self._path(self._folder(table, version)), True)
+    def _aside(self, rows: DataFrame) -> str:
+        """The rows written to a folder of their own: that cuts their lineage and gives Spark their true size."""
+        folder = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        rows.write.parquet(folder)
+        return folder
 
     # tables
 
     def exists(self, table: str) -> bool:
-        return self.current(table) is not None
+        return path_exists(self.spark, f"{self.path(table)}/_SUCCESS")
 
     def create_if_absent(self, table: str) -> None:
         if not self.exists(table):
-            self._replace(table, self.spark.createDataFrame([], self.tables[table][0]))
+            self.truncate(table)
 
     def create_all(self) -> None:
         for table in self.tables:
             self.create_if_absent(table)
 
     def read(self, table: str) -> DataFrame:
-        path = self.current(table)
-        if path is None:
-            raise ValueError(f"no table {table}")
-        return self.spark.read.parquet(path)
+        return self._stored(table).drop(*PLACE.names, ORDER)
+
+    def truncate(self, table: str) -> None:
+        """Remove all rows."""
+        self._write(table, self.spark.createDataFrame([], self._schema(table)).withColumn("load_id", F.lit(MERGED)), "static")
 
     def drop_all(self, confirm: bool = False) -> None:
         if not confirm:
             raise ValueError("dropping every table needs confirm=True")
         for table in self.tables:
-            self._fs(self.root).delete(self._path(f"{self.root}/{table}"), True)
+            delete_path(self.spark, self.path(table))
 
     # loads
 
-    def load(self, table: str, df: DataFrame, run_time, mode: str = "append") -> None:
-        """``append`` adds rows, ``truncate`` replaces rows and schema, ``empty`` adds rows to an empty table only."""
-        df = writers.stamp(df, run_time)
+    def load(self, table: str, df: DataFrame, run_time, mode: str = "append", load_id: str | None = None) -> None:
+        """``append`` adds rows, ``truncate`` replaces all rows, ``empty`` adds rows to an empty table only.
+
+        Columns that the batch lacks are null. Rows appended under a ``load_id`` replace those that an earlier attempt
+        under the same id has written; without one, every append is a load of its own.
+        """
+        if mode not in ("append", "truncate", "empty"):
+            raise ValueError(f"unknown mode {mode}")
+        if load_id == MERGED:
+            raise ValueError(f"{MERGED} names no load")
+        rows = writers.conform(writers.stamp(df, run_time), self._schema(table))
         if mode == "truncate":
-            self._replace(table, df)
+            # computed in full before the old rows go
+            folder = self._aside(rows)
+            try:
+                self._write(table, self.spark.read.schema(rows.schema).parquet(folder).withColumn("load_id", F.lit(MERGED)), "static")
+            finally:
+                delete_path(self.spark, folder)
             return
-        if mode not in ("append", "empty"):
-            raise ValueError(f"unknown mode {mode}")
         self.create_if_absent(table)
-        present = self.read(table)
-        if mode == "empty" and not present.isEmpty():
+        if mode == "empty" and not self.read(table).isEmpty():
             raise ValueError(f"table {table} is not empty")
-        writers.conform(df, present.schema).write.mode("append").parquet(self.current(table))
-
-    def load_csv(self, table: str, path: str, run_time, mode: str = "append") -> None:
+        if load_id:  # a bucket that this attempt does not reach must not keep rows of the last one
+            earlier = self._stored(table).where(F.col("load_id") == load_id).select("bucket").distinct()
+            for row in earlier.collect():  # at most as many numbers as the table has buckets
+                delete_path(self.spark, f"{self.path(table)}/bucket={row['bucket']}/load_id={load_id}")
+        self._write(table, rows.withColumn("load_id", F.lit(load_id or uuid.uuid4().hex)), "dynamic")
+
+    def load_csv(
+        self, table: str, path: str, run_time, mode: str = "append", multi_line: bool = False, load_id: str | None = None
+    ) -> None:
         """A cleaned CSV file with a header row; arrays in it are JSON text."""
-        schema = self.tables[table][0]
-        fields = [f for f in schema.fields if f.name != "insertion_datetime"]
+        fields = [f for f in self.tables[table][0].fields if f.name != "insertion_datetime"]
         flat = T.StructType([T.StructField(f.name, T.StringType() if _is_nested(f) else f.dataType) for f in fields])
-        df = readers.read_csv(self.spark, path, flat)
+        df = readers.read_csv(self.spark, path, flat, multi_line)
         columns = [F.from_json(f.name, f.dataType).alias(f.name) if _is_nested(f) else F.col(f.name) for f in fields]
-        self.load(table, df.select(*columns), run_time, mode)
-
-    def truncate(self, table: str) -> None:
-        """Remove all rows, keep the schema."""
-        self._replace(table, self.spark.createDataFrame([], self.read(table).schema))
-
-    def _staged(self, table: str, df: DataFrame, run_time, apply) -> None:
-        """Write the batch with the table's types, merge it, and remove the written batch again.
-
-        The written batch cuts the lineage of whatever computed it and gives Spark its true size, on which the choice
-        of join rests.
-        """
-        target = self.read(table)
-        folder = f"{self.root}/_staging/{table}-{uuid.uuid4().hex}"
-        writers.conform(writers.stamp(df, run_time), target.schema).write.parquet(folder)
+        self.load(table, df.select(*columns), run_time, mode, load_id)
+
+    # merges
+
+    def _merge(self, table: str, df: DataFrame, run_time, keys: Sequence[str] | None, apply) -> None:
+        """Reads and rewrites the buckets of the batch; the result is computed in full before any file is replaced."""
+        stored = self.tables[table][1]
+        keys = list(keys or stored)
+        stamped = writers.stamp(df, run_time)
+        schema = self._schema(table)
+        unknown = [c for c in stamped.columns if c not in schema.names]
+        if unknown:
+            raise ValueError(f"columns missing from the target: {unknown}")
+        fields = [f for f in schema.fields if f.name in stamped.columns]
+        batch_folder = self._aside(stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]))
+        result_folder = None
         try:
-            source = self.spark.read.parquet(folder)
-            if not source.isEmpty():
-                self._replace(table, apply(target, source))
+            batch = self.spark.read.schema(T.StructType(fields)).parquet(batch_folder)
+            if batch.isEmpty():
+                return
+            target = self._stored(table)
+            if set(stored) <= set(keys):  # other keys say nothing about the buckets
+                numbers = [r["bucket"] for r in batch.select(self._bucket(table).alias("bucket")).distinct().collect()]
+                target = target.where(F.col("bucket").isin(numbers))
+            merged = apply(target.drop("bucket"), batch, keys)
+            result_folder = self._aside(merged.withColumn("load_id", F.coalesce("load_id", F.lit(MERGED))))
+            result = self.spark.read.schema(T.StructType([*schema.fields, PLACE["load_id"]])).parquet(result_folder)
+            self._write(table, result, "dynamic")
         finally:
-            self._fs(folder).delete(self._path(folder), True)
+            delete_path(self.spark, batch_folder)
+            if result_folder:
+                delete_path(self.spark, result_folder)
 
     def upsert(self, table: str, df: DataFrame, run_time, keys: Sequence[str] | None = None) -> None:
-        """Add new rows and overwrite known ones, nulls included. An empty batch changes nothing."""
-        keys = list(keys or self.tables[table][1])
-        self._staged(table, df, run_time, lambda target, source: merge.upsert(target, source, keys))
+        """Add new rows and overwrite known ones, nulls included. An empty batch changes nothing.
+
+        If the batch has ``source_order``, a known row is overwritten only by one that is not older.
+        """
+        newer = [ORDER] if ORDER in df.columns else []
+        self._merge(table, df, run_time, keys, lambda target, batch, on: merge.upsert(target, batch, on, newer))
 
     def update(self, table: str, df: DataFrame, run_time, keys: Sequence[str] | None = None) -> None:
         """Overwrite known rows where the batch has a value. An empty batch changes nothing."""
-        keys = list(keys or self.tables[table][1])
-        self._staged(table, df, run_time, lambda target, source: merge.update_known(target, source, keys))
+        self._merge(table, df, run_time, keys, merge.update_known)
 
 
 def _is_nested(field: T.StructField) -> bool:

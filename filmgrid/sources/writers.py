@@ -26,8 +26,10 @@ def stamp(df: DataFrame, run_time) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast the columns that a frame shares with a table schema; others are refused."""
+    """The frame with a table's columns and types; columns that it lacks are null, others are refused."""
     unknown = [c for c in df.columns if c not in schema.names]
     if unknown:
         raise ValueError(f"columns missing from the table: {unknown}")
-    return df.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in df.columns])
+    return df.select(
+        *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )

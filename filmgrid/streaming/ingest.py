@@ -4,11 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filmgrid.operators import dedup
-from filmgrid.sources.warehouse import Warehouse
+from filmgrid.sources.warehouse import ORDER, Warehouse
+
+
+def order_text(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Order columns as one text that sorts as they do: nulls first, then by value. Texts, whole numbers, dates, times."""
+
+    def part(name: str) -> Column:
+        kind, value = df.schema[name].dataType, F.col(name)
+        if isinstance(kind, T.IntegralType):
+            # moved to positive numbers, so that digits of equal length sort by value
+            text = F.lpad((value.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            text = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif isinstance(kind, T.StringType):
+            text = value
+        else:
+            raise ValueError(f"{name} of type {kind.simpleString()} cannot give an order")
+        return F.coalesce(F.concat(F.lit("1"), text), F.lit("0"))
+
+    # a separator below all printable characters keeps a shorter text before a longer one
+    return F.concat_ws("\x01", *[part(c) for c in columns])
 
 
 def ingest_files(
@@ -28,17 +49,19 @@ def ingest_files(
 ) -> None:
     """Take in all files that have landed since the last call, then stop.
 
-    Every batch is cut to the last row per key in ``order`` and merged into the table. The checkpoint remembers which
-    files were taken; merging a batch again after a failure gives the same table. The columns of ``order`` need not
-    be part of the table.
+    Every batch is cut to the last row per key in ``order`` and merged into the table, which keeps the order with the
+    row: an older row that lands later does not overwrite a newer one, so the table does not depend on how files fall
+    into batches. The checkpoint remembers which files were taken; merging a batch again after a failure gives the
+    same table. The columns of ``order`` need not be part of the table.
     """
     warehouse.create_if_absent(table)
     table_schema, keys = warehouse.tables[table]
 
     def merge_batch(batch: DataFrame, _batch_id: int) -> None:
-        latest = dedup.keep_last(transform(batch), keys, order)
+        rows = transform(batch)
+        latest = dedup.keep_last(rows, keys, order).withColumn(ORDER, order_text(rows, order))
         columns = [c for c in latest.columns if c in table_schema.names]
-        warehouse.upsert(table, latest.select(*columns), run_time, keys)
+        warehouse.upsert(table, latest.select(*columns, ORDER), run_time, keys)
 
     reader = spark.readStream.format(file_format).schema(schema).option("pathGlobFilter", pattern)
     if files_per_batch:

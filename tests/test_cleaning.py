@@ -179,13 +179,14 @@ def test_weekly_performance(spark, tmp_path):
         + "2022,3,2,-,Jaws 20th Anniversary,$9,-,1\n"
         + "2022,3,3,-,Unknown,$9,-,1\n"
         + '2022,3,4,-,Far?,"$5",-,-\n'
-        + "2040,3,5,-,Film: One,$7,5,1\n"
+        + "2040,53,5,-,Film: One,$7,5,1\n"
     )
     raw = readers.read_csv(spark, str(tmp_path / "weekly_chart_1.csv"), schemas.WEEKLY_CHART)
     movies = spark.createDataFrame(
         [(1, "film one", date(2022, 1, 7)), (2, "Film One", date(2010, 1, 1)), (3, "far!", date(2021, 1, 1))],
         "movie_id long, title string, release_date date",
     )
+    assert [(r.year, r.week, r.reason) for r in cleaning.chart_rejects(raw).collect()] == [(2040, 53, "no such week in the year")]
     found = [tuple(r) for r in cleaning.weekly_performance(raw, movies).collect()]
     assert found == [(date(2022, 1, 27), 1, 1, 1234, 3210)]
 

@@ -1,5 +1,7 @@
 """Every query with SQL gives the rows DuckDB gives; the others give rows."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -15,7 +17,7 @@ def connection():
     return oracle.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not re.match(r"op\d+_|pipeline$", n)))
 def test_query(name, spark, connection):
     result = QUERIES[name](spark, FOLDER)
     if name in SQL:

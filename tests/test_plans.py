@@ -9,22 +9,23 @@ import __spark_entry__ as entry
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
 WRITERS = {"warehouse_upsert", "warehouse_append", "csv_round_trip", "ndjson_round_trip", "incremental_upsert"}
-MODELS = {"lr_predict", "rf_predict", "forecast_predict"}
-# one-row sides only, see operators.distribution
-ONE_ROW_JOINS = {"roi_histogram", "roi_density"}
+WRITERS |= {"latest_landed_file", "files_of_a_window", "last_landed_row", "json_documents", "warehouse_csv_load"}
+WRITERS |= {"warehouse_append_partial_columns", "warehouse_steps", "incremental_upsert_out_of_order", "weekly_update_two_weeks"}
+MODELS = {"lr_predict", "rf_predict", "forecast_predict", "line_over_budget", "model_checks", "parameters"}
+#: those of the corpus operators have tests of their own
+CORPUS = {name for name in QUERIES if re.match(r"op\d+_|pipeline$", name)}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITERS - MODELS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITERS - MODELS - CORPUS))
 def test_plan(name, spark):
     text = plan(QUERIES[name](spark, FOLDER))
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert "CartesianProduct" not in text
-    if name not in ONE_ROW_JOINS:
-        assert "BroadcastNestedLoopJoin" not in text
+    assert "BroadcastNestedLoopJoin" not in text
     for window in re.findall(r"Window \[.*windowspecdefinition\(([^,]*)", text):
         assert "ASC" not in window and "DESC" not in window, "window without partition"
 

@@ -8,7 +8,8 @@ from filmgrid.plans import warehouse_jobs
 from filmgrid.session import fresh_path
 from filmgrid.sources import readers, writers
 from filmgrid.sources.warehouse import Warehouse
-from filmgrid.streaming.ingest import ingest_files
+from filmgrid.streaming.ingest import ingest_files, order_text
+from pyspark.sql import functions as F
 from test_cleaning import CHART_HEADER, film
 
 NOW = datetime(2024, 4, 1, 8)
@@ -53,19 +54,56 @@ def test_upsert_and_update(spark, tmp_path):
     assert values(warehouse.read("t"), "id", "v", "words", "insertion_datetime") == [(1, "a", ["x"], NOW), (2, None, [], LATER), (3, "c", None, LATER)]
     warehouse.update("t", spark.createDataFrame([(1, None), (3, "d"), (9, "z")], "id int, v string"), NOW)
     assert values(warehouse.read("t"), "id", "v") == [(1, "a"), (2, None), (3, "d")]
-    before = warehouse.current("t")
+    before = files(tmp_path)
     warehouse.upsert("t", batch.limit(0), NOW)
-    assert warehouse.current("t") == before
-    assert len(warehouse._versions("t")) <= 3
+    assert files(tmp_path) == before
+    assert not list((tmp_path / "w" / "_staging").iterdir())
 
 
-def test_unfinished_version_is_ignored(spark, tmp_path):
+def files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in (folder / "w" / "t").rglob("*.parquet")}
+
+
+def test_merge_leaves_other_buckets_alone(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"), SIMPLE, buckets=8)
+    rows = spark.createDataFrame([(i, "a") for i in range(200)], "id long, v string")
+    warehouse.load("t", rows, NOW, "truncate")
+    before = files(tmp_path)
+    assert len(before) >= 8
+    warehouse.upsert("t", rows.where("id = 7").withColumn("v", F.lit("b")), LATER)
+    after = files(tmp_path)
+    gone = [p for p in before if p not in after]
+    assert len({p.split("bucket=")[1].split("/")[0] for p in gone}) == 1
+    assert all(after[p] == t for p, t in before.items() if p in after)
+    assert warehouse.read("t").count() == 200 and warehouse.read("t").where("v = 'b'").count() == 1
+    assert values(warehouse.read("t").where("id = 7"), "id", "v", "insertion_datetime") == [(7, "b", LATER)]
+
+
+def test_appends_by_load(spark, tmp_path):
+    """A repeated load replaces what it wrote, a batch without a column gives nulls, and merges keep the loads apart."""
+    warehouse = Warehouse(spark, str(tmp_path / "w"), SIMPLE, buckets=4)
+    warehouse.create_all()
+    rows = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "id long, v string")
+    warehouse.load("t", rows, NOW, "append", load_id="one")
+    warehouse.load("t", rows.where("id < 3").select("id"), NOW, "append", load_id="two")
+    for _ in range(2):
+        warehouse.load("t", rows.where("id >= 18"), LATER, "append", load_id="one")
+    assert values(warehouse.read("t"), "id", "v") == [(0, None), (1, None), (18, "v18"), (19, "v19"), (2, None)]
+    warehouse.upsert("t", rows.where("id in (1, 19, 5)").withColumn("v", F.lit("new")), LATER)
+    assert values(warehouse.read("t"), "id", "v") == [(0, None), (1, "new"), (18, "v18"), (19, "new"), (2, None), (5, "new")]
+    with pytest.raises(ValueError, match="names no load"):
+        warehouse.load("t", rows, NOW, "append", load_id="merged")
+
+
+def test_older_rows_do_not_win(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w"), SIMPLE)
     warehouse.create_all()
-    (tmp_path / "w" / "t" / "v00000002").mkdir()
-    assert warehouse.current("t").endswith("v00000001")
-    warehouse.load("t", spark.createDataFrame([(1, "a")], "id long, v string"), NOW, "truncate")
-    assert warehouse.current("t").endswith("v00000003")
+    row = lambda v, order: spark.createDataFrame([(1, v, order)], "id long, v string, source_order string")
+    for v, order in (("b", "2"), ("a", "1"), ("c", "2"), ("n", None)):
+        warehouse.upsert("t", row(v, order), NOW)
+    assert values(warehouse.read("t"), "id", "v") == [(1, "c")]
+    warehouse.upsert("t", row("plain", None).drop("source_order"), NOW)
+    assert values(warehouse.read("t"), "id", "v") == [(1, "plain")]
 
 
 def test_csv_with_arrays(spark, tmp_path):
@@ -101,6 +139,9 @@ def test_files(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         readers.read_window(spark, str(tmp_path), "u", "ndjson", schema, date(2020, 1, 1), date(2020, 1, 8), required=True)
     assert readers.read_window(spark, str(tmp_path), "u", "ndjson", schema).count() == 3
+    (tmp_path / "bad.ndjson").write_text('{"id": 1}\nnot json\n{"id": 2}\n')
+    good, bad = readers.read_ndjson_with_rejects(spark, str(tmp_path / "bad.ndjson"), schema)
+    assert values(good, "id") == [(1,), (2,)] and values(bad, "file", "line") == [("bad.ndjson", "not json")]
     (tmp_path / "doc.json").write_text('[\n{"id": 1},\n{"id": 2}\n]')
     assert readers.read_json_document(spark, str(tmp_path / "doc.json"), schema).count() == 2
 
@@ -131,8 +172,8 @@ def test_initial_load_and_weekly_update(spark, tmp_path):
     _land(landing, "update_raw_movie_details_20231225_20240101.ndjson", [film(1, title="Old news")])
     fresh = film(3, title="Three", videos={"results": [{"key": "v3", "site": "YouTube", "type": "Trailer", "published_at": "p"}]})
     _land(landing, "update_raw_movie_details_20240101_20240108.ndjson", [film(1, title="One again"), fresh])
-    _land(landing, "update_raw_people_1.ndjson", [{"id": 31, "name": "N"}])
-    _land(landing, "update_people_changes_1.ndjson", [
+    _land(landing, "append_raw_people_20240101_20240108.ndjson", [{"id": 31, "name": "N", "popularity": 9.0}])
+    _land(landing, "update_raw_people_20240101_20240108.ndjson", [
         {"people_id": 11, "changes": [{"key": "birthday", "items": [{"action": "added", "value": "1980-01-01"}]}]},
         {"people_id": 77, "changes": [{"key": "name", "items": [{"action": "updated", "value": "nobody"}]}]},
     ])
@@ -140,14 +181,32 @@ def test_initial_load_and_weekly_update(spark, tmp_path):
     (landing / "raw_youtube_video_stats_20240101_20240108.csv").write_text("id,viewCount,likeCount,commentCount\nv3,7,1,1\nv3,8,1,1\n")
     (landing / "update_weekly_chart_1.csv").write_text(CHART_HEADER + "2022,2,1,-,Two,$60,-,2\n2022,3,1,-,Three,$5,1,2\n")
     for _ in range(2):  # running it again changes nothing
-        warehouse_jobs.weekly_update(spark, str(landing), warehouse, languages, run, LATER)
+        warehouse_jobs.weekly_update(spark, str(landing), warehouse, languages, LATER)
     assert values(warehouse.read("movie"), "movie_id", "title") == [(1, "One again"), (2, "Two"), (3, "Three")]
     assert values(warehouse.read("people"), "people_id", "name", "birthday") == [(11, "A", date(1980, 1, 1)), (21, "D", None), (31, "N", None)]
     assert values(warehouse.read("collection"), "collection_id", "name") == [(10, "New"), (9, "C")]
     assert values(warehouse.read("video_stats"), "movie_id", "view_count") == [(1, 10), (2, 10), (3, 8)]
     chart = warehouse.read("weekly_domestic_performance")
+    n_chart = chart.count()
     assert (2, 60) in values(chart, "movie_id", "domestic_gross") and chart.where("movie_id = 3").count() == 1
 
+    # the next week: changes again, a person's record anew, falling counts, and a late file of the week before
+    _land(landing, "update_raw_people_20240108_20240115.ndjson", [
+        {"people_id": 11, "changes": [{"key": "name", "items": [{"action": "updated", "value": "Aa"}]}]},
+        {"people_id": 11, "changes": [{"key": "name", "items": [{"action": "updated", "value": "Ab"}]}]},
+    ])
+    _land(landing, "append_raw_people_20240108_20240115.ndjson", [{"id": 31, "name": "N", "popularity": 2.0}])
+    _land(landing, "update_raw_movie_details_20240101_20240107.ndjson", [film(3, title="Three too early"), film(4, title="Four")])
+    (landing / "raw_youtube_video_stats_20240108_20240115.csv").write_text("id,viewCount,likeCount,commentCount\nv3,4,1,1\n")
+    for _ in range(2):
+        warehouse_jobs.weekly_update(spark, str(landing), warehouse, languages, LATER)
+    assert values(warehouse.read("movie"), "movie_id", "title") == [(1, "One again"), (2, "Two"), (3, "Three"), (4, "Four")]
+    assert values(warehouse.read("people"), "people_id", "name", "birthday", "tmdb_popularity") == [
+        (11, "Ab", date(1980, 1, 1), None), (21, "D", None, None), (31, "N", None, 2.0),
+    ]
+    assert (3, 4) in values(warehouse.read("video_stats"), "movie_id", "view_count")
+    assert warehouse.read("weekly_domestic_performance").count() == n_chart
+
 
 def test_stream_equals_batch(spark, tmp_path):
     landing = tmp_path / "landing"
@@ -165,7 +224,12 @@ def test_stream_equals_batch(spark, tmp_path):
     ingest()
     _land(landing, "in_3.ndjson", [{"id": 3, "v": "e", "seq": 5}])
     ingest()
-    before = warehouse.current("t")
+    before = files(tmp_path)
     ingest()
-    assert warehouse.current("t") == before
+    assert files(tmp_path) == before
     assert values(warehouse.read("t"), "id", "v") == [(1, "d"), (2, "c"), (3, "e")]
+    _land(landing, "in_4.ndjson", [{"id": 3, "v": "late", "seq": 4}, {"id": 2, "v": None, "seq": 6}])
+    ingest()
+    assert values(warehouse.read("t"), "id", "v") == [(1, "d"), (2, None), (3, "e")]
+    assert [r[0] for r in spark.createDataFrame([(-5, "a"), (None, None), (40, "b"), (3, "a")], "n int, s string").withColumn(
+        "o", order_text(spark.createDataFrame([], "n int, s string"), ["n", "s"])).orderBy("o").select("n").collect()] == [None, -5, 3, 40]
