@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmgrid.llm import chat, decontamination, host_quality, line_dedup, packing, reputation, sharding, simhash, token_counts, warc
+from filmgrid.llm import chat, decontamination, host_quality, line_dedup, packing, reputation, sharding, simhash, sql, token_counts, warc
 from filmgrid.llm.common import table
 from filmgrid.session import fresh_path
 
@@ -88,4 +88,9 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
 }
 
-SQL: dict[str, str] = {}
+#: the others hash, tokenize or draw in ways that SQL cannot state; the tests compare them with plain versions
+SQL: dict[str, str] = {
+    "op5_quality": sql.QUALITY,
+    "op9_url_filter": sql.url_filter(URL_RULES),
+    "op10_line_dedup": sql.LINES,
+}

@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 import brute
 import numpy as np
+import oracle
 import pytest
 
 from filmgrid.llm import queries as registered
@@ -109,6 +110,11 @@ def test_line_dedup(run, rows):
     assert found == {d: (n, k, brute.sha256(t)) for d, (n, k, t) in expected.items()}
 
 
+@pytest.mark.parametrize("name", sorted(registered.SQL))
+def test_sql(name, spark, folder):
+    assert oracle.differences(QUERIES[name](spark, folder), oracle.connect(folder), registered.SQL[name]) == []
+
+
 def test_every_operator_has_one_query():
     assert [n.split("_")[0] for n in registered.QUERIES] == [f"op{i}" for i in range(1, 11)]
     assert set(registered.SQL) <= set(registered.QUERIES)
