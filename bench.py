@@ -10,12 +10,13 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from filmgrid.registry import all_queries  # noqa: E402
-from filmgrid.session import build_session  # noqa: E402
+from filmgrid.session import build_session, scratch  # noqa: E402
 
 HEADLINE = [
     "genre_revenue_weekly",
@@ -44,6 +45,14 @@ HEADLINE = [
     "latest_by_key",
     "upsert_orders",
     "update_nonnull_orders",
+    "lr_predict",
+    "rf_predict",
+    "forecast_predict",
+    "warehouse_upsert",
+    "incremental_upsert",
+    "nearest_title_match",
+    "weekly_performance_after_updates",
+    "planned_features",
 ]
 RUNS = 3
 
@@ -53,12 +62,15 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     spark = build_session("bench", master=f"local[{cpus}]", cores=cpus)
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="filmgrid-bench-"))
     queries = all_queries()
 
     def run(name: str) -> float:
         start = time.perf_counter()
-        queries[name].run(spark, folder).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - start
+        with scratch(spark):
+            queries[name].run(spark, folder).write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - start
 
     seconds = {}
     for name in HEADLINE:

@@ -59,8 +59,3 @@ def interval_low(value: Column, margin: float = INTERVAL_MARGIN) -> Column:
 
 def interval_high(value: Column, margin: float = INTERVAL_MARGIN) -> Column:
     return F.bround(value + F.lit(margin), 2)
-
-
-def skip_nan(value: Column) -> Column:
-    """NaN as null, so that ordering and extremes pass over it."""
-    return F.when(~F.isnan(value), value)

@@ -52,10 +52,12 @@ def chart_pages(spark, folder):
     page = F.concat(
         F.lit('<html><body><table class="other"><tr><th>Release</th></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>'),
         F.lit('<!-- chart --><table class="a-bordered mojo-body-table scroll">\n<tr><th>Rank</th><th class="a-hidden hidden">LW'),
-        F.lit("</th><th>Release\n</th><th>Gross</th><th>Theaters</th><th>Weeks</th></tr>\n<tr>"),
+        # Gross comes twice, of which the last counts
+        F.lit("</th><th>Release\n</th><th>Gross</th><th>Gross</th><th>Theaters</th><th>Weeks</th></tr>\n<tr>"),
         cell(F.col("o_custkey").cast("string")),
         F.lit('<td class="hidden">-</td>'),
-        cell(F.concat(F.lit('<a href="/release/">'), F.col("o_orderpriority"), F.lit(" &amp; Co &#39;s\n</a>"))),
+        cell(F.concat(F.lit('<a href="/release/">'), F.col("o_orderpriority"), F.lit(" &amp; Co &#39;s &#9999999;&#xD800;\n</a>"))),
+        cell(F.lit("none")),
         cell(F.concat(F.lit("$"), F.format_number(F.floor("o_totalprice"), 0))),
         cell(F.col("o_orderkey").cast("string")),
         F.lit("<td>-</td></tr><tr><td>9</td><td>too short</td></tr></table></body></html>"),
@@ -97,7 +99,7 @@ def display_forms(spark, folder):
 def list_text(spark, folder):
     """Lists written as text read back, joined, and their first tokens."""
     words = F.split("p_name", " ")
-    listed = F.concat(F.lit("['"), F.array_join(words, "', '"), F.lit("']"))
+    listed = F.concat(F.lit("['"), F.array_join(words, "', '"), F.lit("', \"it's\", 'a \\'b\\'']"))
     back = text.parse_string_list(listed)
     return table(spark, folder, "part").select(
         "p_partkey",
@@ -272,7 +274,7 @@ SELECT page_id, CAST(position AS INTEGER) AS position, {_PLAIN.format("item")} A
     "chart_rows_from_html": Query(
         chart_rows_from_html,
         """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(weekofyear(CAST(o_orderdate AS DATE)) AS INTEGER) AS week,
-       o_orderpriority || ' & Co ''s' AS "Release", o_custkey AS "Rank",
+       o_orderpriority || ' & Co ''s ' || chr(65533) || chr(65533) AS "Release", o_custkey AS "Rank",
        '$' || format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS "Gross",
        CAST(o_orderkey AS VARCHAR) AS "Theaters", '-' AS "Weeks"
 FROM orders""",
@@ -302,7 +304,7 @@ FROM lineitem""",
     ),
     "list_text": Query(
         list_text,
-        """SELECT p_partkey, replace(p_name, ' ', ', ') AS joined, CAST(len(string_split(p_name, ' ')) AS INTEGER) AS n,
+        """SELECT p_partkey, replace(p_name, ' ', ', ') || ', it''s, a ''b''' AS joined, CAST(len(string_split(p_name, ' ')) AS INTEGER) + 2 AS n,
        p_name AS token, contains(p_name, 'ring') AS has_ring FROM part""",
     ),
     "date_parts": Query(

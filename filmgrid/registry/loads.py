@@ -95,14 +95,14 @@ def warehouse_append(spark, folder):
 
 
 def csv_round_trip(spark, folder):
-    """Line items through CSV files, found again by a name pattern."""
+    """Line items through CSV files, found again by a name pattern; the flags have quotes and line feeds."""
     path = fresh_path(spark, "csv")
     lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_extendedprice", F.concat("l_returnflag", F.lit(', "'), "l_linestatus", F.lit('"')).alias("flags")
+        "l_orderkey", "l_linenumber", "l_extendedprice", F.concat("l_returnflag", F.lit(', "'), "l_linestatus", F.lit('"\nend')).alias("flags")
     )
     writers.write_csv(lines, path)
     schema = schemas.record(flags=schemas.STRING, l_orderkey=schemas.LONG, l_linenumber=schemas.INT, l_extendedprice=schemas.DOUBLE)
-    return readers.read_csv(spark, readers.prefix_glob(path, "part-", "csv"), schema)
+    return readers.read_csv(spark, readers.prefix_glob(path, "part-", "csv"), schema, multi_line=True)
 
 
 def ndjson_round_trip(spark, folder):
@@ -144,7 +144,7 @@ QUERIES = {
     ),
     "csv_round_trip": Query(
         csv_round_trip,
-        """SELECT l_returnflag || ', "' || l_linestatus || '"' AS flags, l_orderkey, l_linenumber, l_extendedprice FROM lineitem""",
+        """SELECT l_returnflag || ', "' || l_linestatus || '"' || chr(10) || 'end' AS flags, l_orderkey, l_linenumber, l_extendedprice FROM lineitem""",
     ),
     "ndjson_round_trip": Query(ndjson_round_trip, "SELECT event_id, user_id, event_type FROM events"),
     "incremental_upsert": Query(

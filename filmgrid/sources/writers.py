@@ -8,7 +8,10 @@ from pyspark.sql import types as T
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header. CSV knows no arrays or structs, so these are written as JSON text."""
+    """CSV with a header. CSV knows no arrays or structs, so these are written as JSON text.
+
+    Texts with line feeds are written in quotes; read such files with ``multi_line``.
+    """
     nested = (T.ArrayType, T.StructType, T.MapType)
     columns = [
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema.fields

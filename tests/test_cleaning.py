@@ -310,6 +310,33 @@ def test_genre_sums_add_up(spark):
     assert total == sum(r * len(g) * (i % 3) for i, g, r, b in films if b > 0)
 
 
+def test_weeks_without_votes_count_as_zero(spark):
+    movies = spark.createDataFrame([(1, ["A"], None), (2, ["B"], 3)], "movie_id long, genres array<string>, tmdb_vote_count long")
+    weekly = spark.createDataFrame([(1, date(2024, 3, 7)), (2, date(2024, 3, 7))], "movie_id long, week_end_date date")
+    found = dashboard.genre_popularity(movies, weekly, "tmdb_vote_count")
+    assert {r.genres: r.tmdb_vote_count for r in found.collect()} == {"A": 0, "B": 3}
+
+
+def test_missing_numbers_in_models(spark):
+    rows = [(i, float(10 * i), float("nan") if i % 5 == 0 else float(i), date(2020, 1, 1 + i % 28), None if i % 7 == 0 else 90.0, None, i % 3, i % 4, None, 2) for i in range(80)]
+    movies = spark.createDataFrame(rows, "movie_id long, revenue double, budget double, release_date date, runtime double, tmdb_vote_count int, cast1_id int, cast2_id int, director_id long, producer_id int")
+    features = prediction.identity_features(movies)
+    for model in (prediction.train_linear(features, hashed=64), prediction.train_forest(features, trees=3)):
+        assert prediction.predict(model, features).where("predicted_revenue IS NULL OR isnan(predicted_revenue)").count() == 0
+
+
+def test_person_means_leave_the_own_film_out(spark):
+    features = spark.createDataFrame(
+        [(1, 10.0, "a", None, None, "x"), (2, 30.0, "a", None, None, None), (3, None, "a", "b", None, None)],
+        "movie_id long, label double, cast1_id string, cast2_id string, director_id string, producer_id string",
+    )
+    totals = prediction.person_totals(features)
+    own = {r.movie_id: r for r in prediction.with_person_means(features, totals, 20.0, own=True).collect()}
+    prior = prediction.PRIOR_FILMS
+    assert own[1].cast1_mean == (30.0 + prior * 20.0) / (1 + prior) and own[2].cast1_mean == (10.0 + prior * 20.0) / (1 + prior)
+    assert own[3].cast1_mean == (40.0 + prior * 20.0) / (2 + prior) and own[3].cast2_mean == 20.0 and own[1].director_mean == 20.0
+
+
 def test_latest_statistics(spark):
     stats = spark.createDataFrame(
         [("a", None, 5.0, 1.0), ("a", 0.0, 3.0, 9.0), ("b", 7.0, 1.0, None), ("b", 8.0, None, None)], schemas.VIMEO_STATS

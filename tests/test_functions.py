@@ -163,6 +163,9 @@ def test_entities(one):
         "&amp;amp;": "&amp;",
         "plain": "plain",
     }
+    broken = "\ufffd"
+    cases |= {"&#9999999;|&#1114112;": f"{broken}|{broken}", "&#xD800;&#0;&#x110000;": broken * 3, "&#99999999999999999999;": broken}
+    cases |= {"&#x000041;&#0000065;": "AA", "&#1114111;": "\U0010ffff"}
     for source, wanted in cases.items():
         assert one(decoded, t=source) == wanted
 

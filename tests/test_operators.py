@@ -126,6 +126,28 @@ def test_exact_quantiles(spark, kind):
     assert np.allclose(found, np.quantile(values, shares), rtol=1e-12)
 
 
+def test_density_repeats_no_rows(spark):
+    curve = distribution.density(spark.createDataFrame([(1.0,), (2.0,), (2.0,), (4.0,)], "v double"), "v", 10)
+    plan = curve._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate") and curve.count() == 11  # only the grid is spread, after the sums
+
+
+def test_grid_of_many_names(spark):
+    """More names than a pivot would take, and no job before the grid is asked for."""
+    df = spark.range(12_000).select((F.col("id") % 2).alias("w"), F.col("id").cast("string").alias("g"), F.lit(1.0).alias("v"))
+    spark.sparkContext.setJobGroup("grid", "grid")
+    grid = reshape.full_grid(df, "w", "g", "v")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("grid")
+    assert tuple(grid.agg(F.count("*"), F.count("v")).first()) == (24_000, 12_000)
+
+
+def test_empty_genre_is_a_genre(spark):
+    plans = [(1, date(2024, 1, 1), []), (2, date(2024, 1, 1), [""]), (3, date(2024, 1, 1), None)]
+    planned = spark.createDataFrame(plans, "plan_id int, plan_date date, plan_genres array<string>")
+    films = spark.createDataFrame([(1, date(2024, 1, 2), ["", "a"]), (2, date(2024, 1, 2), ["a"])], "movie_id int, release_date date, genres array<string>")
+    assert rows(competitors.competitors(planned, films).select("plan_id", "movie_id")) == [(1, 1), (1, 2), (2, 1), (3, 1), (3, 2)]
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
     assert distribution.exact_quantiles(empty, "v", [0.5]) == [None]
