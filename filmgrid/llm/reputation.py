@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmgrid.llm.common import lower_ascii
+from filmgrid.session import written
 
 #: block a host if its bad rate is above this ...
 MAX_BAD_RATE = 0.5
@@ -71,7 +72,8 @@ def host_reputation(outcomes: DataFrame, max_bad_rate: float = MAX_BAD_RATE, dev
         F.count("bad").alias("n"), F.coalesce(F.sum(bad), F.lit(0)).alias("k")
     )
     domain, suffix = host_levels(F.col("host"))
-    hosts = hosts.withColumns({"domain": domain, "suffix": suffix})
+    # written, since every level and every strength looks at it again: the pages are counted once
+    hosts = written(hosts.withColumns({"domain": domain, "suffix": suffix}), "hosts")
     counts = [F.sum("n").alias("n"), F.sum("k").alias("k")]
     base = hosts.agg(((F.coalesce(F.sum("k"), F.lit(0)) + BASE_PAGES / 2) / (F.coalesce(F.sum("n"), F.lit(0)) + BASE_PAGES)).alias("m")).scalar()
     suffixes = _shrunk(hosts.groupBy("suffix").agg(*counts).withColumn("prior", base))
