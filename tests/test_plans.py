@@ -48,6 +48,13 @@ def test_small_batch_leaves_the_target_in_place(spark):
     assert "SortMergeJoin" not in text
 
 
+def test_grid_reads_its_series_once(spark):
+    """Weeks, genres and values all come from the kept series."""
+    text = plan(QUERIES["genre_week_grid"](spark, FOLDER))
+    assert text.count("InMemoryTableScan") >= 3
+    spark.catalog.clearCache()
+
+
 def test_top_films_reads_the_films_once(spark):
     text = plan(QUERIES["top5_films"](spark, FOLDER))
     assert text.count("lineitem.parquet") == 1 and "TakeOrderedAndProject" in text
