@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _ACCURACY = 10_000
+#: values left between two bounds that are sorted as one array; more are narrowed down again
+REST = 10_000
 
 
 def _order_statistics(values: DataFrame, ranks: Sequence[int], n: int) -> dict[int, float]:
@@ -48,6 +50,10 @@ def _order_statistics(values: DataFrame, ranks: Sequence[int], n: int) -> dict[i
             inner.setdefault((low, high), []).append((rank, rank - below - at_low, inside))
     for (low, high), wanted in inner.items():
         part = values.where((x > low) & (x < high))
+        if wanted[0][2] <= REST:
+            rest = part.agg(F.array_sort(F.collect_list("x")).alias("x")).first()["x"]
+            found.update({rank: rest[local] for rank, local, _ in wanted})
+            continue
         deeper = _order_statistics(part, sorted({w[1] for w in wanted}), wanted[0][2])
         found.update({rank: deeper[local] for rank, local, _ in wanted})
     return found

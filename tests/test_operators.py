@@ -109,8 +109,10 @@ def test_competitors_against_brute_force(spark, salts):
     assert rows(found) == sorted(wanted, key=str)
 
 
+@pytest.mark.parametrize("rest", [1, 10_000])
 @pytest.mark.parametrize("kind", ["normal", "ties", "constant", "heavy", "short"])
-def test_exact_quantiles(spark, kind):
+def test_exact_quantiles(spark, kind, rest, monkeypatch):
+    monkeypatch.setattr(distribution, "REST", rest)
     rng = np.random.default_rng(5)
     values = {
         "normal": rng.normal(size=5000),
