@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmgrid.llm import decontamination, host_quality, line_dedup, packing, simhash
@@ -13,12 +13,12 @@ from filmgrid.session import fresh_path, written
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and their host's verdict keep. Rows that repeat an id stay or go together."""
-    verdicts = host_quality.judge_documents(docs).groupBy("doc_id").agg(F.min("kept").alias("_kept"))
-    return _where(docs, verdicts.where("_kept"), "left_semi")
+    verdicts = host_quality.judge_documents(_named(docs, "source")).groupBy("doc_id").agg(F.min("kept").alias("kept"))
+    return _where(docs, verdicts.where("kept"), "left_semi")
 
 
 def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go; the number of characters follows the text."""
+    """Lines that an earlier document holds go; the number of characters follows the text. Rows without an id stay whole."""
     index = line_dedup.LineIndex(spark, fresh_path(spark, "pipeline-lines"))
     index.insert(docs.select("doc_id", "text"))
     cleaned = index.clean(docs, counts=False)
@@ -28,23 +28,37 @@ def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies; of rows that repeat in full, one."""
-    classes = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return _where(docs, classes, "left_semi").dropDuplicates(["doc_id"])
+    """The document with the smallest id of every group of near copies, before any without an id; of rows that repeat an id, one."""
+    classes = simhash.near_duplicates(_named(docs)).where("doc_id = component_id").select("doc_id").distinct()
+    kept = _where(docs, classes, "left_semi")
+    rows = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), _name().alias("name"))
+    return rows.dropDuplicates(["name"]).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    found = decontamination.contaminated(_named(docs), table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return _where(docs, found, "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of all that is left, rows without an id included."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _name() -> Column:
+    """The id; without one, a number above all ids that follows from the text, so that such rows are judged by their texts."""
+    unnamed = F.lit(2**62).cast("long") + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    return F.coalesce(F.col("doc_id").cast("long"), unnamed)
+
+
+def _named(docs: DataFrame, *others: str) -> DataFrame:
+    return docs.select(_name().alias("doc_id"), "text", *others)
+
+
 def _where(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    return docs.join(ids.select("doc_id"), "doc_id", how).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows whose name is (``left_semi``) or is not (``left_anti``) among the ids, with their columns as they are."""
+    return docs.join(ids.select(F.col("doc_id").alias("found")).alias("ids"), _name() == F.col("ids.found"), how)
 
 
 STAGES = [

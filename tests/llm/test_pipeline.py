@@ -53,3 +53,15 @@ def test_stages_on_odd_rows(spark, docs, no_docs, fresh, folder):
                 assert current.columns == frame.columns
         assert frame is docs or current.count() == 0
     assert public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_rows_without_an_id_are_judged_by_their_texts(spark, folder, fresh):
+    """Clean ones stay, whole and once for each text; short ones and copies of a document with an id go."""
+    long = [" ".join(f"{name}{i}" for i in range(40)) for name in ("river", "stone", "cloud")]
+    rows = [(1, long[0], "a"), (None, long[0], "a"), (None, long[1], "a"), (None, long[1], "b"), (None, long[2], None), (None, "short", "a"), (None, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        path = fresh("unnamed")
+        stage(spark, docs, folder).write.parquet(path)
+        docs = spark.read.parquet(path)
+    assert sorted((r.doc_id or 0, r.text) for r in docs.collect()) == sorted([(1, long[0]), (0, long[1]), (0, long[2])])
