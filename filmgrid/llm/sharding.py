@@ -85,17 +85,18 @@ def into_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 42, blo
     cuts = np.cumsum(communication_matrix(sizes, shard_sizes(rows, shards), seed), axis=1)
     matrix = spark.createDataFrame([(i, [int(x) for x in row]) for i, row in enumerate(cuts)], "_block int, _cuts array<long>")
 
-    order = [draw("first"), *[F.col(f"`{k}`") for k in keys]]
-    inside = ranked(placed, ["_block"], F.lit(0), order, "_place")
+    def bucket(value: Column, buckets: int) -> Column:
+        # the top bits of the draw choose the bucket, so the buckets follow the order of the draw
+        return F.floor((F.shiftrightunsigned(value, 33) * buckets) / F.lit(2**31)).cast("int")
+
+    first, second = draw("first"), draw("second")
+    others = [F.col(f"`{k}`") for k in keys]
+    buckets = max(1, -(-rows // (blocks * BUCKET_ROWS)))
+    inside = ranked(placed, ["_block"], bucket(first, buckets), [F.shiftrightunsigned(first, 1), first, *others], "_place")
     # the matrix has as many rows as there are blocks, whatever the data
     sent = inside.join(F.broadcast(matrix), "_block").withColumn(
         "shard", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_place"))).cast("int")
     )
     buckets = max(1, -(-rows // (shards * BUCKET_ROWS)))
-    second = draw("second")
-    # the top bits of the draw choose the bucket, so the buckets follow the order of the draw
-    bucket = F.floor((F.shiftrightunsigned(second, 33) * buckets) / F.lit(2**31)).cast("int")
-    again = ranked(
-        sent.select(*[F.col(f"`{c}`") for c in rest], "shard"), ["shard"], bucket, [F.shiftrightunsigned(second, 1), *order], "slot"
-    )
-    return again
+    kept = sent.select(*[F.col(f"`{c}`") for c in rest], "shard")
+    return ranked(kept, ["shard"], bucket(second, buckets), [F.shiftrightunsigned(second, 1), first, *others], "slot")
