@@ -12,6 +12,7 @@ out for lookups of the same fold, so that a large group of copies does not meet
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -27,8 +28,8 @@ from filmgrid.session import written
 
 BITS, SEED = 64, 42
 SHINGLE, DISTANCE = 4, 4
-#: three segments of 22, 21 and 21 bits; more documents would want fewer and longer ones, with larger balls
-SEGMENTS = 3
+#: three segments of 22, 21 and 21 bits; far more documents want two of 32, with larger balls and fewer strangers in a bucket
+SEGMENTS, CHOICES = 3, (2, 3)
 #: entries of one fold in one bucket from which lookups of the same fold pass them by
 CROWDED = 64
 #: hashes that are counted at a time
@@ -86,6 +87,17 @@ def segment_plan(distance: int, segments: int = SEGMENTS) -> list[tuple[int, int
     return plan
 
 
+def lookup_cost(prints: int, distance: int, segments: int) -> float:
+    """Lookups of one fingerprint and the entries they fetch, if ``prints`` fingerprints spread evenly."""
+    balls = [(bits, sum(math.comb(bits, i) for i in range(radius + 1))) for _, bits, radius in segment_plan(distance, segments)]
+    return sum(ball * (1 + prints / 2**bits) for bits, ball in balls)
+
+
+def segments_for(prints: int, distance: int) -> int:
+    """The cheaper number of segments. Any number finds the same links."""
+    return min(CHOICES, key=lambda n: lookup_cost(prints, distance, n))
+
+
 def _ball(bits: int, radius: int) -> list[int]:
     """All masks with at most ``radius`` of ``bits`` bits set."""
     masks = {0}
@@ -158,12 +170,13 @@ def _composed(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, segments: int = SEGMENTS
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, segments: int | None = None
 ) -> DataFrame:
     """``(doc_id, fingerprint, component_id)``, a row per row of ``docs``.
 
     Documents are linked if their fingerprints differ by at most ``distance`` bits; the component is named by its
-    smallest ``doc_id``. Texts without words (null ones too) have fingerprint zero and are linked like any other.
+    smallest ``doc_id``. ``segments`` changes no result; it follows from the number of fingerprints unless it is given.
+    Texts without words (null ones too) have fingerprint zero and are linked like any other.
     Repeated rows get the same component. Rows without an id count with the smallest number there is, so that their
     component shows it; an empty table gives an empty result. Other columns of ``docs`` are not looked at.
     """
@@ -171,6 +184,7 @@ def near_duplicates(
     lowest = F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))
     # a fold is named by its smallest document; different fingerprints never share that unless an id is repeated
     distinct = written(all_prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(lowest).alias("first")), "simhash-distinct")
+    segments = segments or segments_for(distinct.count(), distance)
     members = distinct.select("fp", F.col("fp").alias("fold"))
     if distance >= 2:
         members = written(_composed(members, dense_links(distinct, distance, segments)), "simhash-folds")

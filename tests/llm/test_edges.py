@@ -180,6 +180,12 @@ def test_segments_find_every_pair(distance, segments):
         assert any(x.bit_count() <= radius for x, radius in parts)
 
 
+def test_segments_follow_the_number_of_fingerprints(docs):
+    assert [simhash.segments_for(n, 4) for n in (0, 10**5, 10**7, 10**9, 10**12)] == [3, 3, 3, 2, 2]
+    found = [sorted(map(str, simhash.near_duplicates(docs, segments=n).collect())) for n in (2, 3)]
+    assert found[0] == found[1]
+
+
 def test_crowds_and_strangers(spark, monkeypatch):
     """A dense crowd, chains of links and lone fingerprints, with small bounds so that every path is taken."""
     monkeypatch.setattr(simhash, "CROWDED", 3)
@@ -328,6 +334,15 @@ def test_sharding(docs, texts, no_docs):
     assert sharding.into_shards(no_docs, ["doc_id"], 4).collect() == []
 
 
+def test_sharding_in_many_buckets(spark, monkeypatch):
+    """Buckets of a few rows, so that both permutations go over several of them, one id holding a third of the rows."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 5)
+    rows = spark.range(600).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.col("id").alias("n"))
+    found = sharding.into_shards(rows, ["doc_id", "n"], 7, blocks=8).collect()
+    assert sorted(r.n for r in found) == list(range(600))
+    assert sorted((r.shard, r.slot) for r in found) == sorted((i, s) for i, n in enumerate(sharding.shard_sizes(600, 7)) for s in range(n))
+
+
 def test_matrix_is_uniform():
     """The counts of a small matrix against those of plain shuffles."""
     seen, plain = np.zeros((3, 2)), np.zeros((3, 2))
