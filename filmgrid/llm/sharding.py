@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmgrid.llm.common import ranked
+from filmgrid.session import written
 
 #: blocks of the matrix; the matrix (blocks x shards counts) is all that the driver holds
 BLOCKS = 1024
@@ -78,7 +79,8 @@ def into_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 42, blo
     def draw(label: str) -> Column:
         return F.xxhash64(F.lit(f"{seed}/{label}"), *[F.isnull(F.col(f"`{k}`")) for k in keys], *[F.col(f"`{k}`") for k in keys])
 
-    placed = df.select(*[F.col(f"`{c}`") for c in rest], F.pmod(draw("block"), F.lit(blocks)).cast("int").alias("_block"))
+    # counted, ranked and exchanged from one written copy: what computed the rows runs once and cannot come out otherwise
+    placed = written(df.select(*[F.col(f"`{c}`") for c in rest], F.pmod(draw("block"), F.lit(blocks)).cast("int").alias("_block")), "sharding-rows")
     counted = {r["_block"]: r["count"] for r in placed.groupBy("_block").count().collect()}
     sizes = [counted.get(i, 0) for i in range(blocks)]
     rows = sum(sizes)
@@ -98,5 +100,5 @@ def into_shards(df: DataFrame, keys: list[str], shards: int, seed: int = 42, blo
         "shard", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_place"))).cast("int")
     )
     buckets = max(1, -(-rows // (shards * BUCKET_ROWS)))
-    kept = sent.select(*[F.col(f"`{c}`") for c in rest], "shard")
+    kept = written(sent.select(*[F.col(f"`{c}`") for c in rest], "shard"), "sharding-sent")
     return ranked(kept, ["shard"], bucket(second, buckets), [F.shiftrightunsigned(second, 1), first, *others], "slot")
