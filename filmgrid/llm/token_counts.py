@@ -18,6 +18,8 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filmgrid.session import written
+
 CACHE = "content binary, tokenizer string, n_tokens long"
 LIMIT = 4096
 
@@ -66,6 +68,8 @@ def count_tokens(docs: DataFrame, cache_path: str, model_file: str, doc_id: str
     # the null id needs a name too, since one row of every digest is chosen by its id
     name = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63)).cast("long"))
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.octet_length(whole).cast("long").alias("n_bytes"), digest.alias("content"), name.alias("row"))
+    # the digests are needed before and after the encoding; a short row each, so that texts are read for them once
+    keyed = written(keyed, "token-digests")
     known = open_cache(spark, cache_path).where(F.col("tokenizer") == version).select("content")
     misses = keyed.groupBy("content").agg(F.min("row").alias("row")).join(known, "content", "left_anti")
     texts = docs.select(digest.alias("content"), name.alias("row"), whole.alias("text")).join(misses, ["content", "row"])
