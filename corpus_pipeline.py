@@ -12,9 +12,9 @@ from filmgrid.session import fresh_path, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and their host's verdict keep. Rows that repeat an id stay or go together."""
-    verdicts = host_quality.judge_documents(_named(docs, "source")).groupBy("doc_id").agg(F.min("kept").alias("kept"))
-    return _where(docs, verdicts.where("kept"), "left_semi")
+    """Documents that the base rules and their host's verdict keep. Rows that repeat an id are judged each by its own text and host."""
+    verdicts = host_quality.judge_documents(_told_apart(docs, "source"))
+    return _where(docs, verdicts.where("kept"), "left_semi", "source")
 
 
 def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,16 +28,20 @@ def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies, before any without an id; of rows that repeat an id, one."""
-    classes = simhash.near_duplicates(_named(docs)).where("doc_id = component_id").select("doc_id").distinct()
+    """The document with the smallest id of every group of near copies, before any without an id.
+
+    Of rows that repeat an id with unlike texts each is a document; the smaller digest comes first. Of rows equal in id
+    and text the one with the smallest other columns stays.
+    """
+    classes = simhash.near_duplicates(_told_apart(docs)).where("doc_id = component_id").select("doc_id").distinct()
     kept = _where(docs, classes, "left_semi")
-    rows = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), _name().alias("name"))
-    return rows.dropDuplicates(["name"]).select("row.*")
+    rows = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), _row_name().alias("name"))
+    return rows.groupBy("name").agg(F.min("row").alias("row")).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontamination.contaminated(_named(docs), table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    found = decontamination.contaminated(_told_apart(docs), table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return _where(docs, found, "left_anti")
 
 
@@ -52,13 +56,19 @@ def _name() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), unnamed)
 
 
-def _named(docs: DataFrame, *others: str) -> DataFrame:
-    return docs.select(_name().alias("doc_id"), "text", *others)
+def _row_name(*others: str) -> Column:
+    """The id with a digest of the text, and other columns that decide: an id may repeat with unlike texts. Null and empty texts differ."""
+    digest = F.coalesce(F.unhex(F.md5("text")), F.lit(b""))
+    return F.struct(_name().alias("id"), digest.alias("digest"), *others)
+
+
+def _told_apart(docs: DataFrame, *others: str) -> DataFrame:
+    return docs.select(_row_name(*others).alias("doc_id"), "text", *others)
 
 
-def _where(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The rows whose name is (``left_semi``) or is not (``left_anti``) among the ids, with their columns as they are."""
-    return docs.join(ids.select(F.col("doc_id").alias("found")).alias("ids"), _name() == F.col("ids.found"), how)
+def _where(docs: DataFrame, names: DataFrame, how: str, *others: str) -> DataFrame:
+    """The rows whose name is (``left_semi``) or is not (``left_anti``) among the names, with their columns as they are."""
+    return docs.join(names.select(F.col("doc_id").alias("found")).alias("names"), _row_name(*others) == F.col("names.found"), how)
 
 
 STAGES = [

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # White space between words, and the letters that are lower-cased.
 SPACE = r"[\x20\x09-\x0D]"
@@ -21,6 +22,14 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def with_id(docs: DataFrame, doc_id: str, *others: Column) -> tuple[DataFrame, str]:
+    """``(doc_id, *others)`` and the type of the id: a struct that names rows stays as it is, any other id becomes a long."""
+    kind = docs.select(doc_id).schema[0].dataType
+    ids = F.col(doc_id) if isinstance(kind, StructType) else F.col(doc_id).cast("long")
+    read = docs.select(ids.alias("doc_id"), *others)
+    return read, read.schema["doc_id"].dataType.simpleString()
+
+
 def words(text: Column) -> Column:
     """Array of the maximal runs of characters that are not white space; empty for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), lambda w: w != "")

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filmgrid.llm.common import with_id
 from filmgrid.session import written
 
 #: tokens of the shortest tile, and the share of an item's tokens that tiles must cover
@@ -238,7 +239,7 @@ def contaminated(
 
     Null and empty texts, and items of fewer than ``size`` tokens, share nothing. Rows without an id are left out. An
     id that repeats is reported once for an item, with the row that covers most; an item id that repeats likewise. An
-    empty table on either side gives an empty result. Other columns are not looked at.
+    empty table on either side gives an empty result. Other columns are not looked at. An id may be a struct.
     """
     read = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long"), tokens(F.col("text")).alias("t"))
     items = written(read.mapInArrow(_item_seeds(size), "item_id long, n_tokens long, seeds array<long>").where(F.size("seeds") > 0), "benchmark-seeds")
@@ -246,8 +247,8 @@ def contaminated(
     items = items.select(F.xxhash64("item_id", "seeds").alias("item"), "item_id", "n_tokens", F.col("seeds").alias("item_seeds"))
     bitmap = seed_map(items.select(F.explode("item_seeds").alias("seed")).distinct())
 
-    texts = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), tokens(F.col(text)).alias("t"))
-    found = texts.mapInArrow(_hits(size, bitmap), "doc_id long, places array<int>, seeds array<long>")
+    texts, kind = with_id(docs.where(F.col(doc_id).isNotNull()), doc_id, tokens(F.col(text)).alias("t"))
+    found = texts.mapInArrow(_hits(size, bitmap), f"doc_id {kind}, places array<int>, seeds array<long>")
     hits = written(found, "decontamination-hits")
     seen = hits.select("doc_id", F.explode(F.array_distinct("seeds")).alias("seed"))
     frequency = seen.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
@@ -257,7 +258,7 @@ def contaminated(
     rare = places.withColumn("rank", F.row_number().over(by_frequency)).where(F.col("rank") > spare).select("seed", "item").distinct()
     pairs = seen.join(rare, "seed").select("doc_id", "item").distinct()
     rows = pairs.join(hits, "doc_id").join(items.distinct(), "item").select("doc_id", "item_id", "n_tokens", "places", "seeds", "item_seeds")
-    tiled = rows.mapInArrow(_tiled(size), "doc_id long, item_id long, n_tokens long, covered long, n_tiles long")
+    tiled = rows.mapInArrow(_tiled(size), f"doc_id {kind}, item_id long, n_tokens long, covered long, n_tiles long")
     enough = tiled.withColumn("coverage", F.col("covered") / F.col("n_tokens")).where(F.col("covered") >= F.col("n_tokens") * coverage - 1e-9)
     best = F.max(F.struct("coverage", "covered", "n_tokens", "n_tiles")).alias("best")
     return enough.groupBy("doc_id", "item_id").agg(best).select(

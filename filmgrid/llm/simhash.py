@@ -21,8 +21,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from filmgrid.llm.common import LOWER, UPPER
+from filmgrid.llm.common import LOWER, UPPER, with_id
 from filmgrid.llm.components import components
 from filmgrid.session import written
 
@@ -66,8 +67,8 @@ def _fingerprints(shingle: int):
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``(doc_id, fingerprint)``, a row per row; null texts count as empty."""
-    read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return read.mapInArrow(_fingerprints(shingle), "doc_id long, fingerprint long")
+    read, kind = with_id(docs, doc_id, F.col(text).alias("text"))
+    return read.mapInArrow(_fingerprints(shingle), f"doc_id {kind}, fingerprint long")
 
 
 def segment_plan(distance: int, segments: int = SEGMENTS) -> list[tuple[int, int, int]]:
@@ -179,9 +180,11 @@ def near_duplicates(
     Texts without words (null ones too) have fingerprint zero and are linked like any other.
     Repeated rows get the same component. Rows without an id count with the smallest number there is, so that their
     component shows it; an empty table gives an empty result. Other columns of ``docs`` are not looked at.
+    An id may be a struct without nulls, for rows that one number does not tell apart; the smallest is that of its fields.
     """
     all_prints = written(fingerprints(docs, doc_id, text, shingle), "simhash-prints")
-    lowest = F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))
+    number = all_prints.schema["doc_id"].dataType == LongType()
+    lowest = F.coalesce("doc_id", F.lit(-(2**63)).cast("long")) if number else F.col("doc_id")
     # a fold is named by its smallest document; different fingerprints never share that unless an id is repeated
     distinct = written(all_prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(lowest).alias("first")), "simhash-distinct")
     segments = segments or segments_for(distinct.count(), distance)

@@ -65,3 +65,30 @@ def test_rows_without_an_id_are_judged_by_their_texts(spark, folder, fresh):
         stage(spark, docs, folder).write.parquet(path)
         docs = spark.read.parquet(path)
     assert sorted((r.doc_id or 0, r.text) for r in docs.collect()) == sorted([(1, long[0]), (0, long[1]), (0, long[2])])
+
+
+def test_rows_that_repeat_an_id_are_told_apart_by_their_texts(spark, folder, fresh):
+    """One id over unlike texts: each is judged by its own text; only rows equal in both fold together."""
+    texts = [" ".join(f"{name}{i}" for i in range(40)) for name in ("river", "stone", "cloud")]
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").orderBy("item_id").first().text
+    leak = " ".join([texts[0].replace("river", "leaf"), item])
+    rows = [(1, texts[0], "a"), (1, texts[1], "b"), (1, texts[1], "a"), (1, texts[1], None), (2, texts[1], "a"), (1, "short", "a"), (1, leak, "a"), (3, texts[2], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    after = {}
+    for name, stage in (s for s in corpus_pipeline.STAGES[:-1] if s[0] != "line dedup"):
+        path = fresh("repeated")
+        stage(spark, docs, folder).write.parquet(path)
+        docs = spark.read.parquet(path)
+        after[name] = sorted(((r.doc_id, r.text, r.source or "") for r in docs.collect()))
+    assert after["quality rules"] == sorted((d, t, s or "") for d, t, s in rows if t != "short")
+    kept = sorted([(1, texts[0], "a"), (1, texts[1], ""), (1, leak, "a"), (3, texts[2], "")])
+    assert after["simhash near-dedup"] == kept
+    assert after["benchmark decontamination"] == [r for r in kept if r[1] != leak]
+
+
+def test_a_bad_host_takes_only_its_own_rows_of_an_id(spark, folder):
+    good = "many words that are all different so that no rule of the text itself is broken by this one here today"
+    rows = [(i, good if i == 0 else "few words", "bad") for i in range(400)] + [(i, f"{good} {i}", "good") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = corpus_pipeline.quality(spark, docs, folder).collect()
+    assert sorted((r.doc_id, r.source) for r in found) == [(i, "good") for i in range(400)]
