@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from filmgrid import schemas
@@ -19,6 +20,7 @@ from filmgrid.registry.views import (
     table,
 )
 from filmgrid.registry.views import weekly as weekly_view
+from filmgrid.session import written
 from filmgrid.sources import readers
 
 
@@ -275,6 +277,17 @@ def chart_in_order(spark, folder):
     return cleaning.in_chart_order(weekly).limit(200)
 
 
+def chart_in_order_positions(spark, folder):
+    """All rows, sorted as performance is stored, with the place that the sorted rows give each: rows of earlier tasks, then the place in the task."""
+    weekly = weekly_view(spark, folder).select("week_end_date", "rank", "movie_id")
+    ordered = cleaning.in_chart_order(weekly).select("*", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("row"))
+    rows = written(ordered, "chart-in-order").withColumn("row", F.col("row").bitwiseAND(F.lit((1 << 33) - 1)))
+    # one short row per task of the sort
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("task").count().select("task", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    return rows.join(F.broadcast(offsets), "task").select("week_end_date", "rank", "movie_id", (F.col("offset") + F.col("row")).alias("position"))
+
+
 def video_key_worklist(spark, folder):
     return worklists.video_keys(film_details(spark, folder).where("id % 2 = 0"), "YouTube")
 
@@ -402,6 +415,11 @@ SELECT year, week, rank, CASE WHEN reason IS NULL THEN CAST(friday + 6 + 7 * (we
     "chart_in_order": Query(
         chart_in_order, cte(WEEKLY) + "SELECT week_end_date, rank, movie_id FROM v_weekly ORDER BY week_end_date, rank, movie_id LIMIT 200"
     ),
+    "chart_in_order_positions": Query(
+        chart_in_order_positions,
+        cte(WEEKLY) + """SELECT week_end_date, rank, movie_id,
+  row_number() OVER (ORDER BY week_end_date, rank, movie_id) - 1 AS position FROM v_weekly""",
+    ),
     "video_key_worklist": Query(
         video_key_worklist,
         """SELECT unnest((['f' || p_partkey, 't' || p_partkey, 'c' || p_partkey, 's' || p_partkey])[1:p_size % 5]) AS key

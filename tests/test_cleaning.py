@@ -354,3 +354,15 @@ def test_competitors_of_one(spark):
     assert ids(["A"]) == [1] and ids([]) == [2, 1] and ids(["A", "B"]) == [2, 1]
     names = dashboard.name_choices(spark.createDataFrame([("C",)], "name string"), ["Others", "None"])
     assert sorted(r.name for r in names.collect()) == ["C", "None", "Others"]
+
+
+def test_the_whole_chart_is_sorted(spark):
+    """Every row comes back with its place, from a sort by ranges that no limit cuts."""
+    from filmgrid.registry.cleaning import chart_in_order_positions
+    from filmgrid.registry.views import weekly
+
+    folder = "/root/testdata/sf0.001"
+    found = sorted(chart_in_order_positions(spark, folder).collect(), key=lambda r: r.position)
+    assert [r.position for r in found] == list(range(weekly(spark, folder).count()))
+    order = [(r.week_end_date, r.rank, r.movie_id) for r in found]
+    assert order == sorted(order)
