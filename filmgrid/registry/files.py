@@ -28,19 +28,20 @@ EVENTS = schemas.record(
 
 
 def land(spark, df, folder, name):
-    """One file of a given name, its format that of the name's ending."""
+    """Files of a given name, written in parallel, their format that of the name's ending. Several get a part number each."""
     made = f"{folder}/_made/{name}"
-    one = df.coalesce(1)
     if name.endswith(".csv"):
-        writers.write_csv(one, made)
+        writers.write_csv(df, made)
     elif name.endswith(".ndjson"):
-        writers.write_ndjson(one, made)
+        writers.write_ndjson(df, made)
     else:
-        one.write.text(made)
+        df.write.text(made)
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    part = [f.getPath() for f in system.globStatus(path(f"{made}/part-*"))][0]
-    system.rename(part, path(f"{folder}/{name}"))
+    parts = sorted(f.getPath().toString() for f in system.globStatus(path(f"{made}/part-*")))
+    stem, ending = name.rsplit(".", 1)
+    for number, part in enumerate(parts):
+        system.rename(path(part), path(f"{folder}/{name}" if len(parts) == 1 else f"{folder}/{stem}-{number:05d}.{ending}"))
 
 
 def _nations(spark, folder):

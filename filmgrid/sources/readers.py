@@ -15,8 +15,8 @@ from filmgrid.functions import html
 STRICT = {"mode": "FAILFAST"}
 #: files that hold a single object are read by one task as one text, so larger ones are refused
 MAX_KEYED_JSON = 256 * 1024 * 1024
-# Fixed value: the date window at the end of a file's name.
-_WINDOW = r"_(\d{8})_(\d{8})\.[^.]*$"
+# Fixed value: the date window at the end of a file's name, a part number behind it or not.
+_WINDOW = r"_(\d{8})_(\d{8})(?:-\d+)?\.[^.]*$"
 
 
 def read_csv(

@@ -233,3 +233,15 @@ def test_stream_equals_batch(spark, tmp_path):
     assert values(warehouse.read("t"), "id", "v") == [(1, "d"), (2, None), (3, "e")]
     assert [r[0] for r in spark.createDataFrame([(-5, "a"), (None, None), (40, "b"), (3, "a")], "n int, s string").withColumn(
         "o", order_text(spark.createDataFrame([], "n int, s string"), ["n", "s"])).orderBy("o").select("n").collect()] == [None, -5, 3, 40]
+
+
+def test_landed_parts_keep_name_window_and_rows(spark, tmp_path):
+    """A landing is written by as many tasks as its rows have, and every part counts as a file of the window."""
+    from filmgrid.registry.files import land
+
+    land(spark, spark.range(100).repartition(4), str(tmp_path), "x_20240101_20240108.ndjson")
+    paths = readers.file_paths(spark, str(tmp_path), "x_20240101_20240108", "ndjson")
+    assert len(paths) == 4 and all(readers.has_window(p) for p in paths)
+    rows = readers.read_ordered(spark, paths, "ndjson", schemas.record(id=schemas.LONG))
+    assert sorted(r.id for r in rows.collect()) == list(range(100))
+    assert {r._order[:8] for r in rows.collect()} == {"20240108"}
