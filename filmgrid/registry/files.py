@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from filmgrid import schemas
 from filmgrid.operators import dedup
-from filmgrid.plans import warehouse_jobs
+from filmgrid.plans import warehouse_jobs, worklists
 from filmgrid.registry import Query
 from filmgrid.registry.cleaning import film_details, people_details
 from filmgrid.registry.views import chart, languages, table
@@ -129,6 +129,29 @@ def warehouse_steps(spark, folder):
     return nation.limit(1).select(F.inline(steps))
 
 
+def _film_files(spark, folder):
+    """All films in files of two date windows: those with even ids landed in the first week, the others in the second."""
+    landing, films = fresh_path(spark, "landing"), film_details(spark, folder)
+    for rest, window in ((0, "20240101_20240108"), (1, "20240108_20240115")):
+        land(spark, films.where(F.col("id") % 2 == rest), landing, f"update_raw_movie_details_{window}.ndjson")
+    return landing
+
+
+def _video_keys(spark, landing, start=None, end=None):
+    raw = readers.read_window(spark, landing, "update_raw_movie_details", "ndjson", schemas.FILM_DETAILS, start, end, required=True)
+    return worklists.video_keys(raw, "YouTube")
+
+
+def video_key_worklist(spark, folder):
+    """Keys of the films whose files landed in one window."""
+    return _video_keys(spark, _film_files(spark, folder), datetime(2024, 1, 1), datetime(2024, 1, 8))
+
+
+def video_key_worklist_all_windows(spark, folder):
+    """Keys of all films, from the files of all windows."""
+    return _video_keys(spark, _film_files(spark, folder))
+
+
 def incremental_upsert_out_of_order(spark, folder):
     """The event log landed in four files, the newest events first, and taken in one file at a time."""
     landing, warehouse = fresh_path(spark, "landing"), _warehouse(spark)
@@ -237,6 +260,16 @@ QUERIES = {
         warehouse_steps,
         """WITH c AS (SELECT count(*) AS n, count(*) FILTER (n_regionkey = 1) AS m FROM nation)
 SELECT 0 AS step, n FROM c UNION ALL SELECT 1, n FROM c UNION ALL SELECT 2, 0 UNION ALL SELECT 3, m FROM c UNION ALL SELECT 4, 0""",
+    ),
+    "video_key_worklist": Query(
+        video_key_worklist,
+        """SELECT unnest((['f' || p_partkey, 't' || p_partkey, 'c' || p_partkey, 's' || p_partkey])[1:p_size % 5]) AS key
+FROM part WHERE p_partkey % 2 = 0""",
+    ),
+    "video_key_worklist_all_windows": Query(
+        video_key_worklist_all_windows,
+        """SELECT unnest((['f' || p_partkey, 't' || p_partkey, 'c' || p_partkey, 's' || p_partkey])[1:p_size % 5]) AS key
+FROM part""",
     ),
     "incremental_upsert_out_of_order": Query(
         incremental_upsert_out_of_order,

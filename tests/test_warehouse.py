@@ -245,3 +245,14 @@ def test_landed_parts_keep_name_window_and_rows(spark, tmp_path):
     rows = readers.read_ordered(spark, paths, "ndjson", schemas.record(id=schemas.LONG))
     assert sorted(r.id for r in rows.collect()) == list(range(100))
     assert {r._order[:8] for r in rows.collect()} == {"20240108"}
+
+
+def test_video_keys_come_from_the_files_of_the_window(spark):
+    from filmgrid.registry.files import video_key_worklist, video_key_worklist_all_windows
+
+    folder = "/root/testdata/sf0.001"
+    week, whole = video_key_worklist(spark, folder), video_key_worklist_all_windows(spark, folder)
+    assert week.inputFiles() and all("update_raw_movie_details_20240101_20240108" in f for f in week.inputFiles())
+    assert {"20240108.", "20240115."} == {f.rsplit("_", 1)[-1].split("-")[0].split("ndjson")[0] for f in whole.inputFiles()}
+    found = {r.key for r in whole.collect()}
+    assert {r.key for r in week.collect()} < found and any(int(key[1:]) % 2 for key in found)
