@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmgrid.llm import decontamination, host_quality, line_dedup, packing, simhash
-from filmgrid.llm.common import table
+from filmgrid.llm.common import table, words
 from filmgrid.session import fresh_path, written
 
 
@@ -18,10 +18,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go; the number of characters follows the text. Rows without an id stay whole."""
+    """Lines that an earlier document holds go; the number of characters follows the text.
+
+    Rows without an id count as documents after all others. One of which no text is left is a copy and goes.
+    """
     index = line_dedup.LineIndex(spark, fresh_path(spark, "pipeline-lines"))
-    index.insert(docs.select("doc_id", "text"))
-    cleaned = index.clean(docs, counts=False)
+    index.insert(docs.select(_name().alias("doc_id"), "text"))
+    real = F.struct("doc_id", _blank().alias("blank")).alias("_real")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
+    cleaned = index.clean(docs.select(_name().alias("doc_id"), real, *others), counts=False)
+    cleaned = cleaned.where(F.col("_real.doc_id").isNotNull() | F.col("_real.blank") | ~_blank())
+    cleaned = cleaned.select(*[F.col("_real.doc_id") if c == "doc_id" else F.col(f"`{c}`") for c in docs.columns])
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cleaned
@@ -50,6 +57,10 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _blank() -> Column:
+    return F.size(words(F.col("text"))) == 0
+
+
 def _name() -> Column:
     """The id; without one, a number above all ids that follows from the text, so that such rows are judged by their texts."""
     unnamed = F.lit(2**62).cast("long") + F.shiftrightunsigned(F.xxhash64("text"), 2)

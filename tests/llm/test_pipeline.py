@@ -92,3 +92,16 @@ def test_a_bad_host_takes_only_its_own_rows_of_an_id(spark, folder):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     found = corpus_pipeline.quality(spark, docs, folder).collect()
     assert sorted((r.doc_id, r.source) for r in found) == [(i, "good") for i in range(400)]
+
+
+def test_lines_of_rows_without_an_id_are_deduplicated(spark, folder, fresh):
+    """Among such rows, and between them and documents with ids, a passage stays once, in the document if there is one."""
+    passage, other = "a passage that a document holds", "a passage that only rows without ids hold"
+    rows = [(None, f"{passage}\nfirst own line of text"), (7, f"{passage}\nthe line of document seven")]
+    rows += [(None, f"{other}\n{word} line of its own here") for word in ("second", "third")]
+    docs = spark.createDataFrame([(d, t, 0) for d, t in rows], "doc_id long, text string, n_chars long").repartition(3)
+    found = corpus_pipeline.line_dedup_(spark, docs, folder).collect()
+    assert sorted(r.doc_id or 0 for r in found) == [0, 0, 0, 7] and all(r.n_chars == len(r.text) for r in found)
+    lines = [line for r in found for line in r.text.split("\n")]
+    assert sorted(lines) == sorted({line for _, t in rows for line in t.split("\n")})
+    assert next(r.text for r in found if r.doc_id) == rows[1][1]
