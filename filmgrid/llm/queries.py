@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmgrid.llm import chat, decontamination, host_quality, line_dedup, packing, reputation, sharding, simhash, sql, token_counts, warc
+from filmgrid.llm import (
+    chat,
+    code_trees,
+    decontamination,
+    hard_negatives,
+    host_quality,
+    line_dedup,
+    packing,
+    reputation,
+    sharding,
+    simhash,
+    sql,
+    token_counts,
+    warc,
+)
 from filmgrid.llm.common import table
 from filmgrid.session import fresh_path
 
@@ -75,6 +89,17 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = code_trees.compress(table(spark, folder, "embeddings"))
+    digest = code_trees.codebooks_sha256(books)
+    return code_trees.with_label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings").withColumn("label", moved), "vec_id % 50 = 0")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -86,6 +111,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_url_filter": op9_url_filter,
     "op10_line_dedup": op10_line_dedup,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 #: the others hash, tokenize or draw in ways that SQL cannot state; the tests compare them with plain versions
@@ -93,4 +120,6 @@ SQL: dict[str, str] = {
     "op5_quality": sql.QUALITY,
     "op9_url_filter": sql.url_filter(URL_RULES),
     "op10_line_dedup": sql.LINES,
+    "op11_vector_codes": sql.vector_codes(4, 256, 4),
+    "op12_hard_negatives": sql.HARD_NEGATIVES,
 }

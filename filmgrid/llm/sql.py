@@ -71,3 +71,39 @@ m AS (SELECT k.*, first_doc IS NOT NULL AND first_doc <> doc_id AS gone FROM k L
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id"""
+
+
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def vector_codes(parts: int, entries: int, rounds: int) -> str:
+    """Codebook rounds over parts, one after the other."""
+    # numbers are whole and small enough to be exact as doubles
+    nearest = "min({'d': list_dot_product(x, x) - 2 * list_dot_product(x, y) + list_dot_product(y, y), 'e': entry})"
+    steps = [
+        f"""WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE {_USABLE}),
+p AS MATERIALIZED (SELECT vec_id, label, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS x FROM k, (SELECT unnest(range({parts})) AS part)),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS y FROM p QUALIFY entry < {entries})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS MATERIALIZED (SELECT vec_id, label, part, any_value(x) AS x, {nearest} AS b FROM p JOIN c{i} USING (part) GROUP BY 1, 2, 3)")
+        if i < rounds:
+            steps.append(f"""m{i} AS (SELECT part, b.e AS entry, i, floor(sum(x[i + 1]) / count(*)) AS mean FROM a{i}, (SELECT unnest(range(len(x))) AS i FROM p LIMIT (SELECT max(len(x)) FROM p)) GROUP BY 1, 2, 3),
+n{i} AS (SELECT part, entry, list(mean ORDER BY i) AS y FROM m{i} GROUP BY 1, 2),
+c{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(n{i}.y, c{i}.y) AS y FROM c{i} LEFT JOIN n{i} USING (part, entry))""")
+    steps.append(f"""r AS (SELECT vec_id, label, string_agg(printf('%02x', b.e), '' ORDER BY part) AS code, CAST(sum(b.d) AS BIGINT) AS error FROM a{rounds} GROUP BY 1, 2),
+h AS (SELECT sha256(string_agg(array_to_string(list_transform(y, lambda z: CAST(z AS BIGINT)), ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM r, h""")
+    return ",\n".join(steps)
+
+
+HARD_NEGATIVES = f"""
+WITH k AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE label IS NOT NULL AND {_USABLE}),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+                   FROM k a JOIN k b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score QUALIFY rank <= 3"""
