@@ -18,6 +18,7 @@ from filmgrid.llm import (
     sharding,
     simhash,
     sql,
+    templates,
     token_counts,
     warc,
 )
@@ -100,6 +101,10 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(table(spark, folder, "embeddings").withColumn("label", moved), "vec_id % 50 = 0")
 
 
+def op13_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.extract(table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -113,6 +118,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_vector_codes": op11_vector_codes,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_html_text": op13_html_text,
 }
 
 #: the others hash, tokenize or draw in ways that SQL cannot state; the tests compare them with plain versions
