@@ -59,10 +59,24 @@ def _order_statistics(values: DataFrame, ranks: Sequence[int], n: int) -> dict[i
     return found
 
 
+def _values(df: DataFrame, column: str) -> DataFrame:
+    return df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+
+
+def nth_smallest(df: DataFrame, column: str, nth) -> float | None:
+    """The value that ``nth(n)`` says, counted from 1, of the ``n`` that are neither null nor NaN; None beyond the last."""
+    values = _values(df, column).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = values.count()
+        rank = nth(n) - 1
+        return _order_statistics(values, [rank], n)[rank] if 0 <= rank < n else None
+    finally:
+        values.unpersist()
+
+
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
     """Quantiles with linear interpolation, nulls and NaN left out; ``[None, ...]`` for no values."""
-    values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    values = values.persist(StorageLevel.MEMORY_AND_DISK)
+    values = _values(df, column).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = values.count()
         if n == 0:

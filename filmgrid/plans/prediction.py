@@ -1,27 +1,31 @@
 """Revenue prediction with ``pyspark.ml``: training tables, models, scoring, interval.
 
 Person ids are categories of which there may be any number, and an index of them would have to pass through the driver.
-The linear model hashes them into a wide sparse vector; the forest gets, for each role, the mean revenue of the person's
-other films, looked up by a join.
+The linear model solves for an effect of every person in every role (``operators.fixed_effects``); the forest gets, for
+each role, the mean revenue of the person's other films, looked up by a join. Models are judged on films that they have
+not seen: ``cross_fit`` trains one model for each fold without that fold, and a margin comes from the errors there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import math
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import FeatureHasher, Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmgrid.functions import numbers
-from filmgrid.operators import lookup
+from filmgrid.operators import distribution, fixed_effects, lookup
 from filmgrid.session import written
 
-#: width of the hashed person ids, far above the number of people, as collisions cost accuracy
-HASHED = 1 << 18
+#: parts that films are dealt into by their id
+FOLDS = 3
 #: films that the mean over all of them counts for in a person's mean
 PRIOR_FILMS = 5
 ROLES = {"cast1": "cast1_id", "cast2": "cast2_id", "director": "director_id", "producer": "producer_id"}
@@ -108,23 +112,25 @@ def _numbers(training: DataFrame, columns: Sequence[str]) -> list:
     return stages + ([Imputer(strategy="mean", inputCols=names, outputCols=names)] if known else [])
 
 
-def _fit(training: DataFrame, columns: Sequence[str], regressor, categories: Sequence[str] = (), hashed: int = 0) -> PipelineModel:
+def _fit(training: DataFrame, columns: Sequence[str], regressor) -> PipelineModel:
     known = training.where("label IS NOT NULL")
-    stages = _numbers(known, columns)
-    inputs = [f"{c}_number" for c in columns]
-    if categories:
-        stages.append(
-            FeatureHasher(inputCols=list(categories), categoricalCols=list(categories), outputCol="people", numFeatures=hashed)
-        )
-        inputs.append("people")
-    stages += [VectorAssembler(inputCols=inputs, outputCol="features"), regressor]
+    stages = [*_numbers(known, columns), VectorAssembler(inputCols=[f"{c}_number" for c in columns], outputCol="features"), regressor]
     return Pipeline(stages=stages).fit(known)
 
 
-def train_linear(training: DataFrame, hashed: int = HASHED) -> PipelineModel:
-    """Linear regression over numbers and person ids."""
-    regressor = LinearRegression(solver="l-bfgs", maxIter=30, predictionCol="predicted_revenue")
-    return _fit(training, IDENTITY_NUMBERS, regressor, list(ROLES.values()), hashed)
+@dataclass(frozen=True)
+class LinearModel:
+    """Slopes of the numbers and an effect of each person in each role."""
+
+    model: fixed_effects.EffectsModel
+
+    def transform(self, features: DataFrame) -> DataFrame:
+        return self.model.predict(features, "movie_id", "predicted_revenue")
+
+
+def train_linear(training: DataFrame) -> LinearModel:
+    """Least squares over numbers and person ids, solved until the equations hold."""
+    return LinearModel(fixed_effects.fit(training, "label", IDENTITY_NUMBERS, list(ROLES.values())))
 
 
 def train_line(training: DataFrame, column: str) -> PipelineModel:
@@ -184,7 +190,7 @@ def train_forecast(training: DataFrame, trees: int = 20, seed: int = 17) -> Pipe
     return _fit(training, FORECAST_NUMBERS, regressor)
 
 
-def predict(model: PipelineModel | PeopleModel, features: DataFrame) -> DataFrame:
+def predict(model: PipelineModel | PeopleModel | LinearModel, features: DataFrame) -> DataFrame:
     """The rows with their predicted revenue; missing features are allowed."""
     return model.transform(features).select(*features.columns, "predicted_revenue")
 
@@ -200,3 +206,66 @@ def residual_margin(predictions: DataFrame, factor: float = 1.99) -> float | Non
     """Half-width of an interval from the errors on rows the model has not seen."""
     spread = predictions.agg(F.stddev_samp(F.col("label") - F.col("predicted_revenue"))).first()[0]
     return None if spread is None else factor * spread
+
+
+def fold(row_id: Column, folds: int = FOLDS) -> Column:
+    """The part that a row falls into: by a digest of its id, so the same in every run and on every engine."""
+    return F.conv(F.substr(F.md5(row_id.cast("string").cast("binary")), F.lit(1), F.lit(8)), 16, 10).cast("long") % folds
+
+
+def cross_fit(train: Callable[[DataFrame], object], features: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """The rows with their ``fold`` and ``predicted_revenue`` by a model that has not seen any row of that fold.
+
+    ``train`` makes a model of a training table; whatever it derives from labels, such as a person's mean, so comes from
+    the other folds alone. The models are independent and are trained side by side. Rows without an id are of the first
+    fold. A fold whose other folds have no label has no predictions.
+    """
+    dealt = written(features.withColumn("fold", F.coalesce(fold(F.col("movie_id"), folds), F.lit(0))), "folds")
+
+    def of_fold(number: int) -> DataFrame:
+        rest, own = dealt.where(F.col("fold") != number), dealt.where(F.col("fold") == number)
+        if rest.where("label IS NOT NULL").isEmpty():
+            return own.withColumn("predicted_revenue", F.lit(None).cast("double"))
+        return predict(train(rest.drop("fold")), own)
+
+    with ThreadPoolExecutor(folds) as pool:
+        return functools.reduce(DataFrame.unionByName, pool.map(of_fold, range(folds)))
+
+
+def person_means_out_of_fold(training: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """``(movie_id, fold, *_mean)``: for each role the mean label of the person's films in the other folds.
+
+    Shrunk, where there are few, to the mean over all films of the other folds. Sums are kept by person and fold, so one
+    aggregate serves all folds, and a film's own fold is taken off where it is looked up.
+    """
+    rows = training.select("movie_id", F.col("label").cast("double").alias("label"), *ROLES.values(), fold(F.col("movie_id"), folds).alias("fold"))
+    known = rows.where("label IS NOT NULL")
+    whole = known.groupBy("fold").agg(F.sum("label").alias("total"), F.count("label").alias("films")).collect()  # one row a fold
+    rest = lambda number: [sum(r[c] for r in whole if r["fold"] != number) for c in ("total", "films")]
+    means = {number: rest(number)[0] / rest(number)[1] if rest(number)[1] else 0.0 for number in range(folds)}
+    prior = F.element_at(F.array(*[F.lit(means[i]) for i in range(folds)]), (F.col("fold") + 1).cast("int"))
+
+    long = lambda df: df.unpivot(["movie_id", "label", "fold"], list(ROLES.values()), "role", "person").where("person IS NOT NULL")
+    by_fold = long(known).groupBy("role", "person", "fold").agg(F.sum("label").alias("total"), F.count("label").alias("films"))
+    entry = F.struct("fold", F.struct("total", "films"))
+    totals = by_fold.groupBy("role", "person").agg(
+        F.sum("total").alias("total"), F.sum("films").alias("films"), F.map_from_entries(F.collect_list(entry)).alias("by_fold")
+    )
+    own = F.try_element_at("by_fold", F.col("fold"))
+    less = lambda c: F.coalesce(c, F.lit(0)) - F.coalesce(own[c], F.lit(0))
+    shrunk = (less("total") + PRIOR_FILMS * prior) / (less("films") + PRIOR_FILMS)
+    of_role = lambda key: F.max(F.when(F.col("role") == key, F.col("shrunk")))
+    found = long(rows).join(totals, ["role", "person"], "left").withColumn("shrunk", shrunk)
+    folded = found.groupBy("movie_id").agg(*[of_role(key).alias(f"{role}_mean") for role, key in ROLES.items()])
+    filled = {f"{role}_mean": F.coalesce(f"{role}_mean", prior) for role in ROLES}
+    return rows.select("movie_id", "fold").join(folded, "movie_id", "left").withColumns(filled)
+
+
+def conformal_margin(calibration: DataFrame, level: float = 0.9) -> float | None:
+    """Half-width that covers a new film's revenue with probability ``level`` or more, whatever the model is.
+
+    ``calibration`` has ``label, predicted_revenue`` of films that the model has not seen: split-conformal prediction
+    takes the ``ceil((n + 1) x level)``-th smallest of their ``n`` absolute errors. None if there are too few films.
+    """
+    errors = calibration.select(F.abs(F.col("label") - F.col("predicted_revenue")).alias("error"))
+    return distribution.nth_smallest(errors, "error", lambda n: math.ceil(round((n + 1) * level, 9)))

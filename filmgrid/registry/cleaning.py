@@ -272,20 +272,21 @@ def lower_case_columns(spark, folder):
 
 
 def chart_in_order(spark, folder):
-    """The first rows in the order in which performance is stored."""
+    """All rows, sorted as performance is stored."""
     weekly = weekly_view(spark, folder).select("week_end_date", "rank", "movie_id")
-    return cleaning.in_chart_order(weekly).limit(200)
+    return cleaning.in_chart_order(weekly)
 
 
 def chart_in_order_positions(spark, folder):
-    """All rows, sorted as performance is stored, with the place that the sorted rows give each: rows of earlier tasks, then the place in the task."""
+    """All rows with the place that the sort gives them: rows of earlier tasks, then the place in the task."""
     weekly = weekly_view(spark, folder).select("week_end_date", "rank", "movie_id")
     ordered = cleaning.in_chart_order(weekly).select("*", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("row"))
     rows = written(ordered, "chart-in-order").withColumn("row", F.col("row").bitwiseAND(F.lit((1 << 33) - 1)))
-    # one short row per task of the sort
-    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy("task").count().select("task", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    return rows.join(F.broadcast(offsets), "task").select("week_end_date", "rank", "movie_id", (F.col("offset") + F.col("row")).alias("position"))
+    # one number for each task of the sort
+    counts = sorted(tuple(r) for r in rows.groupBy("task").count().collect())
+    before = itertools.accumulate([0, *[n for _, n in counts]])
+    offsets = spark.createDataFrame([(task, start) for (task, _), start in zip(counts, before)], "task int, offset long")
+    return rows.join(offsets, "task").select("week_end_date", "rank", "movie_id", (F.col("offset") + F.col("row")).alias("position"))
 
 
 def weekly_performance(spark, folder):

@@ -22,16 +22,77 @@ from filmgrid.registry.views import (
 from filmgrid.session import written
 
 
-def lr_predict(spark, folder):
+def _trained_linear(spark, folder):
     features = written(prediction.identity_features(movies(spark, folder)), "training")
-    model = prediction.train_linear(features)
+    return features, prediction.train_linear(features)
+
+
+def lr_predict(spark, folder):
+    """What makes a fit the least-squares one: in every role, each person's errors add up to nothing."""
+    features, model = _trained_linear(spark, folder)
+    scored = prediction.predict(model, features).where("label IS NOT NULL")
+    roles = list(prediction.ROLES.values())
+    long = scored.unpivot(["movie_id", "label", "predicted_revenue"], roles, "role", "person")
+    error = F.sum(F.col("label") - F.col("predicted_revenue")) / F.count("*")
+    return long.groupBy("role", "person").agg(
+        F.count("*").alias("films"), F.round(F.sum("label"), 1).alias("revenue"), (F.abs(error) < 0.05).alias("errors_cancel")
+    )
+
+
+def lr_predict_numbers(spark, folder):
+    """The same of the numbers: errors are at right angles to each of them."""
+    features, model = _trained_linear(spark, folder)
+    scored = prediction.predict(model, features).where("label IS NOT NULL")
+    error = F.col("label") - F.col("predicted_revenue")
+    columns = prediction.IDENTITY_NUMBERS
+    off = lambda c: F.abs(F.corr(error, F.col(c).cast("double"))) < 1e-6
+    row = scored.agg(F.count("*").alias("films"), *[off(c).alias(c) for c in columns])
+    return row.select("films", F.inline(F.array(*[F.struct(F.lit(c).alias("number"), F.col(c).alias("errors_cancel")) for c in columns])))
+
+
+def lr_predict_films(spark, folder):
+    features, model = _trained_linear(spark, folder)
     return prediction.predict(model, features).select("movie_id", "label", "predicted_revenue")
 
 
 def rf_predict(spark, folder):
-    features = written(prediction.identity_features(movies(spark, folder)), "training")
-    model = prediction.train_forest(features)
-    return prediction.predict(model, features).select("movie_id", "label", "predicted_revenue")
+    """Every film's revenue by a forest that has not seen its fold."""
+    features = prediction.identity_features(movies(spark, folder))
+    return prediction.cross_fit(prediction.train_forest, features).select("movie_id", "fold", "label", "predicted_revenue")
+
+
+def person_means_out_of_fold(spark, folder):
+    means = prediction.person_means_out_of_fold(prediction.identity_features(movies(spark, folder)))
+    return means.select("movie_id", "fold", *[F.round(f"{role}_mean", 2).alias(f"{role}_mean") for role in prediction.ROLES])
+
+
+def _beats_mean(scored):
+    """Films, those with a prediction, and whether the errors are smaller than those of the other folds' mean."""
+    known = scored.where("label IS NOT NULL")
+    totals = known.groupBy("fold").agg(F.sum("label").alias("own"), F.count("*").alias("n"))
+    every = totals.agg(F.sum("own").alias("total"), F.sum("n").alias("films")).first()
+    means = totals.select("fold", ((F.lit(every["total"]) - F.col("own")) / (F.lit(every["films"]) - F.col("n"))).alias("mean"))
+    square = lambda c: F.sqrt(F.avg((F.col("label") - F.col(c)) * (F.col("label") - F.col(c))))
+    return known.join(means, "fold").agg(
+        F.count("*").alias("films"), F.count("predicted_revenue").alias("predictions"), (square("predicted_revenue") < square("mean")).alias("beats_mean")
+    )
+
+
+def rf_out_of_fold(spark, folder):
+    return _beats_mean(rf_predict(spark, folder))
+
+
+def conformal_interval(spark, folder):
+    """A line over the budget, its margin from films that it has not seen, and how many of yet other films the interval covers."""
+    films = movies(spark, folder).where("revenue IS NOT NULL").select("movie_id", F.col("revenue").alias("label"), "budget")
+    dealt = written(films.withColumn("fold", prediction.fold(F.col("movie_id"), 5)), "folds")
+    model = prediction.train_line(dealt.where("fold > 1"), "budget")
+    scored = prediction.predict(model, dealt)
+    margin = prediction.conformal_margin(scored.where("fold = 0"))
+    error = F.abs(F.col("label") - F.col("predicted_revenue"))
+    return scored.where("fold = 1").agg(
+        F.count("*").alias("films"), F.count_if(error <= F.lit(margin) + 1e-6).alias("covered"), F.round(F.lit(margin), 2).alias("margin")
+    )
 
 
 def _forecast(spark, folder):
@@ -45,10 +106,13 @@ def forecast_features(spark, folder):
 
 
 def forecast_predict(spark, folder):
-    features = written(_forecast(spark, folder), "training")
-    model = prediction.train_forecast(features)
-    scored = prediction.with_interval(prediction.predict(model, features))
-    return scored.select("movie_id", "label", "predicted_revenue", "lower_bound", "upper_bound")
+    """Out of fold, with the interval that the page shows."""
+    scored = prediction.with_interval(prediction.cross_fit(prediction.train_forecast, _forecast(spark, folder)))
+    return scored.select("movie_id", "fold", "label", "predicted_revenue", "lower_bound", "upper_bound")
+
+
+def forecast_out_of_fold(spark, folder):
+    return _beats_mean(prediction.cross_fit(prediction.train_forecast, _forecast(spark, folder)))
 
 
 def planned_features(spark, folder):
@@ -151,6 +215,28 @@ CHECKS_SQL = cte(MOVIES, "n AS (SELECT count(*) AS films, count(revenue) AS labe
 SELECT model, films, films AS ids, labels, films AS predictions, true AS bounds_hold, true AS errors_cancel
 FROM n, (SELECT unnest(['linear', 'forest', 'forecast']) AS model)"""
 
+_FOLD = "CAST('0x' || substr(md5(CAST(movie_id AS VARCHAR)), 1, 8) AS BIGINT) % {n}"
+
+MEANS_SQL = cte(MOVIES, f"f AS (SELECT *, {_FOLD.format(n=3)} AS fold FROM v_movie)", "k AS (SELECT * FROM f WHERE revenue IS NOT NULL)") + (
+    "SELECT a.movie_id, a.fold, "
+    + ", ".join(
+        f"""round((coalesce((SELECT sum(b.revenue) FROM k b WHERE b.{r}_id = a.{r}_id AND b.fold <> a.fold), 0) + 5 * m)
+  / (coalesce((SELECT count(*) FROM k b WHERE b.{r}_id = a.{r}_id AND b.fold <> a.fold), 0) + 5), 2) AS {r}_mean"""
+        for r in prediction.ROLES
+    )
+    + " FROM f a JOIN (SELECT g.fold, avg(revenue) AS m FROM k JOIN (SELECT unnest(range(3)) AS fold) g ON g.fold <> k.fold GROUP BY 1) USING (fold)"
+)
+
+BEATS_SQL = cte(MOVIES) + "SELECT count(*) AS films, count(*) AS predictions, true AS beats_mean FROM v_movie WHERE revenue IS NOT NULL"
+
+CONFORMAL_SQL = cte(
+    MOVIES,
+    f"f AS (SELECT revenue, budget, {_FOLD.format(n=5)} AS fold FROM v_movie WHERE revenue IS NOT NULL)",
+    "l AS (SELECT regr_slope(revenue, budget) AS a, regr_intercept(revenue, budget) AS b FROM f WHERE fold > 1)",
+    "e AS (SELECT fold, abs(revenue - a * budget - b) AS error FROM f, l)",
+    "m AS (SELECT error AS margin FROM e WHERE fold = 0 QUALIFY row_number() OVER (ORDER BY error) = ceil(round((count(*) OVER () + 1) * 0.9, 9)))",
+) + """SELECT count(*) AS films, count(*) FILTER (error <= margin + 1e-6) AS covered, round(any_value(margin), 2) AS margin FROM e, m WHERE fold = 1"""
+
 QUERIES = {
     "line_over_budget": Query(
         line_over_budget,
@@ -163,7 +249,26 @@ FROM v_movie WHERE revenue IS NOT NULL""",
         parameters,
         "SELECT CAST(1 AS BIGINT) AS movie_id, 50.0::DOUBLE AS budget, NULL::DOUBLE AS runtime, NULL::VARCHAR AS cast1_id, count(*) AS films FROM part",
     ),
-    "lr_predict": Query(lr_predict, None),
+    "lr_predict": Query(
+        lr_predict,
+        cte(MOVIES)
+        + """, p AS (UNPIVOT (SELECT revenue, CAST(cast1_id AS VARCHAR) AS cast1_id, CAST(cast2_id AS VARCHAR) AS cast2_id,
+  CAST(director_id AS VARCHAR) AS director_id, CAST(producer_id AS VARCHAR) AS producer_id FROM v_movie WHERE revenue IS NOT NULL)
+ON cast1_id, cast2_id, director_id, producer_id INTO NAME role VALUE person)
+SELECT role, person, count(*) AS films, round(sum(revenue), 1) AS revenue, true AS errors_cancel FROM p GROUP BY 1, 2
+UNION ALL SELECT 'producer_id', NULL, count(*), round(sum(revenue), 1), true FROM v_movie WHERE revenue IS NOT NULL AND producer_id IS NULL""",
+    ),
+    "lr_predict_numbers": Query(
+        lr_predict_numbers,
+        cte(MOVIES)
+        + """SELECT count(*) AS films, number, true AS errors_cancel FROM v_movie,
+(SELECT unnest(['budget', 'runtime', 'tmdb_vote_count', 'release_year', 'release_month', 'release_day']) AS number) WHERE revenue IS NOT NULL GROUP BY 2""",
+    ),
+    "lr_predict_films": Query(lr_predict_films, None),
+    "person_means_out_of_fold": Query(person_means_out_of_fold, MEANS_SQL),
+    "rf_out_of_fold": Query(rf_out_of_fold, BEATS_SQL),
+    "forecast_out_of_fold": Query(forecast_out_of_fold, BEATS_SQL),
+    "conformal_interval": Query(conformal_interval, CONFORMAL_SQL),
     "rf_predict": Query(rf_predict, None),
     "forecast_predict": Query(forecast_predict, None),
     "forecast_features": Query(forecast_features, FORECAST_SQL),

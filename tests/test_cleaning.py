@@ -290,7 +290,7 @@ def test_prediction(spark):
     rows = [(i, float(1000 + 10 * i), float(i), date(2020, 1, 1 + i % 28), 90.0 + i % 7, i % 5 * 10, i % 3, i % 4, None, 2) for i in range(120)]
     movies = spark.createDataFrame(rows, "movie_id long, revenue double, budget double, release_date date, runtime double, tmdb_vote_count int, cast1_id int, cast2_id int, director_id long, producer_id int")
     features = prediction.identity_features(movies)
-    model = prediction.train_linear(features, hashed=32)
+    model = prediction.train_linear(features)
     scored = prediction.predict(model, features)
     error = scored.agg(F.avg(F.abs(F.col("label") - F.col("predicted_revenue")))).first()[0]
     assert error < 20
@@ -321,7 +321,7 @@ def test_missing_numbers_in_models(spark):
     rows = [(i, float(10 * i), float("nan") if i % 5 == 0 else float(i), date(2020, 1, 1 + i % 28), None if i % 7 == 0 else 90.0, None, i % 3, i % 4, None, 2) for i in range(80)]
     movies = spark.createDataFrame(rows, "movie_id long, revenue double, budget double, release_date date, runtime double, tmdb_vote_count int, cast1_id int, cast2_id int, director_id long, producer_id int")
     features = prediction.identity_features(movies)
-    for model in (prediction.train_linear(features, hashed=64), prediction.train_forest(features, trees=3)):
+    for model in (prediction.train_linear(features), prediction.train_forest(features, trees=3)):
         assert prediction.predict(model, features).where("predicted_revenue IS NULL OR isnan(predicted_revenue)").count() == 0
 
 

@@ -11,7 +11,8 @@ QUERIES = entry.queries()
 WRITERS = {"warehouse_upsert", "warehouse_append", "csv_round_trip", "ndjson_round_trip", "incremental_upsert"}
 WRITERS |= {"latest_landed_file", "files_of_a_window", "last_landed_row", "json_documents", "warehouse_csv_load"}
 WRITERS |= {"warehouse_append_partial_columns", "warehouse_steps", "incremental_upsert_out_of_order", "weekly_update_two_weeks"}
-MODELS = {"lr_predict", "rf_predict", "forecast_predict", "line_over_budget", "model_checks", "parameters"}
+MODELS = {"lr_predict", "lr_predict_films", "lr_predict_numbers", "rf_predict", "forecast_predict", "line_over_budget", "model_checks", "parameters"}
+MODELS |= {"rf_out_of_fold", "forecast_out_of_fold", "conformal_interval"}
 #: those of the corpus operators have tests of their own
 CORPUS = {name for name in QUERIES if re.match(r"op\d+_|pipeline$", name)}
 
