@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import itertools
+
 from pyspark.sql import functions as F
 
 from filmgrid import schemas
@@ -410,7 +411,7 @@ SELECT year, week, rank, CASE WHEN reason IS NULL THEN CAST(friday + 6 + 7 * (we
         cte(RAW_RELEASES) + "SELECT release, rank, gross, l_orderkey FROM v_release",
     ),
     "chart_in_order": Query(
-        chart_in_order, cte(WEEKLY) + "SELECT week_end_date, rank, movie_id FROM v_weekly ORDER BY week_end_date, rank, movie_id LIMIT 200"
+        chart_in_order, cte(WEEKLY) + "SELECT week_end_date, rank, movie_id FROM v_weekly ORDER BY week_end_date, rank, movie_id"
     ),
     "chart_in_order_positions": Query(
         chart_in_order_positions,
