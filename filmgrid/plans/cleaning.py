@@ -108,9 +108,13 @@ def change_log(raw: DataFrame) -> DataFrame:
     return pairs.select("people_id", *order, "change", "edit.key", F.lit("updated").alias("action"), "edit.value")
 
 
+def kept_changes(log: DataFrame) -> DataFrame:
+    return log.where(~F.col("action").isin(*nested.DISCARDED_ACTIONS))
+
+
 def fold_people_changes(log: DataFrame, order: list[str]) -> DataFrame:
     """The same from a log of single edits ``(people_id, key, action, value, *order)`` over any number of rows."""
-    edits = log.where(~F.col("action").isin(*nested.DISCARDED_ACTIONS))
+    edits = kept_changes(log)
     return _typed_people_fields(dedup.latest_values(edits, "people_id", "key", "value", order, PEOPLE_FIELDS))
 
 
@@ -154,15 +158,19 @@ def latest_statistics(statistics: DataFrame, order: Sequence[str] = ()) -> DataF
     return dedup.keep_last(statistics.na.fill(dict.fromkeys(COUNTS, 0.0)), ["video_key_id"], [*order, *COUNTS])
 
 
-def clean_video_stats(details: DataFrame, statistics: DataFrame) -> DataFrame:
-    """Videos that have statistics; missing counts are 0."""
-    named = details.select(
+def named_videos(details: DataFrame) -> DataFrame:
+    """The columns of the statistics that come from the films."""
+    return details.select(
         "movie_id",
         F.col("key").cast("string").alias("video_key_id"),
         F.col("site").alias("video_site"),
         F.col("type").alias("video_type"),
         "published_at",
     )
+
+
+def counted_videos(named: DataFrame, statistics: DataFrame) -> DataFrame:
+    """Videos that have statistics; missing counts are 0."""
     joined = named.join(statistics.withColumn("video_key_id", F.col("video_key_id").cast("string")), "video_key_id")
     filled = joined.na.fill(dict.fromkeys(COUNTS, 0.0))
     counted = filled.withColumns({c: F.col(c).cast("bigint") for c in COUNTS})
@@ -170,6 +178,11 @@ def clean_video_stats(details: DataFrame, statistics: DataFrame) -> DataFrame:
     return counted.select(*columns).distinct()
 
 
+def clean_video_stats(details: DataFrame, statistics: DataFrame) -> DataFrame:
+    """Videos of films with their statistics."""
+    return counted_videos(named_videos(details), statistics)
+
+
 def clean_weekly_chart(raw: DataFrame, years: tuple[int, int] | None = None, legacy_year: bool = False) -> DataFrame:
     """Chart rows parsed, re-releases left out, with the week's end and the likely release date.
 

@@ -9,11 +9,12 @@ with a date window ``_20240101_20240108`` at the end.
 An update takes every file that no finished update has taken, early or late; the list of taken files is a table of the
 warehouse, and a run adds to it last. What counts as later is decided by the files: the window in the name, the name, and
 the place in the file. Tables keep that order with the rows, so a late file does not undo a newer one, and a run that is
-repeated changes nothing.
+repeated changes nothing. Old files are not read again: what depends on them is in state tables (``plans.maintained``).
 """
 
 from __future__ import annotations
 
+import functools
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 
 from filmgrid import schemas
 from filmgrid.functions import dates
-from filmgrid.operators import dedup
-from filmgrid.plans import cleaning
+from filmgrid.operators import dedup, resolve
+from filmgrid.plans import cleaning, maintained
+from filmgrid.session import written
 from filmgrid.sources import readers
 from filmgrid.sources.warehouse import ORDER, Warehouse
 
@@ -64,11 +66,26 @@ def initialise(spark: SparkSession, landing: str, warehouse: Warehouse, language
     # counts with a window in their name belong to the updates
     initial = lambda prefix: [p for p in paths(prefix, "csv") if not readers.has_window(p)]
     counts = cleaning.latest_statistics(_statistics(spark, initial("raw_youtube_video_stats"), initial("raw_vimeo_video_stats")), [ORDER])
-    stats = cleaning.clean_video_stats(cleaning.video_details(films), counts.drop(ORDER))
-    stats = dedup.keep_last(stats, ["movie_id", "video_key_id"], ["published_at", "video_type"])
-    warehouse.load("video_stats", stats, run_time, "truncate")
-    weekly = cleaning.weekly_performance(charts, warehouse.read("movie"), **chart_options)
-    warehouse.load("weekly_domestic_performance", cleaning.in_chart_order(weekly), run_time, "truncate")
+    state = maintained.state_of(warehouse)
+    state.create_all()
+    lists, listed = maintained.video_lists(films)
+    state.load("film_videos", lists, run_time, "truncate")
+    state.load("video_films", listed, run_time, "truncate")
+    state.load("video_counts", counts.where("video_key_id IS NOT NULL"), run_time, "truncate")
+    state.truncate("people_changes")
+    warehouse.load("video_stats", cleaning.counted_videos(listed, counts.drop(ORDER)), run_time, "truncate")
+
+    state.load("chart_rows", maintained.chart_state(_with_source(charts, 0)), run_time, "truncate")
+    titles = cleaning.titled_films(warehouse.read("movie")).where("title_cleaned IS NOT NULL")
+    state.load("film_titles", titles, run_time, "truncate")
+    rows = state.read("chart_rows").drop("title_cleaned", "insertion_datetime")
+    weekly = resolve.resolve_chart(cleaning.clean_weekly_chart(rows, **chart_options), state.read("film_titles")).drop("days_diff")
+    warehouse.load("weekly_domestic_performance", weekly, run_time, "truncate")
+
+
+def _with_source(charts: DataFrame, source: int) -> DataFrame:
+    """Chart rows with what tells which is later: rows of updates before initial ones, then when and in which file they landed."""
+    return readers.with_file_order(charts).withColumn("_source", F.lit(source))
 
 
 def update_windows(spark: SparkSession, run_date: date) -> dict[str, object]:
@@ -107,56 +124,50 @@ def weekly_update(spark: SparkSession, landing: str, warehouse: Warehouse, langu
 
     films = readers.read_ordered(spark, film_files, "ndjson", schemas.FILM_DETAILS)
     latest = dedup.keep_last(films, ["id"], ["_order", "_position"])
+    state = maintained.state_of(warehouse)
+    titles = []
     if film_files:
+        latest = written(latest, "films")
         order = latest.select(F.col("id").alias("movie_id"), F.col("_order").alias(ORDER))
-        warehouse.upsert("movie", cleaning.clean_movies(latest, languages).join(order, "movie_id"), run_time)
+        batch = written(cleaning.clean_movies(latest, languages).join(order, "movie_id"), "movies")
+        before, after = maintained.changed_titles(warehouse, batch)
+        titles.append(maintained.move_titles(state, before, after, run_time))
+    if chart_files:
+        charts = readers.read_csv(spark, chart_files, schemas.WEEKLY_CHART)
+        titles.append(maintained.add_chart_rows(state, _with_source(charts, 1), run_time))
+    if titles:
+        maintained.match_titles(warehouse, state, functools.reduce(DataFrame.union, titles), run_time, **chart_options)
+    refreshed = None
+    if youtube or vimeo:
+        counts = cleaning.latest_statistics(_statistics(spark, youtube, vimeo), [ORDER]).where("video_key_id IS NOT NULL")
+        refreshed = written(counts, "video-counts")
+        state.upsert("video_counts", refreshed, run_time)
+    if film_files:
+        maintained.move_videos(warehouse, state, latest, refreshed, run_time)
+        # the films' old titles and videos were needed up to here
+        warehouse.upsert("movie", batch, run_time)
+    elif refreshed is not None:
+        maintained.count_videos(warehouse, state, refreshed.select("video_key_id"), warehouse.read("video_stats").limit(0), run_time)
+    touched = []
     if people_files:
         people = readers.read_ordered(spark, people_files, "ndjson", schemas.PEOPLE_DETAILS)
         people = dedup.keep_last(people, ["id"], ["_order", "_position"])
         order = people.select(F.col("id").alias("people_id"), F.col("_order").alias(ORDER))
         warehouse.upsert("people", cleaning.clean_people(people).join(order, "people_id"), run_time)
-    if change_files or people_files:
-        # each field has its own latest change, so the people concerned are folded over all files of changes
-        every = readers.file_paths(spark, landing, "update_raw_people", "ndjson")
-        changes = readers.read_ordered(spark, every, "ndjson", schemas.PEOPLE_CHANGES)
-        touched = readers.read_ordered(spark, change_files, "ndjson", schemas.PEOPLE_CHANGES).select("people_id")
-        if people_files:
-            touched = touched.union(readers.read_ordered(spark, people_files, "ndjson", schemas.PEOPLE_DETAILS).select("id"))
-        log = cleaning.change_log(changes.join(touched.distinct(), "people_id", "left_semi"))
-        warehouse.update("people", cleaning.fold_people_changes(log, ["_order", "_position", "change"]), run_time)
-    if youtube or vimeo:
-        counts = cleaning.latest_statistics(_statistics(spark, youtube, vimeo), [ORDER])
-        # the films that list a video may have landed in any earlier run
-        details = readers.read_ordered(
-            spark,
-            readers.file_paths(spark, landing, "raw_movie_details", "ndjson") + readers.file_paths(spark, landing, "update_raw_movie_details", "ndjson"),
-            "ndjson",
-            schemas.FILM_DETAILS,
-        )
-        details = dedup.keep_last(details, ["id"], ["_order", "_position"])
-        order = counts.select("video_key_id", ORDER)
-        stats = cleaning.clean_video_stats(cleaning.video_details(details), counts.drop(ORDER)).join(order, "video_key_id")
-        # a film may list one video under several types
-        stats = dedup.keep_last(stats, ["movie_id", "video_key_id"], ["published_at", "video_type"])
-        warehouse.upsert("video_stats", stats, run_time)
+        touched.append(order.select("people_id"))
+    if change_files:
+        changes = readers.read_ordered(spark, change_files, "ndjson", schemas.PEOPLE_CHANGES)
+        registers = written(maintained.change_registers(changes), "people-changes")
+        state.upsert("people_changes", registers, run_time, ["people_id", "key"])
+        touched.append(registers.select("people_id"))
+    if touched:
+        maintained.apply_changes(warehouse, state, functools.reduce(DataFrame.union, touched), run_time)
     if collection_files:
         raw = readers.read_keyed_json(spark, collection_files, schemas.COLLECTION_DETAILS)
-        known = warehouse.read("collection").select("collection_id")
-        # under one name for the run, so that a repeated run replaces what it added
-        new = cleaning.clean_collections(raw).join(known, "collection_id", "left_anti")
-        warehouse.upsert("collection", new, run_time)
-    if chart_files or film_files:
-        initial = readers.with_file_order(
-            readers.read_csv(spark, readers.prefix_glob(landing, "weekly_chart", "csv"), schemas.WEEKLY_CHART)
-        )
-        updates = initial.limit(0)
-        if not readers.list_files(spark, landing, "update_weekly_chart", "csv").isEmpty():
-            path = readers.prefix_glob(landing, "update_weekly_chart", "csv")
-            updates = readers.with_file_order(readers.read_csv(spark, path, schemas.WEEKLY_CHART))
-        # a new film may be what an old row means, so all weeks are matched again
-        chart = cleaning.latest_chart(initial, updates)
-        weekly = cleaning.weekly_performance(chart, warehouse.read("movie"), **chart_options)
-        warehouse.load("weekly_domestic_performance", cleaning.in_chart_order(weekly), run_time, "truncate")
+        new = cleaning.clean_collections(raw)
+        known = warehouse.rows_of("collection", new.select("collection_id")).select("collection_id")
+        # known collections stay as they are
+        warehouse.upsert("collection", new.join(known, "collection_id", "left_anti"), run_time)
 
     files = [film_files, people_files, change_files, youtube, vimeo, collection_files, chart_files]
     names = [(readers.file_name(p),) for group in files for p in group]

@@ -152,5 +152,28 @@ WAREHOUSE_TABLES = {
     "collection": (COLLECTION, ["collection_id"]),
     "people": (PEOPLE, ["people_id"]),
     "video_stats": (VIDEO_STATS, ["movie_id", "video_key_id"]),
-    "weekly_domestic_performance": (WEEKLY_DOMESTIC_PERFORMANCE, ["week_end_date", "movie_id"]),
+    "weekly_domestic_performance": (WEEKLY_DOMESTIC_PERFORMANCE, ["title_cleaned"]),
+}
+#: columns that a table keeps with its rows and does not show
+WAREHOUSE_HIDDEN = {"weekly_domestic_performance": record(title_cleaned=STRING)}
+
+#: what the weekly update keeps beside the tables, so that it need not read old files again
+STATE_TABLES = {
+    # the last row of every (year, week, title as printed)
+    "chart_rows": (
+        record(title_cleaned=STRING, year=INT, week=INT, Release=STRING, Rank=LONG, Gross=STRING, Theaters=STRING, Weeks=STRING, insertion_datetime=TIME),
+        ["title_cleaned"],
+    ),
+    # the films of a title
+    "film_titles": (record(title_cleaned=STRING, movie_id=LONG, release_date=DATE, insertion_datetime=TIME), ["title_cleaned"]),
+    # the last value of every field that a change has named, by person
+    "people_changes": (record(people_id=LONG, key=STRING, value=STRING, insertion_datetime=TIME), ["people_id"]),
+    # the videos of a film, and the films of a video
+    "film_videos": (record(movie_id=LONG, video_keys=STRINGS, insertion_datetime=TIME), ["movie_id"]),
+    "video_films": (
+        record(video_key_id=STRING, movie_id=LONG, video_site=STRING, video_type=STRING, published_at=STRING, insertion_datetime=TIME),
+        ["video_key_id"],
+    ),
+    # the last counts of a video, whether a film lists it or not
+    "video_counts": (record(video_key_id=STRING, view_count=DOUBLE, like_count=DOUBLE, comment_count=DOUBLE, insertion_datetime=TIME), ["video_key_id"]),
 }

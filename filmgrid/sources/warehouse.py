@@ -6,11 +6,13 @@ the partitions that are written. An append adds a ``load_id`` partition of its o
 run again under the same id replaces what it wrote. A merge keeps every row in its load's partition.
 
 Reads use the declared schema, so files that lack a column give nulls for it. Rows may carry ``source_order``, a text
-that tells which of two rows is the later one; the tables keep it, and upserts do not let an older row win.
+that tells which of two rows is the later one; the tables keep it, and upserts do not let an older row win. A table may
+keep further columns that it does not show.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Sequence
 
@@ -34,10 +36,11 @@ PLACE = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("l
 class Warehouse:
     """Tables below ``root``; ``tables`` maps a name to its schema and its key columns. One writer at a time."""
 
-    def __init__(self, spark: SparkSession, root: str, tables=None, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, tables=None, buckets: int = BUCKETS, hidden=None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = dict(tables if tables is not None else schemas.WAREHOUSE_TABLES)
+        self.hidden = dict(hidden if hidden is not None else schemas.WAREHOUSE_HIDDEN if tables is None else {})
         self.buckets = buckets
 
     def path(self, table: str) -> str:
@@ -45,7 +48,8 @@ class Warehouse:
 
     def _schema(self, table: str) -> T.StructType:
         """What is stored of a row, apart from its place."""
-        return T.StructType([*self.tables[table][0].fields, T.StructField(ORDER, T.StringType())])
+        hidden = self.hidden.get(table, T.StructType()).fields
+        return T.StructType([*self.tables[table][0].fields, *hidden, T.StructField(ORDER, T.StringType())])
 
     def _stored(self, table: str) -> DataFrame:
         """The rows with their place."""
@@ -82,7 +86,24 @@ class Warehouse:
             self.create_if_absent(table)
 
     def read(self, table: str) -> DataFrame:
-        return self._stored(table).drop(*PLACE.names, ORDER)
+        return self._stored(table).select(*self.tables[table][0].names)
+
+    def _buckets_of(self, table: str, *frames: DataFrame) -> list[int]:
+        """The buckets that the keys in some frames fall into; at most as many numbers as the table has buckets."""
+        numbers = [frame.select(self._bucket(table).alias("bucket")) for frame in frames]
+        return sorted(r["bucket"] for r in functools.reduce(DataFrame.union, numbers).distinct().collect())
+
+    def rows_of(self, table: str, keys: DataFrame) -> DataFrame:
+        """The rows, with all that is kept of them, whose columns agree with some row of ``keys``; null agrees with nothing.
+
+        ``keys`` must have the table's key columns. Only the buckets that they fall into are read.
+        """
+        if not set(self.tables[table][1]) <= set(keys.columns):
+            raise ValueError(f"the buckets of {table} follow from {self.tables[table][1]}")
+        kinds = self._schema(table)
+        wanted = keys.select(*[F.col(c).cast(kinds[c].dataType).alias(c) for c in keys.columns]).distinct()
+        there = self._stored(table).where(F.col("bucket").isin(self._buckets_of(table, wanted)))
+        return there.drop(*PLACE.names).join(wanted, keys.columns, "left_semi")
 
     def truncate(self, table: str) -> None:
         """Remove all rows."""
@@ -154,8 +175,7 @@ class Warehouse:
                 return
             target = self._stored(table)
             if set(stored) <= set(keys):  # other keys say nothing about the buckets
-                numbers = [r["bucket"] for r in batch.select(self._bucket(table).alias("bucket")).distinct().collect()]
-                target = target.where(F.col("bucket").isin(numbers))
+                target = target.where(F.col("bucket").isin(self._buckets_of(table, batch)))
             merged = apply(target.drop("bucket"), batch, keys)
             result_folder = self._aside(merged.withColumn("load_id", F.coalesce("load_id", F.lit(MERGED))))
             result = self.spark.read.schema(T.StructType([*schema.fields, PLACE["load_id"]])).parquet(result_folder)
@@ -178,5 +198,41 @@ class Warehouse:
         self._merge(table, df, run_time, keys, merge.update_known)
 
 
+    def replace(self, table: str, gone: DataFrame, rows: DataFrame, run_time) -> None:
+        """Take out the rows that agree with some row of ``gone`` in its columns, and add ``rows``.
+
+        Both say by the table's key columns which buckets are read and written; the others stay as they are. The result
+        is computed in full before any file goes, and doing the same again changes nothing.
+        """
+        schema = self._schema(table)
+        on = gone.columns
+        if not set(self.tables[table][1]) <= set(on):
+            raise ValueError(f"the buckets of {table} follow from {self.tables[table][1]}")
+        folders = [
+            self._aside(gone.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in on]).dropna().distinct()),
+            self._aside(writers.conform(writers.stamp(rows, run_time), schema)),
+        ]
+        try:
+            leaving = self.spark.read.parquet(folders[0])
+            coming = self.spark.read.schema(schema).parquet(folders[1])
+            numbers = self._buckets_of(table, leaving, coming)
+            if not numbers:
+                return
+            target = self._stored(table).where(F.col("bucket").isin(numbers))
+            before = {(r["bucket"], r["load_id"]) for r in target.select(*PLACE.names).distinct().collect()}
+            stay = target.join(leaving, on, "left_anti").select(*schema.names, "load_id")
+            folders.append(self._aside(stay.union(coming.withColumn("load_id", F.lit(MERGED)))))
+            result = self.spark.read.schema(T.StructType([*schema.fields, PLACE["load_id"]])).parquet(folders[2])
+            after = {(r["bucket"], r["load_id"]) for r in result.select(self._bucket(table).alias("bucket"), "load_id").distinct().collect()}
+            if after:
+                self._write(table, result, "dynamic")
+            # an overwrite leaves places alone that get no row
+            for bucket, load in before - after:
+                delete_path(self.spark, f"{self.path(table)}/bucket={bucket}/load_id={load}")
+        finally:
+            for folder in folders:
+                delete_path(self.spark, folder)
+
+
 def _is_nested(field: T.StructField) -> bool:
     return isinstance(field.dataType, (T.ArrayType, T.StructType))

@@ -8,7 +8,8 @@ from filmgrid.plans import warehouse_jobs
 from filmgrid.session import fresh_path
 from filmgrid.sources import readers, writers
 from filmgrid.sources.warehouse import Warehouse
-from filmgrid.streaming.ingest import ingest_files, order_text
+from filmgrid.sources.ordering import order_text
+from filmgrid.streaming.ingest import ingest_files
 from pyspark.sql import functions as F
 from test_cleaning import CHART_HEADER, film
 
