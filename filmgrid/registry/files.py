@@ -10,8 +10,8 @@ from filmgrid import schemas
 from filmgrid.operators import dedup
 from filmgrid.plans import warehouse_jobs, worklists
 from filmgrid.registry import Query
-from filmgrid.registry.cleaning import film_details, people_details
-from filmgrid.registry.views import chart, languages, table
+from filmgrid.registry.cleaning import RAW_CHART, RESOLVED, film_details, people_details
+from filmgrid.registry.views import CHART, chart, cte, film_columns, languages, table
 from filmgrid.session import fresh_path
 from filmgrid.sources import readers, writers
 from filmgrid.sources.warehouse import Warehouse
@@ -34,8 +34,8 @@ def land(spark, df, folder, name):
         writers.write_csv(df, made)
     elif name.endswith(".ndjson"):
         writers.write_ndjson(df, made)
-    else:
-        df.write.text(made)
+    else:  # every row is a document
+        df.write.option("maxRecordsPerFile", 1).text(made)
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     parts = sorted(f.getPath().toString() for f in system.globStatus(path(f"{made}/part-*")))
@@ -171,13 +171,32 @@ def incremental_upsert_out_of_order(spark, folder):
     return warehouse.read("latest_events").drop("insertion_datetime")
 
 
+def _keyed_collections(customers, name):
+    """Objects of collections by key, of up to a thousand customers each."""
+    key = F.col("c_custkey")
+    film = F.struct(F.lit("movie").alias("media_type"), F.lit("1999-07-01").alias("release_date"), F.lit(2.0).alias("popularity"))
+    parts = F.when(key % 3 == 0, F.array(film)).otherwise(F.array().cast("array<struct<media_type:string,release_date:string,popularity:double>>"))
+    entry = F.struct(key.cast("string"), F.struct(key.alias("id"), name.alias("name"), parts.alias("parts")))
+    return customers.groupBy(F.floor(key / 1000)).agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")).select("value")
+
+
+def _one_a_title(rows):
+    """Of the chart rows of one year, week and title the first."""
+    row = F.min(F.struct("Rank", "Gross", "Theaters", "Weeks", "l_orderkey")).alias("row")
+    return rows.groupBy("year", "week", "Release").agg(row).select("year", "week", "Release", "row.*")
+
+
 def weekly_update_two_weeks(spark, folder):
-    """The initial load and two weekly updates, the second of them repeated: rows of three tables.
+    """The initial load and two weekly updates, the second of them repeated: rows of all five tables.
 
-    People change twice in one file, popularity, votes and views fall, and a film file of the first week comes late.
+    People change twice in one file, popularity, votes and views fall, a film file of the first week comes late, films
+    get other titles, under which the chart does not know them, or drop their videos, and chart rows come again.
     """
     landing = fresh_path(spark, "landing")
-    films, people = film_details(spark, folder), people_details(spark, folder)
+    released = film_columns()["release_date"]
+    dates = table(spark, folder, "part").select(F.col("p_partkey").alias("id"), released.cast("string").alias("release_date"))
+    films = film_details(spark, folder).drop("release_date").join(dates, "id")
+    people, customers, charts = people_details(spark, folder), table(spark, folder, "customer"), _one_a_title(chart(spark, folder))
     part, codes = table(spark, folder, "part"), languages(spark, folder)
     put = lambda df, name: land(spark, df, landing, name)
 
@@ -195,42 +214,59 @@ def weekly_update_two_weeks(spark, folder):
     )
     put(films, "raw_movie_details_0.ndjson")
     put(people, "raw_people_0.ndjson")
-    collection = table(spark, folder, "nation").where("n_nationkey = 0").select(F.lit('{"1": {"id": 1, "name": "one", "parts": []}}').alias("value"))
-    put(collection, "raw_collection_data_0.json")
+    put(_keyed_collections(customers.where("c_custkey % 2 = 0"), F.col("c_name")), "raw_collection_data_0.json")
     put(counts("true", F.col("p_size") * 1000), "raw_youtube_video_stats_0.csv")
-    put(chart(spark, folder).drop("l_orderkey"), "weekly_chart_0.csv")
+    put(charts.drop("l_orderkey"), "weekly_chart_0.csv")
     warehouse = Warehouse(spark, fresh_path(spark, "warehouse"), buckets=4)
     warehouse_jobs.initialise(spark, landing, warehouse, codes, RUN_TIME)
 
     put(renamed("id % 5 = 0", "new", 1), "update_raw_movie_details_20240101_20240108.ndjson")
     put(changes("id % 3 = 0", "first"), "update_raw_people_20240101_20240108.ndjson")
     put(counts("p_partkey % 4 = 0", F.lit(5)), "raw_youtube_video_stats_20240101_20240108.csv")
+    put(_keyed_collections(customers, F.concat(F.lit("new "), "c_name")), "update_raw_collection_data_0.json")
     warehouse_jobs.weekly_update(spark, landing, warehouse, codes, RUN_TIME)
 
-    put(renamed("id % 5 = 0 OR id % 7 = 0", "late", 2), "update_raw_movie_details_20240101_20240107.ndjson")
+    without = F.when(F.col("id") % 14 != 0, F.col("videos"))
+    put(renamed("id % 5 = 0 OR id % 7 = 0", "late", 2).withColumn("videos", without), "update_raw_movie_details_20240101_20240107.ndjson")
     put(changes("id % 6 = 0", "second", "third"), "update_raw_people_20240108_20240115.ndjson")
     put(people.where("id % 10 = 0").withColumn("popularity", F.lit(0.5)), "append_raw_people_20240108_20240115.ndjson")
     put(counts("p_partkey % 8 = 0", F.lit(3)), "raw_youtube_video_stats_20240108_20240115.csv")
+    put(charts.where("l_orderkey % 2 = 1").withColumn("Rank", F.col("Rank") + 10).drop("l_orderkey"), "update_weekly_chart_0.csv")
     for _ in range(2):
         warehouse_jobs.weekly_update(spark, landing, warehouse, codes, RUN_TIME)
 
     def rows(name, key, text, number):
-        columns = [F.lit(name).alias("table"), F.col(key).alias("id"), F.col(text).alias("name"), F.col(number).cast("double").alias("number")]
+        columns = [F.lit(name).alias("table"), F.col(key).alias("id"), text.alias("name"), F.col(number).cast("double").alias("number")]
         return warehouse.read(name).select(*columns)
 
+    chart_text = F.concat_ws(" ", F.col("week_end_date").cast("string"), "domestic_gross", "domestic_theaters_count")
     return (
-        rows("movie", "movie_id", "title", "tmdb_vote_count")
-        .union(rows("people", "people_id", "name", "tmdb_popularity"))
-        .union(rows("video_stats", "movie_id", "video_key_id", "view_count"))
+        rows("movie", "movie_id", F.col("title"), "tmdb_vote_count")
+        .union(rows("people", "people_id", F.col("name"), "tmdb_popularity"))
+        .union(rows("video_stats", "movie_id", F.col("video_key_id"), "view_count"))
+        .union(rows("collection", "collection_id", F.col("name"), "number_movies_before_2020"))
+        .union(rows("weekly_domestic_performance", "movie_id", chart_text, "rank"))
     )
 
 
-TWO_WEEKS_SQL = """
+TWO_WEEKS_SQL = cte(
+    CHART,
+    RAW_CHART,
+    """v_once AS (SELECT * REPLACE (CASE WHEN l_orderkey % 2 = 1 THEN rank + 10 ELSE rank END AS rank) FROM (
+  SELECT * FROM v_raw QUALIFY row_number() OVER (PARTITION BY year, week, release
+    ORDER BY rank, gross_text, theaters_text, weeks_text NULLS FIRST, l_orderkey) = 1))""",
+    """v_week AS (SELECT c.*, CAST(first_friday + 6 + 7 * (week - 1) AS DATE) AS week_end_date,
+         CAST(first_friday + 6 + 7 * (week - 1) - (weeks + 1) * 7 AS DATE) AS likely_release_date
+  FROM v_once c JOIN v_first f ON f.year = c.year)""",
+    """v_film AS (SELECT *, p_partkey AS movie_id, DATE '1995-01-02' + CAST(p_partkey * 37 % 2400 AS INTEGER) AS release_date FROM part
+WHERE p_partkey % 11 <> 0 AND (p_size % 4 = 1 OR (p_size % 4 > 1 AND p_size % 3 = 1)) AND p_partkey % 9 <> 0 AND p_partkey % 10 <> 0)""",
+    "v_movie AS (SELECT movie_id, release_date, p_name AS title FROM v_film WHERE p_partkey % 5 <> 0 AND p_partkey % 7 <> 0)",
+    RESOLVED.format(source="v_week"),
+) + """
 SELECT 'movie' AS "table", p_partkey AS id,
        CASE WHEN p_partkey % 5 = 0 THEN 'new ' WHEN p_partkey % 7 = 0 THEN 'late ' ELSE '' END || p_name AS name,
        CAST(CASE WHEN p_partkey % 5 = 0 THEN 1 WHEN p_partkey % 7 = 0 THEN 2 ELSE p_size * 7 END AS DOUBLE) AS number
-FROM part
-WHERE p_partkey % 11 <> 0 AND (p_size % 4 = 1 OR (p_size % 4 > 1 AND p_size % 3 = 1)) AND p_partkey % 9 <> 0 AND p_partkey % 10 <> 0
+FROM v_film
 UNION ALL
 SELECT 'people', c_custkey, CASE WHEN c_custkey % 6 = 0 THEN 'third' WHEN c_custkey % 3 = 0 THEN 'first' ELSE c_name END,
        CASE WHEN c_custkey % 10 = 0 THEN 0.5 ELSE c_acctbal END
@@ -238,7 +274,13 @@ FROM customer
 UNION ALL
 SELECT 'video_stats', p_partkey, 't' || p_partkey,
        CAST(CASE WHEN p_partkey % 8 = 0 THEN 3 WHEN p_partkey % 4 = 0 THEN 5 ELSE p_size * 1000 END AS DOUBLE)
-FROM part WHERE p_size % 5 >= 2"""
+FROM part WHERE p_size % 5 >= 2 AND NOT (p_partkey % 14 = 0 AND p_partkey % 5 <> 0)
+UNION ALL
+SELECT 'collection', c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE 'new ' END || c_name, CASE WHEN c_custkey % 3 = 0 THEN 1.0 ELSE 0.0 END
+FROM customer
+UNION ALL
+SELECT 'weekly_domestic_performance', movie_id, concat_ws(' ', CAST(week_end_date AS VARCHAR), gross, theaters), CAST(rank AS DOUBLE)
+FROM w WHERE rn = 1 AND diff <= 50"""
 
 N = "CAST(n_nationkey AS BIGINT) AS n_nationkey"
 R = "CAST(n_regionkey AS BIGINT) AS n_regionkey"

@@ -13,7 +13,7 @@ from filmgrid.registry.views import table
 from filmgrid.session import fresh_path
 from filmgrid.sources import readers, writers
 from filmgrid.sources.warehouse import Warehouse
-from filmgrid.streaming.ingest import ingest_files
+from filmgrid.streaming.ingest import ingest_files, read_rejects
 
 RUN_TIME = datetime(2024, 4, 1, 12)
 
@@ -135,7 +135,50 @@ def incremental_upsert(spark, folder):
     return warehouse.read("latest_events").drop("insertion_datetime")
 
 
+def _events_with_bad_lines(spark, folder):
+    """The event log landed as lines in two batches; some lines are cut off, some have no user."""
+    landing, warehouse = fresh_path(spark, "landing"), _warehouse(spark, "stream")
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    user = F.when(F.col("event_id") % 101 != 0, F.col("user_id"))
+    record = F.to_json(F.struct(user.alias("user_id"), "event_type", "event_id", "value", "ts"))
+    cut = F.concat(F.lit('{"event_id": '), "event_id", F.lit(', "user'))
+    lines = events.select(F.when(F.col("event_id") % 97 == 0, cut).otherwise(record).alias("value"), (F.col("event_id") % 2).alias("half"))
+    schema = schemas.record(user_id=schemas.LONG, event_type=schemas.STRING, event_id=schemas.LONG, value=schemas.DOUBLE, ts=schemas.TIME)
+    rejects = f"{warehouse.root}/_rejects"
+    for half in (0, 1):
+        lines.where(F.col("half") == half).select("value").write.text(f"{landing}/{half}")
+        for _ in range(2):  # the second call finds nothing new
+            ingest_files(
+                spark, warehouse, "latest_events", f"{landing}/*", "part-*", "json", schema, ["ts", "event_id"],
+                f"{warehouse.root}/_checkpoint", RUN_TIME, rejects=rejects,
+            )
+    return warehouse, rejects
+
+
+def incremental_upsert_bad_lines(spark, folder):
+    """The last good event of each user and type; bad lines are no rows of the table."""
+    warehouse, _ = _events_with_bad_lines(spark, folder)
+    return warehouse.read("latest_events").drop("insertion_datetime")
+
+
+def incremental_rejects(spark, folder):
+    """The events that were not taken in, and why."""
+    _, rejects = _events_with_bad_lines(spark, folder)
+    event = F.regexp_extract("line", r'"event_id":\s*(\d+)', 1).cast("bigint")
+    return read_rejects(spark, rejects).select("reason", event.alias("event_id"), (F.col("batch") % 2).alias("half"))
+
+
 QUERIES = {
+    "incremental_upsert_bad_lines": Query(
+        incremental_upsert_bad_lines,
+        """SELECT user_id, event_type, event_id, value FROM events WHERE event_id % 97 <> 0 AND event_id % 101 <> 0
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+    ),
+    "incremental_rejects": Query(
+        incremental_rejects,
+        """SELECT CASE WHEN event_id % 97 = 0 THEN 'not a record of the schema' ELSE 'a key is missing' END AS reason, event_id, event_id % 2 AS half
+FROM events WHERE event_id % 97 = 0 OR event_id % 101 = 0""",
+    ),
     "upsert_orders": Query(upsert_orders, UPSERTED),
     "update_nonnull_orders": Query(update_nonnull_orders, UPDATED),
     "warehouse_upsert": Query(warehouse_upsert, UPSERTED),

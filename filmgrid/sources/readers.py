@@ -11,10 +11,9 @@ from pyspark.sql import types as T
 
 from filmgrid import schemas
 from filmgrid.functions import html
+from filmgrid.sources import json_split
 
 STRICT = {"mode": "FAILFAST"}
-#: files that hold a single object are read by one task as one text, so larger ones are refused
-MAX_KEYED_JSON = 256 * 1024 * 1024
 # Fixed value: the date window at the end of a file's name, a part number behind it or not.
 _WINDOW = r"_(\d{8})_(\d{8})(?:-\d+)?\.[^.]*$"
 
@@ -43,18 +42,25 @@ def read_ndjson(spark: SparkSession, path: str | list[str], schema: T.StructType
 
 
 def read_json_document(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Files that hold one JSON record, or one array of records, each."""
-    return spark.read.schema(schema).options(multiLine=True, **STRICT).json(path)
+    """Files that hold one JSON record, or one array of records, each. An array is read by as many tasks as it has blocks.
+
+    Entries of an array that are null are left out.
+    """
+    parts = json_split.record_texts(spark, path)
+    is_array = F.col("opening") == "["
+    # a document that is one record comes in parts as well
+    pieces = F.array_sort(F.collect_list(F.struct("part", "text")))
+    single = parts.where(~is_array).groupBy("path").agg(F.array_join(F.transform(pieces, lambda p: p["text"]), "").alias("text"))
+    whole = single.select(F.concat(F.lit("["), "text", F.lit("]")).alias("text"))
+    listed = parts.where(is_array).select(json_split.entries_of_part().alias("text"))
+    rows = listed.union(whole).select(F.explode(F.from_json("text", T.ArrayType(schema), STRICT)).alias("r"))
+    return rows.where("r IS NOT NULL").select("r.*")
 
 
 def read_keyed_json(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Files that hold one object of records by key: ``(_file, _key, fields...)``."""
-    sizes = spark.read.format("binaryFile").load(path).select("path", "length")
-    large = sizes.where(F.col("length") > MAX_KEYED_JSON).select("path").limit(1).collect()
-    if large:
-        raise ValueError(f"{large[0]['path']} is one object of more than {MAX_KEYED_JSON} bytes; land it as one record a line")
-    text = spark.read.options(wholetext=True).text(path).select(F.col("_metadata.file_name").alias("_file"), "value")
-    return entries(text, "value", schema, "_file")
+    """Files that hold one object of records by key, read by as many tasks as they have blocks: ``(_file, _key, fields...)``."""
+    parts = json_split.record_texts(spark, path)
+    return entries(parts.select(F.col("file").alias("_file"), json_split.entries_of_part().alias("value")), "value", schema, "_file")
 
 
 def entries(df: DataFrame, column: str, schema: T.StructType, *keep: str) -> DataFrame:

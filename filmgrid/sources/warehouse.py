@@ -173,6 +173,8 @@ class Warehouse:
             batch = self.spark.read.schema(T.StructType(fields)).parquet(batch_folder)
             if batch.isEmpty():
                 return
+            if not batch.where(functools.reduce(Column.__or__, [F.col(k).isNull() for k in keys])).isEmpty():
+                raise ValueError(f"a row for {table} has no {' or no '.join(keys)}; it would be added again by every repetition")
             target = self._stored(table)
             if set(stored) <= set(keys):  # other keys say nothing about the buckets
                 target = target.where(F.col("bucket").isin(self._buckets_of(table, batch)))
@@ -186,7 +188,7 @@ class Warehouse:
                 delete_path(self.spark, result_folder)
 
     def upsert(self, table: str, df: DataFrame, run_time, keys: Sequence[str] | None = None) -> None:
-        """Add new rows and overwrite known ones, nulls included. An empty batch changes nothing.
+        """Add new rows and overwrite known ones, nulls included. An empty batch changes nothing, a null key is an error.
 
         If the batch has ``source_order``, a known row is overwritten only by one that is not older.
         """

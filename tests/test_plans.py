@@ -11,6 +11,7 @@ QUERIES = entry.queries()
 WRITERS = {"warehouse_upsert", "warehouse_append", "csv_round_trip", "ndjson_round_trip", "incremental_upsert"}
 WRITERS |= {"latest_landed_file", "files_of_a_window", "last_landed_row", "json_documents", "warehouse_csv_load"}
 WRITERS |= {"warehouse_append_partial_columns", "warehouse_steps", "incremental_upsert_out_of_order", "weekly_update_two_weeks"}
+WRITERS |= {"incremental_upsert_bad_lines", "incremental_rejects"}
 MODELS = {"lr_predict", "lr_predict_films", "lr_predict_numbers", "rf_predict", "forecast_predict", "line_over_budget", "model_checks", "parameters"}
 MODELS |= {"rf_out_of_fold", "forecast_out_of_fold", "conformal_interval"}
 #: those of the corpus operators have tests of their own
