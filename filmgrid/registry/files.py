@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -18,9 +19,9 @@ from filmgrid.sources.warehouse import Warehouse
 from filmgrid.streaming.ingest import ingest_files
 
 RUN_TIME = datetime(2024, 4, 1, 12)
-NATION = schemas.record(n_nationkey=schemas.LONG, n_name=schemas.STRING, n_regionkey=schemas.LONG)
-NATIONS = schemas.record(
-    n_nationkey=schemas.LONG, n_name=schemas.STRING, words=schemas.STRINGS, n_regionkey=schemas.LONG, insertion_datetime=schemas.TIME
+CUSTOMER = schemas.record(c_custkey=schemas.LONG, c_name=schemas.STRING, region=schemas.LONG)
+CUSTOMERS = schemas.record(
+    c_custkey=schemas.LONG, c_name=schemas.STRING, words=schemas.STRINGS, region=schemas.LONG, insertion_datetime=schemas.TIME
 )
 EVENTS = schemas.record(
     user_id=schemas.LONG, event_type=schemas.STRING, event_id=schemas.LONG, value=schemas.DOUBLE, insertion_datetime=schemas.TIME
@@ -44,89 +45,91 @@ def land(spark, df, folder, name):
         system.rename(path(part), path(f"{folder}/{name}" if len(parts) == 1 else f"{folder}/{stem}-{number:05d}.{ending}"))
 
 
-def _nations(spark, folder):
-    nation = table(spark, folder, "nation")
-    return nation.select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("bigint").alias("n_regionkey"))
+def _customers(spark, folder):
+    customers = table(spark, folder, "customer")
+    return customers.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", (F.col("c_nationkey") % 5).cast("bigint").alias("region"))
 
 
-def _nation_files(spark, folder):
-    """Nations in three files by region, each with a date window in its name; later files repeat some with new names."""
+def _customer_files(spark, folder):
+    """Customers in three files by region, each with a date window in its name; later files repeat some with new names."""
     landing = fresh_path(spark, "landing")
-    nation = _nations(spark, folder)
+    customers = _customers(spark, folder)
     for region, window in ((0, "20240101_20240108"), (1, "20240108_20240115"), (2, "20231225_20240101")):
-        named = F.concat("n_name", F.lit(f" {region}"))
-        land(spark, nation.where(F.col("n_regionkey") >= region).withColumn("n_name", named), landing, f"nations_{window}.ndjson")
+        named = F.concat("c_name", F.lit(f" {region}"))
+        land(spark, customers.where(F.col("region") >= region).withColumn("c_name", named), landing, f"customers_{window}.ndjson")
     return landing
 
 
 def latest_landed_file(spark, folder):
-    return readers.read_ndjson(spark, readers.latest_file(spark, _nation_files(spark, folder), "nations_", "ndjson"), NATION)
+    latest = readers.latest_file(spark, _customer_files(spark, folder), "customers_", "ndjson")
+    # a landing of several tasks has a file for each
+    return readers.read_ndjson(spark, re.sub(r"(-[0-9]+)?[.]ndjson$", "*.ndjson", latest), CUSTOMER)
 
 
 def files_of_a_window(spark, folder):
-    landing = _nation_files(spark, folder)
+    landing = _customer_files(spark, folder)
     start, end = datetime(2023, 12, 25), datetime(2024, 1, 1)
-    return readers.read_window(spark, landing, "nations", "ndjson", NATION, start, end)
+    return readers.read_window(spark, landing, "customers", "ndjson", CUSTOMER, start, end)
 
 
 def last_landed_row(spark, folder):
-    """Of each nation the row of the file that landed last."""
-    files = readers.prefix_glob(_nation_files(spark, folder), "nations", "ndjson")
-    rows = readers.with_file_order(readers.read_ndjson(spark, files, NATION))
-    return dedup.keep_last(rows, ["n_nationkey"], ["_landed", "_file"]).drop("_landed", "_file")
+    """Of each customer the row of the file that landed last."""
+    files = readers.prefix_glob(_customer_files(spark, folder), "customers", "ndjson")
+    rows = readers.with_file_order(readers.read_ndjson(spark, files, CUSTOMER))
+    return dedup.keep_last(rows, ["c_custkey"], ["_landed", "_file"]).drop("_landed", "_file")
 
 
 def json_documents(spark, folder):
-    """An array of records per region, each a document of its own."""
+    """Arrays of up to a thousand records, each a document of its own, read in parts that several tasks hold."""
     path = fresh_path(spark, "documents")
-    record = F.struct("n_nationkey", "n_name", "n_regionkey")
-    arrays = _nations(spark, folder).groupBy("n_regionkey").agg(F.to_json(F.collect_list(record)).alias("value"))
-    arrays.select("value", F.col("n_regionkey").alias("region")).write.partitionBy("region").text(path)
-    return readers.read_json_document(spark, path, NATION).select("n_nationkey", "n_name", "n_regionkey")
+    record = F.struct("c_custkey", "c_name", "region")
+    arrays = _customers(spark, folder).groupBy(F.floor(F.col("c_custkey") / 1000)).agg(F.to_json(F.collect_list(record)).alias("value"))
+    land(spark, arrays.select("value"), path, "customers.json")
+    return readers.read_json_document(spark, readers.prefix_glob(path, "customers", "json"), CUSTOMER)
 
 
 def _warehouse(spark):
-    tables = {"nations": (NATIONS, ["n_nationkey"]), "latest_events": (EVENTS, ["user_id", "event_type"])}
+    tables = {"customers": (CUSTOMERS, ["c_custkey"]), "latest_events": (EVENTS, ["user_id", "event_type"])}
     return Warehouse(spark, fresh_path(spark, "warehouse"), tables, buckets=4)
 
 
 def warehouse_csv_load(spark, folder):
     """Arrays as JSON text, and line feeds in a quoted field."""
     path = fresh_path(spark, "csv")
-    named = F.concat(F.lit('a "b"\n'), "n_name")
-    writers.write_csv(_nations(spark, folder).withColumns({"words": F.split("n_name", "I"), "n_name": named}), path)
+    named = F.concat(F.lit('a "b"\n'), "c_name")
+    writers.write_csv(_customers(spark, folder).withColumns({"words": F.split("c_name", "#"), "c_name": named}), path)
     warehouse = _warehouse(spark)
-    warehouse.load_csv("nations", f"{path}/*.csv", RUN_TIME, "empty", multi_line=True)
-    return warehouse.read("nations").select("n_nationkey", F.replace("n_name", F.lit("\n"), F.lit("|")).alias("n_name"), F.array_join("words", "+").alias("words"))
+    warehouse.load_csv("customers", f"{path}/*.csv", RUN_TIME, "empty", multi_line=True)
+    return warehouse.read("customers").select("c_custkey", F.replace("c_name", F.lit("\n"), F.lit("|")).alias("c_name"), F.array_join("words", "+").alias("words"))
 
 
 def warehouse_append_partial_columns(spark, folder):
     """Appends of which one lacks a column, the second of them repeated under its load's name."""
     warehouse = _warehouse(spark)
-    nation = _nations(spark, folder)
-    warehouse.load("nations", nation.where("n_nationkey % 2 = 0"), RUN_TIME, "append", load_id="even")
+    customers = _customers(spark, folder)
+    warehouse.load("customers", customers.where("c_custkey % 2 = 0"), RUN_TIME, "append", load_id="even")
     for _ in range(2):
-        warehouse.load("nations", nation.where("n_nationkey % 2 = 1").drop("n_name"), RUN_TIME, "append", load_id="odd")
-    return warehouse.read("nations").select("n_nationkey", "n_name", "n_regionkey")
+        warehouse.load("customers", customers.where("c_custkey % 2 = 1").drop("c_name"), RUN_TIME, "append", load_id="odd")
+    return warehouse.read("customers").select("c_custkey", "c_name", "region")
 
 
 def warehouse_steps(spark, folder):
     """Rows after a load, an empty upsert, a truncation, a second load, and whether the table is left after dropping all."""
     warehouse = _warehouse(spark)
-    nation = _nations(spark, folder)
+    customers = _customers(spark, folder)
     counts = []
-    warehouse.load("nations", nation, RUN_TIME, "truncate")
-    counts.append(warehouse.read("nations").agg(F.count("*").alias("n")).first()["n"])
-    warehouse.upsert("nations", nation.limit(0), RUN_TIME)
-    counts.append(warehouse.read("nations").count())
-    warehouse.truncate("nations")
-    counts.append(warehouse.read("nations").count())
-    warehouse.load("nations", nation.where("n_regionkey = 1"), RUN_TIME, "empty")
-    counts.append(warehouse.read("nations").count())
+    warehouse.load("customers", customers, RUN_TIME, "truncate")
+    counts.append(warehouse.read("customers").agg(F.count("*").alias("n")).first()["n"])
+    warehouse.upsert("customers", customers.limit(0), RUN_TIME)
+    counts.append(warehouse.read("customers").count())
+    warehouse.truncate("customers")
+    counts.append(warehouse.read("customers").count())
+    warehouse.load("customers", customers.where("region = 1"), RUN_TIME, "empty")
+    counts.append(warehouse.read("customers").count())
     warehouse.drop_all(confirm=True)
-    counts.append(int(warehouse.exists("nations")))
+    counts.append(int(warehouse.exists("customers")))
     steps = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(n).cast("bigint").alias("n")) for i, n in enumerate(counts)])
-    return nation.limit(1).select(F.inline(steps))
+    return customers.limit(1).select(F.inline(steps))
 
 
 def _film_files(spark, folder):
@@ -282,25 +285,22 @@ UNION ALL
 SELECT 'weekly_domestic_performance', movie_id, concat_ws(' ', CAST(week_end_date AS VARCHAR), gross, theaters), CAST(rank AS DOUBLE)
 FROM w WHERE rn = 1 AND diff <= 50"""
 
-N = "CAST(n_nationkey AS BIGINT) AS n_nationkey"
-R = "CAST(n_regionkey AS BIGINT) AS n_regionkey"
+C = "(SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey % 5 AS BIGINT) AS region FROM customer)"
 
 QUERIES = {
-    "latest_landed_file": Query(latest_landed_file, f"SELECT {N}, n_name || ' 1' AS n_name, {R} FROM nation WHERE n_regionkey >= 1"),
-    "files_of_a_window": Query(files_of_a_window, f"SELECT {N}, n_name || ' 2' AS n_name, {R} FROM nation WHERE n_regionkey >= 2"),
-    "last_landed_row": Query(
-        last_landed_row, f"SELECT {N}, n_name || ' ' || least(2, n_regionkey) AS n_name, {R} FROM nation"
-    ),
-    "json_documents": Query(json_documents, f"SELECT {N}, n_name, {R} FROM nation"),
+    "latest_landed_file": Query(latest_landed_file, f"SELECT c_custkey, c_name || ' 1' AS c_name, region FROM {C} WHERE region >= 1"),
+    "files_of_a_window": Query(files_of_a_window, f"SELECT c_custkey, c_name || ' 2' AS c_name, region FROM {C} WHERE region >= 2"),
+    "last_landed_row": Query(last_landed_row, f"SELECT c_custkey, c_name || ' ' || least(2, region) AS c_name, region FROM {C}"),
+    "json_documents": Query(json_documents, f"SELECT * FROM {C}"),
     "warehouse_csv_load": Query(
-        warehouse_csv_load, f"""SELECT {N}, 'a "b"|' || n_name AS n_name, replace(n_name, 'I', '+') AS words FROM nation"""
+        warehouse_csv_load, f"""SELECT c_custkey, 'a "b"|' || c_name AS c_name, replace(c_name, '#', '+') AS words FROM {C}"""
     ),
     "warehouse_append_partial_columns": Query(
-        warehouse_append_partial_columns, f"SELECT {N}, CASE WHEN n_nationkey % 2 = 0 THEN n_name END AS n_name, {R} FROM nation"
+        warehouse_append_partial_columns, f"SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS c_name, region FROM {C}"
     ),
     "warehouse_steps": Query(
         warehouse_steps,
-        """WITH c AS (SELECT count(*) AS n, count(*) FILTER (n_regionkey = 1) AS m FROM nation)
+        f"""WITH c AS (SELECT count(*) AS n, count(*) FILTER (region = 1) AS m FROM {C})
 SELECT 0 AS step, n FROM c UNION ALL SELECT 1, n FROM c UNION ALL SELECT 2, 0 UNION ALL SELECT 3, m FROM c UNION ALL SELECT 4, 0""",
     ),
     "video_key_worklist": Query(

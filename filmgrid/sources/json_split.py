@@ -43,7 +43,8 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return quoted.withColumns(changes).drop("segments")
 
 
-def _before(column: str | Column, window) -> Column:
+def running_before(column: str | Column, window) -> Column:
+    """Sum over the rows before a row."""
     return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
@@ -55,7 +56,7 @@ def record_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     brackets do is an error. Files of a record or less have one part.
     """
     place = Window.partitionBy("path", "block").orderBy("row")
-    inside = _pieces(spark, path).withColumn("strings", _before("quotes", place) % 2)
+    inside = _pieces(spark, path).withColumn("strings", running_before("quotes", place) % 2)
     # the change if the block begins outside of a string, and if inside
     whole = lambda e: F.when((F.col("strings") + e) % 2 == 0, F.col("change0")).otherwise(F.col("change1"))
     changed = inside.withColumns({f"in{e}": whole(e) for e in (0, 1)})
@@ -68,12 +69,12 @@ def record_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     taken = F.sum(F.octet_length("value") + 1).alias("taken")
     sums = [F.sum(c).alias(c) for c in ("quotes", "in0", "in1")]
     blocks = kept.groupBy("path", "block").agg(*sums, taken, F.first("size").alias("size"), first)
-    begun = blocks.withColumn("begins", _before("quotes", by_file) % 2)
+    begun = blocks.withColumn("begins", running_before("quotes", by_file) % 2)
     begun = begun.withColumn("change", F.when(F.col("begins") == 0, F.col("in0")).otherwise(F.col("in1")))
     whole_file = Window.partitionBy("path")
     ends = begun.withColumns(
         {
-            "depth": _before("change", by_file),
+            "depth": running_before("change", by_file),
             "opening": F.first("opening").over(by_file),
             "at_end": F.sum("change").over(whole_file),
             "in_string": F.sum("quotes").over(whole_file) % 2,
@@ -92,8 +93,8 @@ def record_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     depth = F.col("depth") + F.when(F.col("begins") == 0, F.col("depth0")).otherwise(F.col("depth1"))
     flagged = known.withColumn("ends", F.when(outside & (depth == 1), 1).otherwise(0))
     counts = flagged.groupBy("path", "block").agg(F.sum("ends").alias("ended"))
-    offsets = counts.select("path", "block", _before("ended", by_file).alias("offset"), F.sum("ended").over(whole_file).alias("ended"))
-    numbered = flagged.join(offsets, ["path", "block"]).withColumn("part", F.col("offset") + _before("ends", place))
+    offsets = counts.select("path", "block", running_before("ended", by_file).alias("offset"), F.sum("ended").over(whole_file).alias("ended"))
+    numbered = flagged.join(offsets, ["path", "block"]).withColumn("part", F.col("offset") + running_before("ends", place))
     pieces = F.array_sort(F.collect_list(F.struct("block", "row", "value")))
     parts = numbered.groupBy("file", "path", "opening", "braced", "ended", "part").agg(pieces.alias("pieces"), F.max("ends").alias("ends"))
     last = F.col("part") == F.col("ended")

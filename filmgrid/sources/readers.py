@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from filmgrid import schemas
 from filmgrid.functions import html
-from filmgrid.sources import json_split
+from filmgrid.sources import csv_split, json_split
 
 STRICT = {"mode": "FAILFAST"}
 # Fixed value: the date window at the end of a file's name, a part number behind it or not.
@@ -24,18 +24,30 @@ def read_csv(
     """CSV with a header row; columns are found by name, whatever else the files hold, and cast strictly.
 
     Only one header line is read ahead. Files with other headers are refused, not misread; read such sets apart and
-    put them together with ``dedup.union_by_name``. ``multi_line`` allows line feeds in quoted fields, at the price of
-    one task per file.
+    put them together with ``dedup.union_by_name``. ``multi_line`` allows line feeds in quoted fields. Such files are cut
+    at their blocks, too; a quote may then stand only around a field, or doubled inside of a quoted one.
     """
     options = {"header": True, "escape": '"', "multiLine": multi_line, **STRICT}
     names = spark.read.options(**options).csv(path).schema
     missing = [c for c in schema.names if c not in names.names]
     if missing:
         raise ValueError(f"columns missing from the files: {missing}")
-    rows = spark.read.schema(names).options(enforceSchema=False, **options).csv(path)
+    rows = _quoted_records(spark, path, names) if multi_line else spark.read.schema(names).options(enforceSchema=False, **options).csv(path)
     return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _quoted_records(spark: SparkSession, path: str | list[str], names: T.StructType) -> DataFrame:
+    """The records behind the headers, all columns as text."""
+    parsed = F.from_csv("text", names.toDDL(), {"escape": '"', **STRICT})
+    records = csv_split.record_texts(spark, path).where("text <> ''").select("path", "number", parsed.alias("r"))
+    same = F.lit(True)
+    for name in names.names:
+        same = same & F.col("r")[name].eqNullSafe(F.lit(name))
+    refused = F.raise_error(F.concat(F.lit("another header than that of the other files: "), "path")).cast("boolean")
+    rows = records.where(F.when(F.col("number") > 0, True).when(same, False).otherwise(refused))
+    return rows.select("r.*")
+
+
 def read_ndjson(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """One JSON record per line."""
     return spark.read.schema(schema).options(**STRICT).json(path)

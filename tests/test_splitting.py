@@ -103,3 +103,63 @@ def test_one_document_is_read_by_many_tasks(spark, small_blocks, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({str(i): {"id": i} for i in range(300)}))
     pieces = json_split._pieces(spark, str(tmp_path / "a.json"))
     assert pieces.rdd.getNumPartitions() > 10 and pieces.select("block").distinct().count() > 10
+
+
+CSV = schemas.record(id=schemas.LONG, s=schemas.STRING, t=schemas.STRING)
+FIELDS = ["", "a", 'say "hi"', "line\nfeed", "\n", '"\n"', "a,b", "é日😀", "\n\n\"", " x ", "back\\slash", '""']
+
+
+def write_rows(path, rows, header=("id", "s", "t"), end="\n"):
+    import csv
+
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        writer = csv.writer(f, lineterminator=end)
+        writer.writerow(header)
+        writer.writerows(rows)
+
+
+def csv_rows(df):
+    return sorted((r.id, r.s, r.t) for r in df.collect())
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_with_line_feeds_cut_anywhere(spark, small_blocks, tmp_path, end):
+    dice = random.Random(5)
+    rows = [(i, "x" + dice.choice(FIELDS), "y" + "".join(dice.choices(FIELDS, k=3))) for i in range(80)]
+    write_rows(tmp_path / "a.csv", rows[:50], end=end)
+    write_rows(tmp_path / "b.csv", rows[50:], end=end)
+    found = readers.read_csv(spark, str(tmp_path / "*.csv"), CSV, multi_line=True)
+    assert csv_rows(found) == rows
+    whole = spark.read.schema(CSV).options(header=True, escape='"', multiLine=True, mode="FAILFAST").csv(str(tmp_path / "*.csv"))
+    if end == "\n":
+        assert csv_rows(whole) == rows
+
+
+def test_csv_nulls_empty_lines_and_order_of_columns(spark, small_blocks, tmp_path):
+    (tmp_path / "a.csv").write_text('t,extra,id,s\n"q\n",1,1,\n\n,2,2,"x"\n\n\n"",3,,z')
+    found = readers.read_csv(spark, str(tmp_path / "a.csv"), CSV, multi_line=True)
+    whole = spark.read.options(header=True, escape='"', multiLine=True).csv(str(tmp_path / "a.csv")).selectExpr("cast(id as long) id", "s", "t")
+    key = lambda r: str(tuple(r))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    assert sorted(found.collect(), key=key)[0].id == 1
+
+
+def test_csv_that_is_refused(spark, small_blocks, tmp_path):
+    write_rows(tmp_path / "a.csv", [(1, "a", "b")])
+    write_rows(tmp_path / "b.csv", [(2, "a", "b")], header=("id", "t", "s"))
+    with pytest.raises(Exception, match="another header"):
+        readers.read_csv(spark, str(tmp_path / "*.csv"), CSV, multi_line=True).collect()
+    (tmp_path / "c.csv").write_text('id,s,t\n1,"a,b\n2,c,d\n')
+    with pytest.raises(Exception, match="ends inside of a quoted field"):
+        readers.read_csv(spark, str(tmp_path / "c.csv"), CSV, multi_line=True).collect()
+    (tmp_path / "d.csv").write_text("id,s,t\nx,c,d\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        readers.read_csv(spark, str(tmp_path / "d.csv"), CSV, multi_line=True).collect()
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 99), st.text(st.sampled_from('ab",\n'), min_size=1), st.text(st.sampled_from('"\nc'), min_size=1)), max_size=20))
+def test_any_csv(spark, small_blocks, tmp_path_factory, rows):
+    path = tmp_path_factory.mktemp("csv") / "a.csv"
+    write_rows(path, rows)
+    assert csv_rows(readers.read_csv(spark, str(path), CSV, multi_line=True)) == sorted(rows)
