@@ -64,9 +64,57 @@ def texts_of(markup: Column) -> Column:
     return F.transform(decode_entities(bare), lambda text: F.replace(text, F.lit("\n"), F.lit("")))
 
 
+# The elements that an element may repeat itself in, and those that end it where its end tag is left out.
+_WITHIN = {"tr": "table", "td": "table", "th": "table", "li": "ul|ol"}
+_ENDED_BY = {"tr": "thead|tbody|tfoot", "td": "th|tr", "th": "td|tr"}
+
+
 def elements(markup: Column, tag: str) -> Column:
-    """The elements of one kind, whole, in order. Elements of the kind are taken not to nest."""
-    return F.regexp_extract_all(markup, F.lit(rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>"), F.lit(0))
+    """The outermost elements of one kind, whole, in order; those inside of another one of the kind are part of it.
+
+    Tags are matched by their depth. A row, cell or list item may have no end tag: it ends where the next one begins, or
+    the table or list around it ends. Other elements without an end are left out. Tags in comments are no tags.
+    """
+    within, ended_by = _WITHIN.get(tag), _ENDED_BY.get(tag)
+    kinds = "|".join(filter(None, [tag, within, ended_by]))
+    pattern = rf"(?is)<!--.*?-->|</?(?:{kinds})\b[^>]*>"
+    # a text and the tag behind it; behind the last text there is none
+    tags = F.concat(F.regexp_extract_all(markup, F.lit(pattern), F.lit(0)), F.array(F.lit("")))
+    pieces = F.arrays_zip(F.split(markup, pattern).alias("text"), tags.alias("mark"))
+    is_a = lambda mark, kind, slash: mark.rlike(rf"(?i)^<{slash}(?:{kind})\b") if kind else F.lit(False)
+
+    def state(opened: Column, depth: Column, at: Column, buffer: Column, found: Column) -> Column:
+        return F.struct(opened.alias("opened"), depth.alias("depth"), at.alias("at"), buffer.alias("buffer"), found.alias("found"))
+
+    def step(so_far: Column, piece: Column) -> Column:
+        opened, depth, at, buffer, found = (so_far[c] for c in ("opened", "depth", "at", "buffer", "found"))
+        mark = piece["mark"]
+        before, after = F.concat(buffer, piece["text"]), F.concat(buffer, piece["text"], mark)
+        one_more = lambda text: F.concat(found, F.array(text))
+        begins, ends = is_a(mark, tag, ""), is_a(mark, tag, "/")
+        closed, none = F.lit(False), F.lit("")
+        grown = state(opened, depth, at, F.when(opened, after).otherwise(none), found)
+        if within is None:
+            # as deep as elements of the kind are open
+            begun = state(F.lit(True), depth + 1, at, F.when(opened, after).otherwise(mark), found)
+            ended = F.when(depth == 1, state(closed, F.lit(0), at, none, one_more(after))).otherwise(state(opened, depth - 1, at, after, found))
+            return F.when(begins, begun).when(ends & opened, ended).otherwise(grown)
+        # as deep as tables or lists are open
+        level = opened & (depth == at)
+        inwards, outwards = is_a(mark, within, ""), is_a(mark, within, "/")
+        begun = state(F.lit(True), depth, depth, mark, F.when(level, one_more(before)).otherwise(found))
+        left = state(closed, depth - 1, at, none, one_more(before))
+        return (
+            F.when(begins & (level | ~opened), begun)
+            .when(ends & level, state(closed, depth, at, none, one_more(after)))
+            .when((is_a(mark, ended_by, "/?") | (mark == "")) & level, state(closed, depth, at, none, one_more(before)))
+            .when(outwards & level, left)
+            .when(inwards | outwards, state(opened, depth + F.when(inwards, 1).otherwise(-1), at, grown["buffer"], found))
+            .otherwise(grown)
+        )
+
+    start = state(F.lit(False), F.lit(0), F.lit(0), F.lit(""), F.array().cast("array<string>"))
+    return F.coalesce(F.aggregate(pieces, start, step, lambda end: end["found"]), F.array().cast("array<string>"))
 
 
 def element_texts(markup: Column, tag: str) -> Column:
@@ -74,9 +122,9 @@ def element_texts(markup: Column, tag: str) -> Column:
 
 
 def chart_table(page: Column) -> Column:
-    """Markup of the first chart table of a page, empty if there is none."""
+    """Markup of the first chart table of a page, with what is nested in it; empty if there is none."""
     opening = rf"<table\b[^>]*class\s*=\s*[\"'][^\"']*(?<![\w-]){CHART_TABLE_CLASS}(?![\w-])[^>]*>"
-    return F.regexp_extract(page, rf"(?is){opening}.*?</table\s*>", 0)
+    return F.coalesce(F.try_element_at(elements(F.regexp_extract(page, rf"(?is){opening}.*", 0), "table"), F.lit(1)), F.lit(""))
 
 
 def visible(cells: Column) -> Column:

@@ -59,7 +59,8 @@ def chart_pages(spark, folder):
         cell(F.concat(F.lit('<a href="/release/">'), F.col("o_orderpriority"), F.lit(" &amp; Co &#39;s &#9999999;&#xD800;\n</a>"))),
         cell(F.lit("none")),
         cell(F.concat(F.lit("$"), F.format_number(F.floor("o_totalprice"), 0))),
-        cell(F.col("o_orderkey").cast("string")),
+        # a table inside of a cell, whose rows are none of the chart's
+        cell(F.concat(F.lit("<table><tr><td>"), F.col("o_orderkey").cast("string"), F.lit("</td><td></td><td></td></tr><tr></tr></table>"))),
         F.lit("<td>-</td></tr><tr><td>9</td><td>too short</td></tr></table></body></html>"),
     )
     url = F.format_string("https://charts.example.com/weekly/%dW%02d/?ref_=x", year, week)

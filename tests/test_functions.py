@@ -1,6 +1,8 @@
 from datetime import date
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from filmgrid import schemas
@@ -221,3 +223,48 @@ def test_check_batch(one):
     assert reason(2024, 10) == "week not closed yet"
     assert reason(2024, 9) is None
     assert reason(1982, 52) is None
+
+
+def plain_elements(markup, tag):
+    """Outermost elements by a parser that keeps a stack; only for markup whose tags are all closed."""
+    import re
+
+    found, depth, start = [], 0, 0
+    for match in re.finditer(rf"<(/?){tag}\b[^>]*>", markup):
+        depth += -1 if match[1] else 1
+        if depth == 1 and not match[1]:
+            start = match.start()
+        if depth == 0:
+            found.append(markup[start : match.end()])
+    return found
+
+
+def test_nested_elements(one):
+    inner = "<table><tr><td>x</td><td>y</td></tr><tr><td>z</td></tr></table>"
+    outer = f"<table class=a><tr><th>h</th></tr><tr><td>1{inner}2</td><td>3</td></tr></table><table><tr></tr></table>"
+    found = lambda text, tag: one(html.elements(F.col("m"), tag), m=text)
+    for tag in ("table", "tr", "td", "th"):
+        assert found(outer, tag) == plain_elements(outer, tag)
+    row = found(outer, "tr")[1]
+    assert found(row, "td") == [f"<td>1{inner}2</td>", "<td>3</td>"]
+    assert one(html.element_texts(F.col("m"), "td"), m=row) == ["1xyz2", "3"]
+    lists = "<ul><li>a<ol><li>b</li><li>c</li></ol></li><li>d</li></ul><div><div>e</div></div><div>f</div>"
+    assert found(lists, "li") == plain_elements(lists, "li") and found(lists, "div") == ["<div><div>e</div></div>", "<div>f</div>"]
+
+
+def test_elements_without_end_tags(one):
+    found = lambda text, tag: one(html.elements(F.col("m"), tag), m=text)
+    rows = "<table><tbody><tr><td>1<td>2<table><tr><td>in</table><tr><th>3<td>4</tbody><tfoot><tr><td>5</table>after"
+    assert found(rows, "tr") == ["<tr><td>1<td>2<table><tr><td>in</table>", "<tr><th>3<td>4", "<tr><td>5"]
+    assert found("<tr><td>1<td>2<table><tr><td>in</table>", "td") == ["<td>1", "<td>2<table><tr><td>in</table>"]
+    assert found("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>e", "li") == ["<li>a", "<li>b<ul><li>c</ul>", "<li>d"]
+    assert found("<div>a<div>b</div>", "div") == [] and found("</div><div>a</div></div>", "div") == ["<div>a</div>"]
+    assert found("<!-- <td>no</td> --><TD>yes</TD >", "td") == ["<TD>yes</TD >"]
+    assert found("", "td") == [] and one(html.elements(F.lit(None).cast("string"), "td"), m="") == []
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.recursive(st.just("x"), lambda inner: st.lists(inner, max_size=3).map(lambda xs: "<div>" + "".join(xs) + "</div>"), max_leaves=12), st.integers(0, 2))
+def test_any_nesting(one, tree, n):
+    text = "a" + tree * n + "b"
+    assert one(html.elements(F.col("m"), "div"), m=text) == plain_elements(text, "div")
