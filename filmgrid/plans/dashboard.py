@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,10 +71,9 @@ def genre_series(
 def genre_grid(series: DataFrame, measure: str, genres: Sequence[str] | None = None) -> DataFrame:
     """``(week_end_date, Genre, measure)`` for every week and genre, null where a genre had no film.
 
-    Weeks, genres and values are three looks at the series, so it is kept while it is used, on disk where memory is
-    short; nothing runs before the grid is asked for. ``spark.catalog.clearCache`` gives it up.
+    Weeks, genres and values are three looks at the series, so it is written once and read back.
     """
-    named = series.withColumnRenamed("genres", "Genre").persist(StorageLevel.MEMORY_AND_DISK)
+    named = written(series.withColumnRenamed("genres", "Genre"), "genre-series")
     return reshape.full_grid(named, "week_end_date", "Genre", measure, genres)
 
 

@@ -92,8 +92,8 @@ def test_nearest_tie_goes_to_smaller_id(spark):
     assert rows(resolve.nearest_films(wanted, films)) == [("x", date(2022, 1, 6), 5, 3)]
 
 
-@pytest.mark.parametrize("salts", [1, 5])
-def test_competitors_against_brute_force(spark, salts):
+@pytest.mark.parametrize("crowd", [1000, 2])
+def test_competitors_against_brute_force(spark, crowd):
     rng = random.Random(3)
     genres = ["hot", "a", "b", "c"]
     pick = lambda: rng.sample(genres, rng.randrange(0, 4))
@@ -105,7 +105,7 @@ def test_competitors_against_brute_force(spark, salts):
     ]
     planned = spark.createDataFrame(plans, "plan_id int, plan_date date, plan_genres array<string>")
     movies = spark.createDataFrame(films, "movie_id int, release_date date, genres array<string>")
-    found = competitors.competitors(planned, movies, salts).select("plan_id", "movie_id")
+    found = competitors.competitors(planned, movies, crowd).select("plan_id", "movie_id")
     assert rows(found) == sorted(wanted, key=str)
 
 
@@ -259,3 +259,22 @@ def test_profiles(spark):
 def test_text_helpers(one):
     assert one(text.join_list(F.array(F.lit("a"), F.lit("b"))), t="") == "a, b"
     assert one(text.contains_ignoring_case(F.col("t"), "Based On"), t="BASED ON novel") is True
+
+
+def test_plans_are_copied_for_crowds_only(spark):
+    """A genre of a season with ten times a crowd has ten places; elsewhere a plan meets its films in one."""
+    films = spark.createDataFrame([(i, 1 if i < 100 else i, "x") for i in range(110)], "movie_id long, _bucket long, _genre string")
+    cell = ["_bucket", "_genre"]
+    places = competitors._places(films, cell, 10)
+    assert rows(places) == [(1, "x", 10)]
+    plan = spark.createDataFrame([(1, 1, "x"), (2, 105, "x"), (3, 7, "x")], "plan_id long, _bucket long, _genre string")
+    met = competitors._met(plan, films, cell, 10)
+    assert rows(met.groupBy("plan_id").agg(F.count("*").alias("n"), F.countDistinct("movie_id").alias("d"))) == [(1, 100, 100), (2, 1, 1)]
+
+
+def test_grid_parts_follow_its_size(spark):
+    df = spark.createDataFrame([(w, g, w * g) for w in range(10) for g in range(12) if (w + g) % 3], "w int, g int, v int")
+    whole = rows(reshape.full_grid(df, "w", "g", "v"))
+    assert len(whole) == 120
+    for cells in (1, 7, 40):
+        assert rows(reshape.full_grid(df, "w", "g", "v", part_cells=cells)) == whole
