@@ -169,6 +169,9 @@ def weekly_update(spark: SparkSession, landing: str, warehouse: Warehouse, langu
         # known collections stay as they are
         warehouse.upsert("collection", new.join(known, "collection_id", "left_anti"), run_time)
 
+    for tables in (warehouse, state):
+        for name in tables.tables:
+            tables.fit(name)
     files = [film_files, people_files, change_files, youtube, vimeo, collection_files, chart_files]
     names = [(readers.file_name(p),) for group in files for p in group]
     if names:

@@ -110,3 +110,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Removes a file or folder with all that is in it; nothing happens if it is not there."""
     system, there = _file_system(spark, path)
     system.delete(there, True)
+
+
+def sub_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path."""
+    system, there = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(there) if f.isDirectory()) if system.exists(there) else []
+
+
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Size of all files below a path."""
+    system, there = _file_system(spark, path)
+    return system.getContentSummary(there).getLength() if system.exists(there) else 0

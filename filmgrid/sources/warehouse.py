@@ -5,6 +5,9 @@ that its batch touches and leaves the files of all others alone: Spark's dynamic
 the partitions that are written. An append adds a ``load_id`` partition of its own inside the buckets; a load that is
 run again under the same id replaces what it wrote. A merge keeps every row in its load's partition.
 
+The number of buckets is part of a table's folders, so a table is always read with the number it was written with. A load
+that replaces all rows chooses it by their size, and ``fit`` deals a table out anew that has outgrown its buckets.
+
 Reads use the declared schema, so files that lack a column give nulls for it. Rows may carry ``source_order``, a text
 that tells which of two rows is the later one; the tables keep it, and upserts do not let an older row win. A table may
 keep further columns that it does not show.
@@ -22,26 +25,27 @@ from pyspark.sql import types as T
 
 from filmgrid import schemas
 from filmgrid.operators import merge
-from filmgrid.session import delete_path, path_exists
+from filmgrid.session import bytes_below, delete_path, path_exists, sub_folders
 from filmgrid.sources import readers, writers
 
-#: buckets of a table; a table must be opened with the number it was made with
-BUCKETS = 64
+#: buckets of a table at least, and the bytes of a bucket at which a load that replaces all rows makes more of them
+BUCKETS, BUCKET_BYTES = 64, 512 * 1024 * 1024
 #: the load that merged and replaced rows belong to
 MERGED = "merged"
 ORDER = "source_order"
-PLACE = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("load_id", T.StringType())])
+PLACE = T.StructType([T.StructField("buckets", T.IntegerType()), T.StructField("bucket", T.IntegerType()), T.StructField("load_id", T.StringType())])
 
 
 class Warehouse:
     """Tables below ``root``; ``tables`` maps a name to its schema and its key columns. One writer at a time."""
 
-    def __init__(self, spark: SparkSession, root: str, tables=None, buckets: int = BUCKETS, hidden=None):
+    def __init__(self, spark: SparkSession, root: str, tables=None, buckets: int = BUCKETS, hidden=None, bucket_bytes: int = BUCKET_BYTES):
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = dict(tables if tables is not None else schemas.WAREHOUSE_TABLES)
         self.hidden = dict(hidden if hidden is not None else schemas.WAREHOUSE_HIDDEN if tables is None else {})
         self.buckets = buckets
+        self.bucket_bytes = bucket_bytes
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -57,15 +61,32 @@ class Warehouse:
             raise ValueError(f"no table {table}")
         return self.spark.read.schema(T.StructType([*self._schema(table).fields, *PLACE.fields])).parquet(self.path(table))
 
-    def _bucket(self, table: str) -> Column:
-        return F.pmod(F.xxhash64(*self.tables[table][1]), F.lit(self.buckets)).cast("int")
+    def buckets_of(self, table: str) -> int:
+        """The number that the table's folders name; a table without rows may take any."""
+        named = [name for name in sub_folders(self.spark, self.path(table)) if name.startswith("buckets=")]
+        return int(named[0].split("=")[1]) if named else self.buckets
+
+    def _bucket(self, table: str, buckets: int | None = None) -> Column:
+        return F.pmod(F.xxhash64(*self.tables[table][1]), F.lit(buckets or self.buckets_of(table))).cast("int")
+
+    def _write(self, table: str, rows: DataFrame, overwrite: str, buckets: int | None = None) -> None:
+        """Rows with their ``load_id`` to their buckets; adaptive execution decides on the files of a bucket.
 
-    def _write(self, table: str, rows: DataFrame, overwrite: str) -> None:
-        """Rows with their ``load_id`` to their buckets; adaptive execution decides on the files of a bucket."""
-        placed = rows.withColumn("bucket", self._bucket(table)).hint("rebalance", "bucket")
-        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+        Files are sorted by key, so that a reader can pass over parts of them.
+        """
+        n = buckets or self.buckets_of(table)
+        placed = rows.withColumns({"buckets": F.lit(n), "bucket": self._bucket(table, n)}).hint("rebalance", "bucket")
+        sorted_rows = placed.sortWithinPartitions(*PLACE.names, *self.tables[table][1])
+        writer = sorted_rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
         writer.partitionBy(*PLACE.names).parquet(self.path(table))
 
+    def _place(self, table: str, bucket: int, load_id: str) -> str:
+        return f"{self.path(table)}/buckets={self.buckets_of(table)}/bucket={bucket}/load_id={load_id}"
+
+    def _wanted(self, folder: str) -> int:
+        """Buckets for the rows in a folder, by their size."""
+        return max(self.buckets, -(-bytes_below(self.spark, folder) // self.bucket_bytes))
+
     def _aside(self, rows: DataFrame) -> str:
         """The rows written to a folder of their own: that cuts their lineage and gives Spark their true size."""
         folder = f"{self.root}/_staging/{uuid.uuid4().hex}"
@@ -115,6 +136,22 @@ class Warehouse:
         for table in self.tables:
             delete_path(self.spark, self.path(table))
 
+    def rebucket(self, table: str, buckets: int | None = None) -> None:
+        """Deal the rows out over another number of buckets, by their size if none is given. Rows keep their loads."""
+        folder = self._aside(self._stored(table).drop("buckets", "bucket"))
+        try:
+            schema = T.StructType([*self._schema(table).fields, PLACE["load_id"]])
+            self._write(table, self.spark.read.schema(schema).parquet(folder), "static", buckets or self._wanted(folder))
+        finally:
+            delete_path(self.spark, folder)
+
+    def fit(self, table: str) -> bool:
+        """Rebucket a table whose buckets have grown to twice their size, so that a small merge stays a small one."""
+        outgrown = self._wanted(self.path(table)) > 2 * self.buckets_of(table)
+        if outgrown:
+            self.rebucket(table)
+        return outgrown
+
     # loads
 
     def load(self, table: str, df: DataFrame, run_time, mode: str = "append", load_id: str | None = None) -> None:
@@ -132,7 +169,8 @@ class Warehouse:
             # computed in full before the old rows go
             folder = self._aside(rows)
             try:
-                self._write(table, self.spark.read.schema(rows.schema).parquet(folder).withColumn("load_id", F.lit(MERGED)), "static")
+                whole = self.spark.read.schema(rows.schema).parquet(folder).withColumn("load_id", F.lit(MERGED))
+                self._write(table, whole, "static", self._wanted(folder))
             finally:
                 delete_path(self.spark, folder)
             return
@@ -142,7 +180,7 @@ class Warehouse:
         if load_id:  # a bucket that this attempt does not reach must not keep rows of the last one
             earlier = self._stored(table).where(F.col("load_id") == load_id).select("bucket").distinct()
             for row in earlier.collect():  # at most as many numbers as the table has buckets
-                delete_path(self.spark, f"{self.path(table)}/bucket={row['bucket']}/load_id={load_id}")
+                delete_path(self.spark, self._place(table, row["bucket"], load_id))
         self._write(table, rows.withColumn("load_id", F.lit(load_id or uuid.uuid4().hex)), "dynamic")
 
     def load_csv(
@@ -178,7 +216,7 @@ class Warehouse:
             target = self._stored(table)
             if set(stored) <= set(keys):  # other keys say nothing about the buckets
                 target = target.where(F.col("bucket").isin(self._buckets_of(table, batch)))
-            merged = apply(target.drop("bucket"), batch, keys)
+            merged = apply(target.drop("buckets", "bucket"), batch, keys)
             result_folder = self._aside(merged.withColumn("load_id", F.coalesce("load_id", F.lit(MERGED))))
             result = self.spark.read.schema(T.StructType([*schema.fields, PLACE["load_id"]])).parquet(result_folder)
             self._write(table, result, "dynamic")
@@ -221,7 +259,7 @@ class Warehouse:
             if not numbers:
                 return
             target = self._stored(table).where(F.col("bucket").isin(numbers))
-            before = {(r["bucket"], r["load_id"]) for r in target.select(*PLACE.names).distinct().collect()}
+            before = {(r["bucket"], r["load_id"]) for r in target.select("bucket", "load_id").distinct().collect()}
             stay = target.join(leaving, on, "left_anti").select(*schema.names, "load_id")
             folders.append(self._aside(stay.union(coming.withColumn("load_id", F.lit(MERGED)))))
             result = self.spark.read.schema(T.StructType([*schema.fields, PLACE["load_id"]])).parquet(folders[2])
@@ -230,7 +268,7 @@ class Warehouse:
                 self._write(table, result, "dynamic")
             # an overwrite leaves places alone that get no row
             for bucket, load in before - after:
-                delete_path(self.spark, f"{self.path(table)}/bucket={bucket}/load_id={load}")
+                delete_path(self.spark, self._place(table, bucket, load))
         finally:
             for folder in folders:
                 delete_path(self.spark, folder)

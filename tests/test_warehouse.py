@@ -9,7 +9,7 @@ from filmgrid.session import fresh_path
 from filmgrid.sources import readers, writers
 from filmgrid.sources.warehouse import Warehouse
 from filmgrid.sources.ordering import order_text
-from filmgrid.streaming.ingest import ingest_files
+from filmgrid.streaming.ingest import ingest_files, read_rejects
 from pyspark.sql import functions as F
 from test_cleaning import CHART_HEADER, film
 
@@ -257,3 +257,60 @@ def test_video_keys_come_from_the_files_of_the_window(spark):
     assert {"20240108.", "20240115."} == {f.rsplit("_", 1)[-1].split("-")[0].split("ndjson")[0] for f in whole.inputFiles()}
     found = {r.key for r in whole.collect()}
     assert {r.key for r in week.collect()} < found and any(int(key[1:]) % 2 for key in found)
+
+
+def test_buckets_follow_the_size(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"some words of row {i}") for i in range(3000)], "id long, v string")
+    warehouse = Warehouse(spark, str(tmp_path / "w"), SIMPLE, buckets=2, bucket_bytes=4000)
+    warehouse.load("t", rows, NOW, "truncate")
+    n = warehouse.buckets_of("t")
+    assert n > 2 and len({r[0] for r in warehouse._stored("t").select("bucket").distinct().collect()}) == n
+    # opened with another number it is read and merged with its own
+    other = Warehouse(spark, str(tmp_path / "w"), SIMPLE, buckets=7)
+    other.upsert("t", rows.where("id < 5").withColumn("v", F.lit("new")), LATER)
+    assert other.buckets_of("t") == n and other.read("t").count() == 3000 and other.read("t").where("v = 'new'").count() == 5
+
+
+def test_tables_that_outgrow_their_buckets(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"), SIMPLE, buckets=2, bucket_bytes=4000)
+    rows = spark.createDataFrame([(i, f"some words of row {i}") for i in range(3000)], "id long, v string")
+    warehouse.load("t", rows.where("id < 10"), NOW, "append", load_id="one")
+    assert not warehouse.fit("t")
+    warehouse.load("t", rows.where("id >= 10"), NOW, "append", load_id="two")
+    assert warehouse.fit("t") and warehouse.buckets_of("t") > 4 and not warehouse.fit("t")
+    assert warehouse.read("t").count() == 3000
+    warehouse.load("t", rows.where("id = 10"), LATER, "append", load_id="two")  # loads are still told apart
+    assert warehouse.read("t").count() == 11
+    warehouse.rebucket("t", 3)
+    assert warehouse.buckets_of("t") == 3 and warehouse.read("t").count() == 11
+    warehouse.truncate("t")
+    warehouse.upsert("t", rows, NOW)
+    assert warehouse.buckets_of("t") == 2 and warehouse.read("t").count() == 3000
+
+
+def test_bad_lines_are_put_aside(spark, tmp_path):
+    landing, rejects = tmp_path / "landing", str(tmp_path / "rejects")
+    landing.mkdir()
+    schema = schemas.record(id=schemas.LONG, v=schemas.STRING, seq=schemas.LONG)
+    warehouse = Warehouse(spark, str(tmp_path / "w"), SIMPLE)
+
+    def ingest(checkpoint="c", rejects=rejects):
+        ingest_files(spark, warehouse, "t", str(landing), "in_*.ndjson", "json", schema, ["seq"], str(tmp_path / checkpoint), NOW, files_per_batch=1, rejects=rejects)
+
+    good = '{"id": 1, "v": "a", "seq": 1}'
+    (landing / "in_1.ndjson").write_text(good + '\n{"id": 2, "v": "b", "se\n\n{"v": "no key", "seq": 3}\n{"id": "text", "seq": 1}\n')
+    with pytest.raises(Exception, match="not a record of the schema|a key is missing"):
+        ingest(rejects=None)
+    assert warehouse.read("t").isEmpty()
+    ingest()
+    expected = [("in_1.ndjson", '{"id": "text", "seq": 1}'), ("in_1.ndjson", '{"id": 2, "v": "b", "se'), (None, '{"v":"no key","seq":3}')]
+    assert values(read_rejects(spark, rejects), "file", "line") == sorted(expected, key=str)
+    assert values(warehouse.read("t"), "id", "v") == [(1, "a")]
+    ingest("another")  # the same batch once more, as after a failure
+    assert read_rejects(spark, rejects).count() == 3 and values(warehouse.read("t"), "id", "v") == [(1, "a")]
+    (landing / "in_2.ndjson").write_text('{"id": 3, "v": "c", "seq": 1}\n[\n')
+    ingest()
+    assert read_rejects(spark, rejects).count() == 4 and warehouse.read("t").count() == 2
+    assert read_rejects(spark, str(tmp_path / "none")).isEmpty()
+    with pytest.raises(ValueError, match="has no id"):
+        warehouse.upsert("t", spark.createDataFrame([(None, "x")], "id long, v string"), NOW)
