@@ -1,17 +1,20 @@
 """Line deduplication that can be undone, document by document.
 
-The index is a folder of three tables, each written in batches that only a finished Spark write makes visible:
+The index is a folder of tables, each written in batches that only a finished Spark write makes visible:
 
-* ``references``: one row per (key, document) and change, +1 on insertion and -1 on deletion. A key's holders are the
-  documents whose changes add up to more than zero.
+* ``references``: one row per (key, document) that a batch brought in, and ``documents``: +1 for every document that a
+  batch took in and -1 for one that it took out.
 * ``counts``: the exact reference-count table. For every key that a batch touched: how many documents hold it after
-  the batch, and the smallest of them. The latest batch of a key counts.
+  the batch, and the smallest of them. The latest batch of a key counts. Rows lie sorted by shard, so that a look at some
+  shards passes over the others.
 * ``filters``: one cuckoo filter per shard of the key space, over the keys held by at least one document. Insertion
-  asks it which keys may be known: keys it does not know are new for sure and are counted without a look at the
-  tables; the others are looked up in the exact counts. Keys that lose their last holder are deleted from it.
+  asks it which keys may be known: keys it does not know are new for sure, enter the filter and are counted without a
+  look at the tables; the others are looked up in the exact counts of their shards. Keys that lose their last holder are
+  deleted from it.
 
-A key is a 128-bit digest of a line's text, stripped and lower-cased. Nothing is taken away from the documents
-themselves, so deleting a document gives the others their lines back.
+When the keys outgrow the shards, the batch that brings them deals all counts and filters out anew over more shards, so no
+task ever holds much more than ``SHARD_KEYS`` keys. A key is a 128-bit digest of a line's text, stripped and lower-cased.
+Nothing is taken away from the documents themselves, so deleting a document gives the others their lines back.
 """
 
 from __future__ import annotations
@@ -30,8 +33,8 @@ from filmgrid.llm.common import LOWER, UPPER
 
 #: shorter keys are never dropped (code points)
 MIN_KEY = 10
-#: keys that one shard's filter is meant to hold; the number of shards follows from the first batch
-SHARD_KEYS = 250_000
+#: keys that one shard's filter is meant to hold, and shards at least
+SHARD_KEYS, MIN_SHARDS = 250_000, 8
 SLOTS, MAX_KICKS, MAX_LOAD = 4, 500, 0.9
 
 _LOWER = str.maketrans(UPPER, LOWER)
@@ -163,158 +166,199 @@ def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 class LineIndex:
     """The index in a shared folder. One writer at a time; readers see whole batches only."""
 
-    REFERENCES = "key binary, doc_id long, change int, batch int"
-    COUNTS = "key binary, n_docs long, first_doc long, batch int"
-    FILTERS = "shard int, n_shards int, n long, marks binary, batch int"
+    REFERENCES = "key binary, doc_id long, batch int"
+    DOCUMENTS = "doc_id long, change int, batch int"
+    COUNTS = "key binary, shard int, n_docs long, first_doc long, batch int"
+    FILTERS = "shard int, n_shards int, since int, n long, marks binary, batch int"
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        for name, schema in (("references", self.REFERENCES), ("counts", self.COUNTS), ("filters", self.FILTERS)):
+    def __init__(self, spark: SparkSession, root: str, shard_keys: int = SHARD_KEYS):
+        self.spark, self.root, self.shard_keys = spark, root.rstrip("/"), shard_keys
+        tables = {"references": self.REFERENCES, "documents": self.DOCUMENTS, "counts": self.COUNTS, "filters": self.FILTERS}
+        for name, schema in tables.items():
             spark.createDataFrame([], schema).write.mode("ignore").partitionBy("batch").parquet(f"{self.root}/{name}")
 
     def _read(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
-    def _write(self, df: DataFrame, name: str, batch: int) -> None:
+    def _write(self, df: DataFrame, name: str, batch: int) -> DataFrame:
         # a batch that failed half-way is overwritten when it is run again
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
+        path = f"{self.root}/{name}/batch={batch}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def batches(self) -> int:
         """Number of finished batches: the filters are written last."""
         last = self._read("filters", self.FILTERS).agg(F.max("batch").alias("last")).first()["last"]
         return 0 if last is None else last + 1
 
+    def _layout(self, batch: int) -> tuple[int, int, int]:
+        """Before a batch: the number of shards, the batch since which it is that, and the keys in all filters."""
+        if not batch:
+            return 0, 0, 0
+        marker = self._read("filters", self.FILTERS).where((F.col("batch") == batch - 1) & (F.col("shard") == -1)).first()
+        held = self._current_filters(batch, marker["since"]).agg(F.sum("n").alias("n")).first()["n"]
+        return marker["n_shards"], marker["since"], held or 0
+
+    def _latest(self, batch: int, since: int, shards: list[int] | None = None) -> DataFrame:
+        """``(key, shard, n_docs, first_doc)`` before a batch, of all shards or some, keys without holders among them."""
+        done = self._read("counts", self.COUNTS).where(F.col("batch").between(since, batch - 1))
+        if shards is not None:
+            done = done.where(F.col("shard").isin(shards))
+        if since == batch - 1:
+            return done.drop("batch")
+        latest = F.max_by(F.struct("shard", "n_docs", "first_doc"), "batch").alias("now")
+        return done.groupBy("key").agg(latest).select("key", "now.*")
+
     def counts(self) -> DataFrame:
         """``(key, n_docs, first_doc)`` after the last finished batch, keys without holders left out."""
-        finished = self.batches()
-        latest = F.max_by(F.struct("n_docs", "first_doc"), "batch").alias("now")
-        done = self._read("counts", self.COUNTS).where(F.col("batch") < finished)
-        now = done.groupBy("key").agg(latest).select("key", "now.n_docs", "now.first_doc") if finished > 1 else done.drop("batch")
-        return now.where("n_docs > 0")
+        batch = self.batches()
+        _, since, _ = self._layout(batch)
+        return self._latest(batch, since).where("n_docs > 0").select("key", "n_docs", "first_doc")
+
+    def _held(self, batch: int) -> DataFrame:
+        """``(doc_id)`` of the documents held before a batch."""
+        latest = F.max_by("change", "batch").alias("change")
+        done = self._read("documents", self.DOCUMENTS).where(F.col("batch") < batch)
+        return done.groupBy("doc_id").agg(latest).where("change = 1").select("doc_id")
 
     def holders(self) -> DataFrame:
         """``(key, doc_id)`` of the documents held now."""
-        finished = self.batches()
-        done = self._read("references", self.REFERENCES).where(F.col("batch") < finished)
-        if finished <= 1:
+        batch = self.batches()
+        done = self._read("references", self.REFERENCES).where(F.col("batch") < batch)
+        if batch <= 1:
             return done.select("key", "doc_id")
-        return done.groupBy("key", "doc_id").agg(F.sum("change").alias("held")).where("held > 0").select("key", "doc_id")
+        # a document that went took along what earlier batches had brought of it
+        went = self._read("documents", self.DOCUMENTS).where((F.col("batch") < batch) & (F.col("change") < 0))
+        went = went.groupBy("doc_id").agg(F.max("batch").alias("went"))
+        return done.alias("r").join(went.alias("w"), F.expr("r.doc_id = w.doc_id AND r.batch < w.went"), "left_anti").select("key", "doc_id")
 
     def insert(self, docs: DataFrame) -> None:
         """Takes in rows ``(doc_id, text)``. Documents that the index holds already change nothing; delete them first.
 
         Rows that repeat an id are one document with the lines of all of them; rows without an id are left out, since
-        they could not be deleted.
+        they could not be deleted. An empty batch changes nothing but the number of batches.
         """
         batch = self.batches()
-        pairs = line_keys(docs.where("doc_id IS NOT NULL")).distinct()
+        n_shards, since, n_held = self._layout(batch)
+        rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
         if batch:
-            pairs = pairs.join(self.holders().select("doc_id").distinct(), "doc_id", "left_anti")
-        self._write(pairs.select("key", "doc_id", F.lit(1).alias("change")), "references", batch)
-        added = self._read("references", self.REFERENCES).where(F.col("batch") == batch)
+            rows = rows.join(self._held(batch), "doc_id", "left_anti")
+        self._write(rows.select("doc_id").distinct().withColumn("change", F.lit(1)), "documents", batch)
+        added = self._write(line_keys(rows).distinct().select("key", "doc_id"), "references", batch)
         # folded per task before the shuffle: a line that many documents share sends one row per task
         touched = added.groupBy("key").agg(F.count(F.lit(1)).alias("more"), F.min("doc_id").alias("first"))
-        if not batch:
-            counts = touched.select("key", F.col("more").alias("n_docs"), F.col("first").alias("first_doc"))
+        # as many keys as the batch may have at most
+        wanted = max(MIN_SHARDS, -(-(n_held + added.count()) // self.shard_keys))
+        if not batch or wanted > 2 * n_shards:
+            self._deal_out(batch, since, touched, wanted)
         else:
-            asked = self._asked(touched)
-            known = asked.where("maybe").join(self.counts(), "key", "left")
-            counts = known.select(
-                "key", (F.col("more") + F.coalesce("n_docs", F.lit(0))).alias("n_docs"), F.least("first", "first_doc").alias("first_doc")
-            ).union(asked.where("NOT maybe").select("key", F.col("more").alias("n_docs"), F.col("first").alias("first_doc")))
-        self._write(counts, "counts", batch)
-        self._update_filters(batch)
+            self._ask(batch, n_shards, since, touched)
+
+    def _deal_out(self, batch: int, since: int, touched: DataFrame, n_shards: int) -> None:
+        """Counts of all keys and all filters anew, over a number of shards."""
+        now = touched.select("key", F.col("more").alias("n_docs"), F.col("first").alias("first_doc"))
+        if batch:
+            earlier = self._latest(batch, since).where("n_docs > 0").select("key", "n_docs", "first_doc")
+            now = now.union(earlier).groupBy("key").agg(F.sum("n_docs").alias("n_docs"), F.min("first_doc").alias("first_doc"))
+        counts = self._write_counts(now.withColumn("shard", self._shard(n_shards)), batch)
+        self._write_filters(self._built(counts), n_shards, batch, batch)
+
+    def _ask(self, batch: int, n_shards: int, since: int, touched: DataFrame) -> None:
+        """Counts of the batch's keys. The filters say which keys need a look at the exact table, and take in the others."""
+
+        def ask(key: tuple, keys: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+            own = list(keys["key"])
+            held = CuckooFilter.from_bytes(state["marks"].iloc[0], int(state["n"].iloc[0])) if len(state) else CuckooFilter(16)
+            maybe = held.may_hold(own)
+            fits = held.insert([k for k, known in zip(own, maybe) if not known])
+            rows = pd.DataFrame({"shard": key[0], "key": own, "more": keys["more"].to_numpy(), "first": keys["first"].to_numpy(), "maybe": maybe})
+            mark = pd.DataFrame({"shard": [key[0]], "n": [held.n], "marks": [held.to_bytes()], "fits": [fits]})
+            return pd.concat([rows, mark], ignore_index=True)[["shard", "key", "more", "first", "maybe", "n", "marks", "fits"]]
+
+        fields = "shard int, key binary, more long, first long, maybe boolean, n long, marks binary, fits boolean"
+        own = touched.select(self._shard(n_shards).alias("shard")).distinct()
+        state = self._current_filters(batch, since).join(own, "shard", "left_semi").groupBy("shard")
+        sharded = touched.withColumn("shard", self._shard(n_shards)).groupBy("shard")
+        asked = self._write(sharded.cogroup(state).applyInPandas(ask, fields), "asked", batch)
+        keys, states = asked.where("key IS NOT NULL"), asked.where("key IS NULL").select("shard", "n", "marks", "fits")
+        maybe = keys.where("maybe")
+        # numbers of shards only
+        shards = [r["shard"] for r in maybe.select("shard").distinct().collect()]
+        exact = self._latest(batch, since, shards).select("key", F.col("n_docs").alias("n_before"), "first_doc")
+        known = maybe.join(exact, "key", "left").withColumn("n_before", F.coalesce("n_before", F.lit(0)))
+        known = self._write(known.select("key", "shard", "more", "first", "n_before", "first_doc"), "looked", batch)
+        grown = known.select("key", "shard", (F.col("more") + F.col("n_before")).alias("n_docs"), F.least("first", "first_doc").alias("first_doc"))
+        new = keys.where("NOT maybe").select("key", "shard", F.col("more").alias("n_docs"), F.col("first").alias("first_doc"))
+        self._write_counts(grown.union(new), batch)
+        mistaken = known.where("n_before = 0").select("shard", "key", F.lit(True).alias("alive"))
+        self._finish(batch, n_shards, since, states, mistaken)
 
     def delete(self, doc_ids: DataFrame) -> None:
         """Takes out the documents of a one-column frame of ids; unknown ids change nothing."""
         batch = self.batches()
-        gone = doc_ids.toDF("doc_id").where("doc_id IS NOT NULL").distinct()
+        n_shards, since, _ = self._layout(batch)
+        gone = doc_ids.toDF("doc_id").where("doc_id IS NOT NULL").distinct().join(self._held(batch), "doc_id", "left_semi") if batch else doc_ids.toDF("doc_id").limit(0)
+        gone = self._write(gone.withColumn("change", F.lit(-1)), "documents", batch).select("doc_id")
         held = self.holders()
-        lost = held.join(gone, "doc_id", "left_semi").select("key", "doc_id", F.lit(-1).alias("change"))
-        self._write(lost, "references", batch)
-        keys = self._read("references", self.REFERENCES).where(F.col("batch") == batch).select("key").distinct()
-        left = held.join(gone, "doc_id", "left_anti").join(keys, "key", "left_semi")
+        lost = self._write(held.join(gone, "doc_id", "left_semi").select("key").distinct(), "lost", batch)
+        left = held.join(gone, "doc_id", "left_anti").join(lost, "key", "left_semi")
         now = left.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
-        counts = keys.join(now, "key", "left").select("key", F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"), "first_doc")
-        self._write(counts, "counts", batch)
-        self._update_filters(batch)
-
-    def _current_filters(self, batch: int) -> DataFrame:
-        before = self._read("filters", self.FILTERS).where(F.col("batch") < batch)
-        latest = F.max_by(F.struct("n_shards", "n", "marks"), "batch").alias("now")
-        return before.groupBy("shard").agg(latest).select("shard", "now.*")
+        n_shards = n_shards or MIN_SHARDS
+        counts = lost.join(now, "key", "left").select(
+            "key", self._shard(n_shards).alias("shard"), F.coalesce("n_docs", F.lit(0)).cast("long").alias("n_docs"), "first_doc"
+        )
+        dead = self._write_counts(counts, batch).where("n_docs = 0").select("shard", "key", F.lit(False).alias("alive"))
+        states = self._current_filters(batch, since).join(dead.select("shard").distinct(), "shard", "left_semi")
+        self._finish(batch, n_shards, since, states.select("shard", "n", "marks", F.lit(True).alias("fits")), dead)
+
+    def _write_counts(self, counts: DataFrame, batch: int) -> DataFrame:
+        rows = counts.select("key", "shard", F.col("n_docs").cast("long").alias("n_docs"), "first_doc")
+        return self._write(rows.sortWithinPartitions("shard"), "counts", batch)
+
+    def _current_filters(self, batch: int, since: int = 0) -> DataFrame:
+        before = self._read("filters", self.FILTERS).where(F.col("batch").between(since, batch - 1) & (F.col("shard") >= 0))
+        return before.groupBy("shard").agg(F.max_by(F.struct("n", "marks"), "batch").alias("now")).select("shard", "now.*")
 
     @staticmethod
     def _shard(n_shards: int):
         return F.pmod(F.xxhash64("key"), F.lit(n_shards)).cast("int")
 
-    def _shards(self, batch: int) -> int:
-        """The number of shards, fixed by the first batch."""
-        if batch:
-            return self._read("filters", self.FILTERS).where("batch = 0").agg(F.max("n_shards").alias("n")).first()["n"]
-        first = self._read("counts", self.COUNTS).where("batch = 0").count()
-        return max(8, -(-first // SHARD_KEYS))
-
-    def _asked(self, touched: DataFrame) -> DataFrame:
-        """Adds ``maybe``: whether the shard's filter may hold the key."""
-        batch = self.batches()
-        n_shards = self._shards(batch)
+    def _built(self, counts: DataFrame) -> DataFrame:
+        """``(shard, n, marks)`` from the exact counts."""
 
-        def ask(key: tuple, keys: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-            own = list(keys["key"])
-            held = CuckooFilter.from_bytes(state["marks"].iloc[0], int(state["n"].iloc[0])).may_hold(own) if len(state) else np.zeros(len(own), bool)
-            return pd.DataFrame({"key": own, "more": keys["more"], "first": keys["first"], "maybe": held})
-
-        sharded = touched.withColumn("shard", self._shard(n_shards)).groupBy("shard")
-        state = self._current_filters(batch).groupBy("shard")
-        return sharded.cogroup(state).applyInPandas(ask, "key binary, more long, first long, maybe boolean")
+        def build(key: tuple, keys: pd.DataFrame) -> pd.DataFrame:
+            made = built_filter(list(keys["key"]), 2)
+            return pd.DataFrame({"shard": [key[0]], "n": [made.n], "marks": [made.to_bytes()]})
 
-    def _update_filters(self, batch: int) -> None:
-        """New state of every shard, from the counts of this batch and the state before.
+        alive = counts.where("n_docs > 0").select("shard", "key")
+        return alive.groupBy("shard").applyInPandas(build, "shard int, n long, marks binary")
 
-        One row for each key and whether it was known before, so a shard's group is as large as its keys in the batch,
-        which the number of shards bounds. Shards that overflow are built anew from the exact counts.
-        """
-        n_shards = self._shards(batch)
-        counts = self._read("counts", self.COUNTS)
-        now = counts.where(F.col("batch") == batch).select("key", (F.col("n_docs") > 0).alias("alive"))
-        if batch:
-            latest = F.max_by("n_docs", "batch").alias("n")
-            earlier = counts.where(F.col("batch") < batch).groupBy("key").agg(latest).where("n > 0").select("key", F.lit(True).alias("before"))
-            now = now.join(earlier, "key", "left").select("key", "alive", F.coalesce("before", F.lit(False)).alias("before"))
-            now = now.where("alive <> before")
-        else:
-            now = now.withColumn("before", F.lit(False))
+    def _finish(self, batch: int, n_shards: int, since: int, states: DataFrame, changes: DataFrame) -> None:
+        """New filters: ``states`` with keys ``(shard, key, alive)`` put in or taken out; those that overflow are built anew."""
 
-        def update(key: tuple, keys: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-            new, gone = list(keys["key"][keys["alive"].astype(bool)]), list(keys["key"][~keys["alive"].astype(bool)])
-            if not len(state):
-                made, fits = built_filter(new), True
-            else:
-                made = CuckooFilter.from_bytes(state["marks"].iloc[0], int(state["n"].iloc[0]))
-                made.delete(gone)
-                fits = made.insert(new)
-            return pd.DataFrame({"shard": [key[0]], "n_shards": [n_shards], "n": [made.n], "marks": [made.to_bytes()], "fits": [fits]})
-
-        fields = "shard int, n_shards int, n long, marks binary"
-        changes = now.withColumn("shard", self._shard(n_shards)).groupBy("shard")
-        states = changes.cogroup(self._current_filters(batch).groupBy("shard")).applyInPandas(update, f"{fields}, fits boolean")
-        target = f"{self.root}/changed_filters/batch={batch}"
-        states.write.mode("overwrite").parquet(target)
-        states = self.spark.read.schema(f"{fields}, fits boolean").parquet(target)
-        full = states.where("NOT fits").select("shard")
-
-        def rebuild(key: tuple, keys: pd.DataFrame) -> pd.DataFrame:
-            made = built_filter(list(keys["key"]), 2)
-            return pd.DataFrame({"shard": [key[0]], "n_shards": [n_shards], "n": [made.n], "marks": [made.to_bytes()]})
+        def change(key: tuple, state: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
+            made = CuckooFilter.from_bytes(state["marks"].iloc[0], int(state["n"].iloc[0]))
+            alive = keys["alive"].astype(bool)
+            made.delete(list(keys["key"][~alive]))
+            fits = bool(state["fits"].iloc[0]) and made.insert(list(keys["key"][alive]))
+            return pd.DataFrame({"shard": [key[0]], "n": [made.n], "marks": [made.to_bytes()], "fits": [fits]})
 
-        latest = F.max_by("n_docs", "batch").alias("n")
-        alive = counts.where(F.col("batch") <= batch).groupBy("key").agg(latest).where("n > 0").select("key")
-        alive = alive.withColumn("shard", self._shard(n_shards)).join(full, "shard", "left_semi")
-        rebuilt = alive.groupBy("shard").applyInPandas(rebuild, fields)
+        if not changes.isEmpty():
+            changed = states.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(change, "shard int, n long, marks binary, fits boolean")
+            states = self._write(changed, "changed_filters", batch)
         kept = states.where("fits").drop("fits")
-        marker = self.spark.createDataFrame([(-1, n_shards, 0, b"")], fields)  # a batch that touched no shard is finished, too
-        self._write(kept.union(rebuilt).union(marker), "filters", batch)
+        # numbers of shards only
+        full = [r["shard"] for r in states.where("NOT fits").select("shard").collect()]
+        if full:
+            kept = kept.union(self._built(self._latest(batch + 1, since, full)))
+        self._write_filters(kept, n_shards, since, batch)
+
+    def _write_filters(self, states: DataFrame, n_shards: int, since: int, batch: int) -> None:
+        # one row more, so that a batch that touched no shard is finished, too
+        marker = self.spark.createDataFrame([(-1, 0, b"")], "shard int, n long, marks binary")
+        rows = states.select("shard", "n", "marks").union(marker)
+        placed = rows.select("shard", F.lit(n_shards).alias("n_shards"), F.lit(since).alias("since"), "n", "marks")
+        self._write(placed, "filters", batch)
 
     def clean(self, docs: DataFrame, counts: bool = True) -> DataFrame:
         """The rows ``(doc_id, text, ...)`` with the text that stays and, if ``counts``, ``n_lines`` and ``n_dropped``.

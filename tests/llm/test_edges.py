@@ -456,3 +456,45 @@ def test_small_payloads_are_not_revisited(spark, fresh):
     root = fresh("warc")
     warc.write_archive(frame, root, revisit_bytes=5)
     assert {r.page_id: r.refers_to for r in warc.read_archive(spark, root).collect()} == {1: None, 2: None, 3: None, 4: 3}
+
+
+def test_a_small_batch_reads_few_shards(spark, fresh):
+    """The filters are asked, only the shards of keys that they may hold are looked up, and no other filter is written."""
+    frame = lambda docs: spark.createDataFrame(docs, "doc_id long, text string")
+    index = line_dedup.LineIndex(spark, fresh("lines"), shard_keys=50)
+    index.insert(frame([(i, "\n".join(f"a line of its own {i} {j}" for j in range(20))) for i in range(200)]))
+    n_shards = index._layout(1)[0]
+    assert n_shards == 80
+    index.insert(frame([(1000, "a line of its own 3 4\na line that is new to the index"), (1001, "")]))
+    asked = index.spark.read.parquet(f"{index.root}/asked/batch=1").where("key IS NOT NULL").collect()
+    assert sorted(r.maybe for r in asked) == [False, True]
+    looked = index.spark.read.parquet(f"{index.root}/looked/batch=1").collect()
+    assert [(r.n_before, r.first_doc) for r in looked] == [(1, 3)]
+    exact = index._latest(1, 0, [looked[0].shard])
+    assert exact.count() < 4000 / 20 and {r.shard for r in exact.select("shard").distinct().collect()} == {looked[0].shard}
+    assert index.spark.read.parquet(f"{index.root}/filters/batch=1").where("shard >= 0").count() <= 2
+    assert index.counts().where("n_docs = 2").count() == 1 and index.counts().count() == 4001
+
+
+def test_shards_are_split_when_keys_outgrow_them(spark, fresh):
+    frame = lambda low, high: spark.createDataFrame([(i, "\n".join(f"a line of its own {i} {j}" for j in range(20)) + "\nshared by all of them") for i in range(low, high)], "doc_id long, text string")
+    index = line_dedup.LineIndex(spark, fresh("lines"), shard_keys=50)
+    index.insert(frame(0, 10))
+    assert index._layout(1)[0] == line_dedup.MIN_SHARDS
+    index.insert(frame(10, 100))
+    n_shards, since, n = index._layout(2)
+    assert (n_shards, since, n) == (42, 1, 2001)
+    assert index._current_filters(2, 1).agg(F.max("n")).first()[0] < 120
+    index.delete(spark.createDataFrame([(0,), (50,)], "doc_id long"))
+    index.insert(frame(100, 101))
+    counts = {bytes(r.key): (r.n_docs, r.first_doc) for r in index.counts().collect()}
+    assert counts[line_dedup.line_key("shared by all of them")] == (99, 1) and len(counts) == 20 * 99 + 1
+    assert index._layout(4)[2] == len(counts)
+
+
+def test_deleting_from_an_empty_index(spark, fresh):
+    index = line_dedup.LineIndex(spark, fresh("lines"))
+    index.delete(spark.createDataFrame([(1,)], "doc_id long"))
+    assert index.counts().collect() == [] and index.batches() == 1
+    index.insert(spark.createDataFrame([(1, "some long line here")], "doc_id long, text string"))
+    assert index.counts().count() == 1
