@@ -241,10 +241,13 @@ class LineIndex:
         batch = self.batches()
         n_shards, since, n_held = self._layout(batch)
         rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+        ids, pairs = rows.select("doc_id").distinct(), line_keys(rows).distinct()
         if batch:
-            rows = rows.join(self._held(batch), "doc_id", "left_anti")
-        self._write(rows.select("doc_id").distinct().withColumn("change", F.lit(1)), "documents", batch)
-        added = self._write(line_keys(rows).distinct().select("key", "doc_id"), "references", batch)
+            ids = ids.join(self._held(batch), "doc_id", "left_anti")
+        taken = self._write(ids.withColumn("change", F.lit(1)), "documents", batch)
+        if batch:  # ids and digests meet, so no text is moved
+            pairs = pairs.join(taken.select("doc_id"), "doc_id", "left_semi")
+        added = self._write(pairs.select("key", "doc_id"), "references", batch)
         # folded per task before the shuffle: a line that many documents share sends one row per task
         touched = added.groupBy("key").agg(F.count(F.lit(1)).alias("more"), F.min("doc_id").alias("first"))
         # as many keys as the batch may have at most
