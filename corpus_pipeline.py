@@ -12,7 +12,10 @@ from filmgrid.session import fresh_path, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and their host's verdict keep. Rows that repeat an id are judged each by its own text and host."""
+    """Documents that the base rules and their host's verdict keep. Rows that repeat an id are judged each by its own text and host.
+
+    Null and empty texts have no words and go; rows without an id are judged like others; an empty table gives an empty one.
+    """
     verdicts = host_quality.judge_documents(_told_apart(docs, "source"))
     return _where(docs, verdicts.where("kept"), "left_semi", "source")
 
@@ -20,15 +23,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds go; the number of characters follows the text.
 
-    Rows without an id count as documents after all others. One of which no text is left is a copy and goes.
+    The documents come into the index in two batches. Rows without an id count as documents after all others. One of
+    which no text is left is a copy and goes. Null and empty texts stay as empty ones; an empty table gives an empty one.
     """
     index = line_dedup.LineIndex(spark, fresh_path(spark, "pipeline-lines"))
-    index.insert(docs.select(_name().alias("doc_id"), "text"))
-    real = F.struct("doc_id", _blank().alias("blank")).alias("_real")
+    named = docs.select(_name().alias("doc_id"), "text")
+    late = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+    index.insert(named.where(~late))
+    index.insert(named.where(late))
+    kept_as = "_real"
+    while kept_as in docs.columns:
+        kept_as += "_"
+    real = F.struct("doc_id", _blank().alias("blank")).alias(kept_as)
     others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
     cleaned = index.clean(docs.select(_name().alias("doc_id"), real, *others), counts=False)
-    cleaned = cleaned.where(F.col("_real.doc_id").isNotNull() | F.col("_real.blank") | ~_blank())
-    cleaned = cleaned.select(*[F.col("_real.doc_id") if c == "doc_id" else F.col(f"`{c}`") for c in docs.columns])
+    cleaned = cleaned.where(F.col(f"{kept_as}.doc_id").isNotNull() | F.col(f"{kept_as}.blank") | ~_blank())
+    cleaned = cleaned.select(*[F.col(f"{kept_as}.doc_id") if c == "doc_id" else F.col(f"`{c}`") for c in docs.columns])
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cleaned
@@ -47,13 +57,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts hold none; an empty table on either side takes nothing away."""
     found = decontamination.contaminated(_told_apart(docs), table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return _where(docs, found, "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of all that is left, rows without an id included."""
+    """Sequences of all that is left, rows without an id included; null and empty texts are a piece of one token."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
