@@ -105,3 +105,12 @@ def test_lines_of_rows_without_an_id_are_deduplicated(spark, folder, fresh):
     lines = [line for r in found for line in r.text.split("\n")]
     assert sorted(lines) == sorted({line for _, t in rows for line in t.split("\n")})
     assert next(r.text for r in found if r.doc_id) == rows[1][1]
+
+
+def test_line_dedup_with_a_column_of_its_own_names(spark, folder):
+    rows = [(i, "one line that all of them hold\nand one of its own %d" % i, i, "x") for i in range(1, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _real long, _real_ string")
+    found = corpus_pipeline.line_dedup_(spark, docs, folder)
+    assert found.columns == docs.columns
+    texts = {r.doc_id: (r.text, r._real) for r in found.collect()}
+    assert texts[1] == (rows[0][1], 1) and all(texts[i] == (f"and one of its own {i}", i) for i in range(2, 6))
