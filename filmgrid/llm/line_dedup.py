@@ -274,8 +274,10 @@ class LineIndex:
             held = CuckooFilter.from_bytes(state["marks"].iloc[0], int(state["n"].iloc[0])) if len(state) else CuckooFilter(16)
             maybe = held.may_hold(own)
             fits = held.insert([k for k, known in zip(own, maybe) if not known])
-            rows = pd.DataFrame({"shard": key[0], "key": own, "more": keys["more"].to_numpy(), "first": keys["first"].to_numpy(), "maybe": maybe})
-            mark = pd.DataFrame({"shard": [key[0]], "n": [held.n], "marks": [held.to_bytes()], "fits": [fits]})
+            # ids stay whole numbers beside the missing ones of the filter's row; as floats they would lose digits
+            whole = {c: keys[c].astype("Int64") for c in ("more", "first")}
+            rows = pd.DataFrame({"shard": key[0], "key": own, **whole, "maybe": maybe})
+            mark = pd.DataFrame({"shard": [key[0]], "n": pd.array([held.n], "Int64"), "marks": [held.to_bytes()], "fits": [fits]})
             return pd.concat([rows, mark], ignore_index=True)[["shard", "key", "more", "first", "maybe", "n", "marks", "fits"]]
 
         fields = "shard int, key binary, more long, first long, maybe boolean, n long, marks binary, fits boolean"

@@ -498,3 +498,15 @@ def test_deleting_from_an_empty_index(spark, fresh):
     assert index.counts().collect() == [] and index.batches() == 1
     index.insert(spark.createDataFrame([(1, "some long line here")], "doc_id long, text string"))
     assert index.counts().count() == 1
+
+
+def test_large_ids_keep_their_digits(spark, fresh):
+    """Ids beyond 2^53, which doubles cannot hold, in a batch that goes through the filters."""
+    index, low = line_dedup.LineIndex(spark, fresh("lines")), 2**62
+    rows = [(low + i, f"a line that all of them hold\nand a line of its own {i}") for i in (1, 3, 5, 7)]
+    frame = lambda some: spark.createDataFrame(some, "doc_id long, text string")
+    index.insert(frame([(1, "one line to begin with")]))
+    index.insert(frame(rows[1:]))
+    index.insert(frame(rows[:1]))
+    found = {r.doc_id: r.text for r in index.clean(frame(rows)).collect()}
+    assert found == {d: t if d == low + 1 else t.split("\n")[1] for d, t in rows}
