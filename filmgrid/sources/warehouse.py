@@ -209,9 +209,11 @@ class Warehouse:
         result_folder = None
         try:
             batch = self.spark.read.schema(T.StructType(fields)).parquet(batch_folder)
-            if batch.isEmpty():
+            missing = functools.reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+            row = batch.agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("missing")).first()
+            if not row["n"]:
                 return
-            if not batch.where(functools.reduce(Column.__or__, [F.col(k).isNull() for k in keys])).isEmpty():
+            if row["missing"]:
                 raise ValueError(f"a row for {table} has no {' or no '.join(keys)}; it would be added again by every repetition")
             target = self._stored(table)
             if set(stored) <= set(keys):  # other keys say nothing about the buckets
