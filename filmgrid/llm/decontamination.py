@@ -54,6 +54,12 @@ def seed_hashes(token: np.ndarray, size: int = MIN_TILE) -> np.ndarray:
     return found ^ (found >> np.uint64(32))
 
 
+def _ends(goes_on: np.ndarray) -> np.ndarray:
+    """For every place the first place after it that does not go on from the one before; ``goes_on`` begins with place 1."""
+    stops = np.append(np.flatnonzero(~goes_on) + 1, len(goes_on) + 1)
+    return stops[np.searchsorted(stops, np.arange(len(goes_on) + 1), "right")]
+
+
 def _item_seeds(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,7 +142,8 @@ def tiles(doc_places: np.ndarray, doc_seeds: np.ndarray, item_seeds: np.ndarray,
     so on. A round looks for runs of ``n`` unmarked seeds with equal Karp-Rabin hashes, compares and extends them. If
     one is more than twice as long, the round starts again with its length; otherwise the runs are marked, longest
     first (then leftmost in the document, then in the item), what marks have cut short goes back in line, and ``n`` is
-    halved until single seeds are done.
+    halved until single seeds are done. Places are matched only where a run begins, so a repetitive text costs a step
+    for each of its runs, not for each pair of places in them.
     """
     shared = np.isin(doc_seeds, item_seeds)
     places, seeds = doc_places[shared].astype(np.int64), doc_seeds[shared].view(np.uint64)
@@ -149,40 +156,40 @@ def tiles(doc_places: np.ndarray, doc_seeds: np.ndarray, item_seeds: np.ndarray,
     item_taken = np.zeros(len(own) + size - 1, dtype=bool)
     doc_runs, item_runs = _Runs(seeds), _Runs(own)
 
-    def longer(j: int, i: int, n: int) -> int:
-        while (
-            j + n < len(places)
-            and i + n < len(own)
-            and places[j + n] == places[j] + n
-            and seeds[j + n] == own[i + n]
-            and not doc_taken[places[j] + n + size - 1]
-            and not item_taken[i + n + size - 1]
-        ):
-            n += 1
-        return n
-
-    def begins_earlier(j: int, i: int) -> bool:
-        together = j and i and places[j - 1] == places[j] - 1 and seeds[j - 1] == own[i - 1]
-        return bool(together and not doc_taken[places[j] - 1] and not item_taken[i - 1])
-
     def scan(n: int) -> list[tuple[int, int, int]]:
+        """Runs of ``n`` seeds and more that cannot begin earlier, each with its whole length."""
         if n > min(len(places), len(own)):
             return []
+        next_to = places[1:] == places[:-1] + 1
+        # where a run must end: at a gap, or before the seed that reaches into a marked token
+        doc_end = _ends(next_to & ~doc_taken[places[1:] + size - 1])
+        item_end = _ends(~item_taken[size:])
+        # whether a run could go on to the left
+        doc_open = np.concatenate([[False], next_to & ~doc_taken[places[1:] - 1]])
+        item_open = np.concatenate([[False], ~item_taken[: len(own) - 1]])
         item_free = np.flatnonzero(_clear(item_taken, n + size - 1))
         item_hashes = item_runs.of(n)[item_free]
-        at = defaultdict(list)
+        # by hash, then by the seed before: places with the same seed before are parts of a run that begins earlier
+        at: dict[int, dict[int | None, list[int]]] = defaultdict(lambda: defaultdict(list))
         for h, i in zip(item_hashes.tolist(), item_free.tolist()):
-            at[h].append(i)
+            at[h][int(own[i - 1]) if item_open[i] else None].append(i)
         whole = places[n - 1 :] == places[: len(places) - n + 1] + n - 1
         doc_free = np.flatnonzero(whole & _clear(doc_taken, n + size - 1)[np.minimum(places[: len(whole)], len(doc_taken) - n - size + 1)])
         doc_hashes = doc_runs.of(n)[doc_free]
         matching = np.isin(doc_hashes, item_hashes)
         runs = []
         for j, h in zip(doc_free[matching].tolist(), doc_hashes[matching].tolist()):
-            for i in at[h]:
-                # hashes find, the seeds decide
-                if not begins_earlier(j, i) and np.array_equal(seeds[j : j + n], own[i : i + n]):
-                    runs.append((-longer(j, i, n), int(places[j]), i))
+            before = int(seeds[j - 1]) if doc_open[j] else None
+            for other, starts in at[h].items():
+                if before is not None and before == other:
+                    continue
+                for i in starts:
+                    # hashes find, the seeds decide
+                    most = min(doc_end[j] - j, item_end[i] - i)
+                    unlike = seeds[j : j + most] != own[i : i + most]
+                    length = int(unlike.argmax()) if unlike.any() else int(most)
+                    if length >= n:
+                        runs.append((-length, int(places[j]), i))
         return runs
 
     n = min(first, len(own))
@@ -249,15 +256,17 @@ def contaminated(
 
     texts, kind = with_id(docs.where(F.col(doc_id).isNotNull()), doc_id, tokens(F.col(text)).alias("t"))
     found = texts.mapInArrow(_hits(size, bitmap), f"doc_id {kind}, places array<int>, seeds array<long>")
-    hits = written(found, "decontamination-hits")
-    seen = hits.select("doc_id", F.explode(F.array_distinct("seeds")).alias("seed"))
+    # rows that share an id are told apart by their seeds, so that items meet their own rows only
+    hits = written(found.withColumn("row", F.xxhash64("places", "seeds")), "decontamination-hits")
+    hits = hits.groupBy("doc_id", "row").agg(F.max(F.struct("places", "seeds")).alias("hit")).select("doc_id", "row", "hit.*")
+    seen = hits.select("doc_id", "row", F.explode(F.array_distinct("seeds")).alias("seed"))
     frequency = seen.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
     places = items.select("item", "n_tokens", F.explode("item_seeds").alias("seed")).join(frequency, "seed")
     spare = F.ceil(F.ceil(F.col("n_tokens") * coverage - 1e-9) / size) - 1
     by_frequency = Window.partitionBy("item").orderBy(F.desc("n"), "seed")
     rare = places.withColumn("rank", F.row_number().over(by_frequency)).where(F.col("rank") > spare).select("seed", "item").distinct()
-    pairs = seen.join(rare, "seed").select("doc_id", "item").distinct()
-    rows = pairs.join(hits, "doc_id").join(items.distinct(), "item").select("doc_id", "item_id", "n_tokens", "places", "seeds", "item_seeds")
+    pairs = seen.join(rare, "seed").select("doc_id", "row", "item").distinct()
+    rows = pairs.join(hits, ["doc_id", "row"]).join(items.distinct(), "item").select("doc_id", "item_id", "n_tokens", "places", "seeds", "item_seeds")
     tiled = rows.mapInArrow(_tiled(size), f"doc_id {kind}, item_id long, n_tokens long, covered long, n_tiles long")
     enough = tiled.withColumn("coverage", F.col("covered") / F.col("n_tokens")).where(F.col("covered") >= F.col("n_tokens") * coverage - 1e-9)
     best = F.max(F.struct("coverage", "covered", "n_tokens", "n_tiles")).alias("best")
