@@ -72,11 +72,14 @@ def count_tokens(docs: DataFrame, cache_path: str, model_file: str, doc_id: str
     keyed = written(keyed, "token-digests")
     known = open_cache(spark, cache_path).where(F.col("tokenizer") == version).select("content")
     misses = keyed.groupBy("content").agg(F.min("row").alias("row")).join(known, "content", "left_anti")
-    texts = docs.select(digest.alias("content"), name.alias("row"), whole.alias("text")).join(misses, ["content", "row"])
+    # rows that repeat in full are one before they are shuffled, and one when they are encoded
+    texts = docs.groupBy(digest.alias("content"), name.alias("row")).agg(F.first(whole).alias("text"))
+    texts = texts.join(misses, ["content", "row"], "left_semi")
     counted = texts.select("content", "text").mapInArrow(_encoded(model_file), "content binary, n_tokens long")
-    # rows that repeat in full are encoded together, but stored once
-    stored = counted.dropDuplicates(["content"]).select("content", F.lit(version).alias("tokenizer"), "n_tokens")
+    stored = counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens")
     stored.write.mode("append").parquet(cache_path)
 
     counts = open_cache(spark, cache_path).where(F.col("tokenizer") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
-    return keyed.join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    found = keyed.join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # Spark takes reads of one folder for equal, so two results in one plan could share the listing of the earlier run
+    return written(found, "token-counts")
