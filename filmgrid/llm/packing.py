@@ -3,9 +3,10 @@
 Pieces matter by length only, so the program has one row per length, at most as many as a sequence has tokens, however
 many documents there are. Its columns are the patterns of lengths that fit into a sequence. Multiplicative weights
 solve it: a length's weight falls as its demand is covered, a knapsack by dynamic programming finds the heaviest
-pattern, and a share of the demand goes to that pattern. The solution is rounded down to whole sequences of real
-pieces; what remains, a few pieces for each pattern, is put where it fits best. The driver holds the histogram and the
-patterns. Pieces then find their places by their rank among pieces of equal length, each for itself.
+pattern, and a share of the demand goes to that pattern. The weights also bound from below how many sequences any
+packing needs. The solution is rounded down to whole sequences of real pieces; what remains, a few pieces for each
+pattern, is the next program, until nothing is left. The driver holds the histogram and the patterns. Pieces then find
+their places by their rank among pieces of equal length, each for itself.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,9 @@ from filmgrid.session import written
 
 CAPACITY = 1024
 END_OF_TEXT = 2
-#: of the weights method: number of phases, how fast a covered length's weight falls, how much more long pieces weigh
-PHASES, RATE, SKEW = 20, 0.5, 2.0
+#: of the weights method: how near to the bound a solution shall be, how fast a covered length's weight falls, and the passes:
+#: the share of a length's demand that one use of a column may cover, and how much more than their length long pieces weigh
+EPSILON, RATE, PASSES = 0.001, 0.5, ((1.0, 0.5), (0.5, 0.5), (1.0, 2.0))
 #: pieces that are ranked together
 BUCKET_ROWS = 50_000
 
@@ -111,96 +114,84 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     return read.mapInArrow(_pieces(tokenizer, capacity, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def price_patterns(gain: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Knapsack by dynamic programming: for every room, a length of the heaviest multiset that fits into it (0: none).
+def price_pattern(gain: np.ndarray, lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[Counter, float]:
+    """Knapsack by dynamic programming: the heaviest multiset of lengths that fits, and its weight.
 
-    ``lengths`` ascend and ``gain`` is theirs. Of equally heavy choices the longest piece is taken.
+    ``gain`` and ``counts`` belong to ``lengths``; no length is taken more often than its count. Counts are split into
+    powers of two, so a length costs a few passes over the rooms.
     """
-    value, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
-    for room in range(1, capacity + 1):
-        n = int(np.searchsorted(lengths, room, "right"))
-        if n:
-            found = gain[:n] + value[room - lengths[:n]]
-            at = n - 1 - int(found[::-1].argmax())
-            value[room], choice[room] = found[at], lengths[at]
-    return choice
-
-
-def _read_off(choice: np.ndarray, room: int) -> Counter:
-    pattern: Counter = Counter()
-    while room > 0 and choice[room]:
-        pattern[int(choice[room])] += 1
-        room -= int(choice[room])
-    return pattern
-
-
-def fractional_patterns(demand: np.ndarray, capacity: int, phases: int = PHASES, rate: float = RATE, skew: float = SKEW) -> dict[tuple, float]:
+    value, steps = np.zeros(capacity + 1), []
+    for length, weight, count in zip(lengths.tolist(), gain.tolist(), counts.tolist()):
+        left, together = min(count, capacity // length), 1
+        while left > 0:
+            n = min(together, left)
+            found = value[: capacity + 1 - length * n] + weight * n
+            steps.append((length, n, found > value[length * n :]))
+            np.maximum(value[length * n :], found, out=value[length * n :])
+            left, together = left - n, together * 2
+    pattern, room = Counter(), capacity
+    for length, n, taken in reversed(steps):
+        if room >= length * n and taken[room - length * n]:
+            pattern[length] += n
+            room -= length * n
+    return pattern, float(value[capacity])
+
+
+class Program(NamedTuple):
+    """A fractional solution, how many sequences it uses, and how many any solution must use."""
+
+    used: dict[tuple[tuple[int, int], ...], float]
+    value: float
+    bound: float
+
+
+def _covered(demand: np.ndarray, capacity: int, step: float, rate: float, skew: float) -> Program:
+    size = np.arange(capacity + 1, dtype=float)
+    scale = size * (1 + skew * size / capacity)
+    left, whole = demand.astype(float), float((demand * size).sum())
+    used: dict[tuple, float] = {}
+    bound = whole / capacity
+    while len(lengths := np.flatnonzero(left > demand * 1e-12)):
+        # how far a length's coverage runs ahead of the coverage of all tokens
+        lead = float((left * size).sum()) / whole - left[lengths] / demand[lengths]
+        weight = scale[lengths] * np.exp(-rate * lead)
+        pattern, heaviest = price_pattern(weight, lengths, np.ceil(left[lengths]).astype(np.int64), capacity)
+        if not used:
+            # weights over the heaviest pattern's weight are a solution of the dual program
+            bound = max(bound, float((weight * demand[lengths]).sum()) / heaviest)
+        amount = min(min(max(step * demand[l], 1.0), left[l]) / n for l, n in pattern.items())
+        for l, n in pattern.items():
+            left[l] = max(0.0, left[l] - amount * n)
+        items = tuple(sorted(pattern.items(), reverse=True))
+        used[items] = used.get(items, 0.0) + amount
+    return Program(used, sum(used.values()), bound)
+
+
+def fractional_patterns(demand: np.ndarray, capacity: int, epsilon: float = EPSILON, passes: tuple = PASSES) -> Program:
     """Multiplicative weights on the configuration program: how often to use which pattern, in fractions.
 
-    A piece's weight starts a little above its length, the more so the longer it is, since long pieces are hard to
-    place. It is multiplied by ``exp(-rate * lead)``, where lead is how far the covered share of its demand runs ahead
-    of the phase. In each phase one knapsack prices the heaviest pattern around every length, and each length that
-    lags takes its pattern until it has its share, or until a piece of the pattern has run out.
+    The weight of a length starts a little above the length itself, since long pieces are hard to place, and is
+    multiplied by ``exp(-RATE * lead)``, where lead is how far the covered share of its demand runs ahead of the share
+    of all tokens. Every column is priced by a knapsack of its own under the weights of the moment, and used until the
+    first of its lengths has moved on by a step. The weights also give a bound from the dual program. The passes have
+    ever smaller steps, until one is within ``epsilon`` of the bound; the best of them is kept.
     """
-    wanted, covered = demand.astype(float), np.zeros(capacity + 1)
-    lengths = np.flatnonzero(demand)
-    scale = np.arange(capacity + 1, dtype=float)
-    scale = scale * (1 + skew * scale / capacity)
-    used: dict[tuple, float] = {}
-    for phase in range(1, phases + 1):
-        share = np.zeros(capacity + 1)
-        np.divide(covered, wanted, out=share, where=wanted > 0)
-        weight = scale * np.exp(-rate * (share - (phase - 1) / phases))
-        choice = price_patterns(weight[lengths], lengths, capacity)
-        for length in lengths[::-1].tolist():
-            lag = wanted[length] * phase / phases - covered[length]
-            if lag <= 1e-9:
-                continue
-            pattern = _read_off(choice, capacity - length)
-            pattern[length] += 1
-            amount = min([lag / pattern[length], *(max(0.0, wanted[l] - covered[l]) / n for l, n in pattern.items())])
-            if amount > 0:
-                items = tuple(sorted(pattern.items(), reverse=True))
-                used[items] = used.get(items, 0.0) + amount
-                for l, n in items:
-                    covered[l] += n * amount
-    return used
-
-
-def best_fit(demand: np.ndarray, capacity: int) -> Counter:
-    """Best-fit decreasing on counts: equal pieces and equally filled sequences are handled together."""
-    free: dict[int, Counter] = {}
-    for length in np.flatnonzero(demand)[::-1].tolist():
-        left = int(demand[length])
-        for room in range(length, capacity):
-            while left and free.get(room):
-                pattern, n = next(iter(free[room].items()))
-                taken = min(n, left)
-                free[room][pattern] -= taken
-                if not free[room][pattern]:
-                    del free[room][pattern]
-                free.setdefault(room - length, Counter())[pattern + (length,)] += taken
-                left -= taken
-            if not left:
-                break
-        each = capacity // length
-        if left >= each:
-            free.setdefault(capacity - each * length, Counter())[(length,) * each] += left // each
-        if left % each:
-            n = left % each
-            free.setdefault(capacity - n * length, Counter())[(length,) * n] += 1
-    packed: Counter = Counter()
-    for patterns in free.values():
-        for pattern, n in patterns.items():
-            packed[tuple(sorted(Counter(pattern).items(), reverse=True))] += n
-    return packed
-
-
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 3) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+    best = None
+    for step, skew in passes:
+        made = _covered(demand, capacity, step, RATE, skew)
+        bound = max(made.bound, best.bound if best else 0.0)
+        best = (made if best is None or made.value < best.value else best)._replace(bound=bound)
+        if best.value <= (1 + epsilon) * bound:
+            break
+    return best
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[tuple[int, int], ...], int]]:
     """Patterns ``((length, pieces), ...)`` and how many sequences use each; together they hold every piece once.
 
-    The fractional program is rounded down, the pieces left over are a smaller program of the same kind, and after a
-    few rounds, or as soon as a round places nothing, the rest goes where it fits best.
+    The fractional solution is rounded down, and the pieces left over are a smaller program of the same kind. The first
+    pattern of a program takes no length more often than there are pieces, so it is used once at least and the
+    programs come to an end; patterns that do not fill a sequence are kept like all others.
     """
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
@@ -208,21 +199,16 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 3) -
     total: Counter = Counter()
     total[((capacity, 1),)] += int(left[capacity])
     left[capacity] = 0
-    for _ in range(rounds):
-        if not left.any():
-            break
-        placed = 0
-        for items, amount in sorted(fractional_patterns(left.copy(), capacity).items(), key=lambda x: (-x[1], x[0])):
-            filled = sum(l * n for l, n in items)
+    passes = PASSES
+    while left.any():
+        made = fractional_patterns(left, capacity, passes=passes)
+        passes = PASSES[:1]  # what is left over is small, and few pieces are apart from whole numbers
+        for items, amount in sorted(made.used.items(), key=lambda x: (-x[1], x[0])):
             n = min(int(amount + 1e-9), *(int(left[l]) // k for l, k in items))
-            if n > 0 and filled == capacity:
+            if n > 0:
                 total[items] += n
-                placed += n
                 for l, k in items:
                     left[l] -= n * k
-        if not placed:
-            break
-    total += best_fit(left, capacity)
     return sorted((p, n) for p, n in total.items() if n)
 
 

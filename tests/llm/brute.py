@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import re
 import zlib
@@ -204,3 +205,13 @@ def rule_of(url, rules):
 
 def multiset(rows):
     return Counter(tuple(r) for r in rows)
+
+
+def best_fit_decreasing(histogram, capacity):
+    """How many sequences plain best-fit decreasing needs; the list holds the room left in each."""
+    rooms = []
+    for length in sorted((l for l, n in histogram.items() for _ in range(n)), reverse=True):
+        at = bisect.bisect_left(rooms, length)
+        room = rooms.pop(at) if at < len(rooms) else capacity
+        bisect.insort(rooms, room - length)
+    return len(rooms)

@@ -1,5 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import itertools
+import time
+
 import brute
 import numpy as np
 import public_tokenizers
@@ -258,6 +261,23 @@ def test_tiling(doc, item, size):
     assert max((n for _, _, n in found), default=0) == (longest if longest >= size else 0)
 
 
+@pytest.mark.parametrize("period", [1, 2, 7])
+def test_repetitive_texts(period):
+    """A step for each run: comparing all pairs of places here took most of a minute."""
+    doc, item = (decontamination.seed_hashes(np.arange(n, dtype=np.int64) % period).view(np.int64) for n in (20_000, 1000))
+    begun = time.process_time()
+    assert decontamination.tiles(np.arange(len(doc)), doc, item) == [(0, 0, 1000)]
+    assert time.process_time() - begun < 10
+
+
+def test_rows_of_a_hot_id(spark):
+    """Rows of one id meet their own items only, and equal rows are tiled once."""
+    texts = [" ".join(f"id{i}word{j}" for j in range(12)) for i in range(40)]
+    docs = spark.createDataFrame([(1, t) for t in texts] + [(1, texts[0])] * 30, "doc_id long, text string")
+    found = decontamination.contaminated(docs, spark.createDataFrame(list(enumerate(texts)), "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.covered) for r in found.collect()} == {(1, i, 12) for i in range(40)}
+
+
 def test_common_passage_loses_no_item(spark):
     """A passage that all items share is left out of the candidate join, the items are found none the less."""
     shared = " ".join(f"common{i}" for i in range(20))
@@ -307,8 +327,48 @@ def test_plan(histogram):
         for length, k in items:
             held[length] = held.get(length, 0) + n * k
     assert held == histogram
-    total = sum(length * n for length, n in histogram.items())
-    assert sum(n for _, n in made) <= 11 / 9 * max(-(-total // 50), sum(n for length, n in histogram.items() if length > 25)) + 60
+    demand = np.array([histogram.get(length, 0) for length in range(51)])
+    demand[50] = 0
+    if demand.any():
+        program = packing.fractional_patterns(demand, 50)
+        covered = sum(used * np.bincount([l for l, n in items for _ in range(n)], minlength=51) for items, used in program.used.items())
+        assert np.allclose(covered, demand) and program.bound <= program.value + 1e-6
+    # no worse than any packing could be with a simple rule, within one sequence a length
+    assert sum(n for _, n in made) <= brute.best_fit_decreasing(histogram, 50) + len(histogram)
+
+
+def test_program_places_the_documents(spark, folder):
+    """The pieces of the documents go by the program: near its bound, and fewer sequences than best fit needs."""
+    docs = spark.read.parquet(f"{folder.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    histogram = {r["length"]: r["count"] for r in packing.pieces(docs, BYTES).groupBy("length").count().collect()}
+    demand = np.array([histogram.get(length, 0) for length in range(packing.CAPACITY)] + [0])
+    program = packing.fractional_patterns(demand, packing.CAPACITY)
+    needed = sum(n for _, n in packing.plan(histogram)) - histogram[packing.CAPACITY]
+    assert program.bound <= program.value <= 1.006 * program.bound
+    assert program.value <= needed <= program.bound + np.count_nonzero(demand)
+    # nearly all sequences are patterns of the first program, used a whole number of times
+    assert sum(int(n + 1e-9) for n in program.used.values()) > 0.9 * needed
+    assert needed < brute.best_fit_decreasing({l: n for l, n in histogram.items() if l < packing.CAPACITY}, packing.CAPACITY)
+
+
+def test_program_beats_best_fit():
+    histogram = {516: 600, 517: 3, 300: 1000, 211: 900, 170: 400}
+    needed = sum(n for _, n in packing.plan(histogram))
+    assert needed == 886 and brute.best_fit_decreasing(histogram, 1024) == 961
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_knapsack(seed):
+    rng = np.random.default_rng(seed)
+    lengths, counts, gain = np.arange(3, 9), rng.integers(1, 4, 6), rng.random(6)
+    best = max(
+        sum(n * g for n, g in zip(taken, gain))
+        for taken in itertools.product(*[range(c + 1) for c in counts])
+        if sum(n * l for n, l in zip(taken, lengths)) <= 20
+    )
+    pattern, weight = packing.price_pattern(gain, lengths, counts, 20)
+    assert np.isclose(weight, best) and np.isclose(sum(gain[l - 3] * n for l, n in pattern.items()), best)
+    assert all(n <= counts[l - 3] for l, n in pattern.items()) and sum(l * n for l, n in pattern.items()) <= 20
 
 
 def test_token_cache(spark, docs, texts, no_docs, fresh, monkeypatch):
@@ -324,6 +384,28 @@ def test_token_cache(spark, docs, texts, no_docs, fresh, monkeypatch):
     assert spark.read.parquet(cache).count() == 2 * len({t or "" for _, t in texts})
 
 
+def test_repeated_rows_are_encoded_once(spark, fresh, monkeypatch):
+    """Rows without an id that hold one text, and rows that repeat an id with another one."""
+    encoded = spark.sparkContext.accumulator(0)
+    plain = token_counts._encoded
+
+    def counting(model_file):
+        def run(batches):
+            def seen():
+                for batch in batches:
+                    encoded.add(batch.num_rows)
+                    yield batch
+
+            return plain(model_file)(seen())
+
+        return run
+
+    monkeypatch.setattr(token_counts, "_encoded", counting)
+    docs = spark.createDataFrame([(None, "one text")] * 2000 + [(5, "another text")] * 2000, "doc_id long, text string").repartition(6)
+    found = token_counts.count_tokens(docs, fresh("cache"), PIECES)
+    assert found.count() == 4000 and encoded.value == 2
+
+
 # sharding
 
 
