@@ -104,7 +104,8 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
     ``labels (page_id, bad)`` may lack pages, repeat them (any bad outcome counts) and hold nulls (no outcome). A rule
     ``(host, path, action)`` fits its host and all subdomains where the path starts with the rule's; the longest rule
     wins, and of equally long ones the first in the order of the text. Pages without a rule get their host's verdict.
-    Repeated pages give repeated rows; a null url has an empty host and path and the empty host's verdict.
+    Repeated pages give repeated rows; a null url has an empty host and path and the empty host's verdict. No pages give
+    an empty result, no labels let every host's verdict rest on no outcomes. Other columns are not looked at.
     """
     if not isinstance(rules, DataFrame):
         rules = pages.sparkSession.createDataFrame([tuple(r) for r in rules], "rule_host string, rule_path string, action string")

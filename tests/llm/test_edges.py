@@ -471,6 +471,15 @@ def test_urls(spark):
     assert reputation.judge_urls(pages, labels.limit(0), []).where("verdict <> 'allow'").count() == 0
 
 
+def test_urls_of_nothing(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/x", "other"), (2, None, "other")], "page_id long, url string, rule string")
+    labels = spark.createDataFrame([(1, 1)], "page_id long, bad int")
+    rules = [("org", "/", "block")]
+    assert reputation.judge_urls(pages.limit(0), labels, rules).collect() == []
+    found = {r.page_id: (r.host, r.rule, r.verdict) for r in reputation.judge_urls(pages, labels.limit(0), rules).collect()}
+    assert found == {1: ("a.org", "org/", "block"), 2: ("", None, "allow")}
+
+
 def test_reputation(spark):
     """Bad hosts go, the good hosts of their domain stay, and hosts without labels follow their domain."""
     rows = [(f"bad{i}.spam.com", 1) for i in range(20) for _ in range(30)] + [(f"h{i}.fine.com", 0) for i in range(20) for _ in range(30)]
