@@ -1,10 +1,12 @@
-"""Tables in HTML text, read with Spark's own regular expressions."""
+"""Tables in HTML text: elements by one pass over their tags, texts with Spark's own regular expressions."""
 
 from __future__ import annotations
 
 import json
+import re
 from html.entities import html5
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,9 +55,9 @@ def decode_entities(texts: Column) -> Column:
 
     def join(parts: Column) -> Column:
         tail = F.transform(F.transform(F.slice(parts, F.lit(2), F.size(parts)), named), _character)
-        return F.when(F.size(parts) == 1, parts[0]).otherwise(F.concat(parts[0], F.array_join(tail, "")))
+        return F.concat(parts[0], F.array_join(tail, ""))
 
-    return F.transform(F.transform(texts, lambda text: F.split(text, "&")), join)
+    return F.transform(texts, lambda text: F.when(text.contains("&"), F.get(F.transform(F.array(F.split(text, "&")), join), F.lit(0))).otherwise(text))
 
 
 def texts_of(markup: Column) -> Column:
@@ -69,52 +71,76 @@ _WITHIN = {"tr": "table", "td": "table", "th": "table", "li": "ul|ol"}
 _ENDED_BY = {"tr": "thead|tbody|tfoot", "td": "th|tr", "th": "td|tr"}
 
 
+def _outermost(tag: str):
+    """A function from markup to its outermost elements of one kind, one pass over the tags. Carries all that it needs to the tasks."""
+    within, ended_by = _WITHIN.get(tag), _ENDED_BY.get(tag)
+    kinds = "|".join(filter(None, [tag, within, ended_by]))
+    pattern = rf"(?is)<!--.*?-->|<(/?)((?a:{kinds}))\b[^>]*>"
+    around, enders = set((within or "").split("|")), set((ended_by or "").split("|"))
+
+    def found_in(markup: str | None) -> list[str]:
+        found, opened, depth, at, start = [], False, 0, 0, 0
+        for mark in re.finditer(pattern, markup or ""):
+            if mark[2] is None:  # a comment
+                continue
+            kind, begins = mark[2].lower(), not mark[1]
+            if within is None:
+                # as deep as elements of the kind are open
+                if begins:
+                    opened, depth, start = True, depth + 1, start if opened else mark.start()
+                elif opened:
+                    depth -= 1
+                    if not depth:
+                        found.append(markup[start : mark.end()])
+                        opened = False
+                continue
+            # as deep as tables or lists are open
+            level = opened and depth == at
+            if kind == tag and begins and (level or not opened):
+                if level:
+                    found.append(markup[start : mark.start()])
+                opened, at, start = True, depth, mark.start()
+            elif kind == tag and level:
+                found.append(markup[start : mark.end()])
+                opened = False
+            elif kind in enders and level:
+                found.append(markup[start : mark.start()])
+                opened = False
+            elif kind in around:
+                if level and not begins:
+                    found.append(markup[start : mark.start()])
+                    opened = False
+                depth += 1 if begins else -1
+        if within is not None and opened and depth == at:
+            found.append(markup[start:])
+        return found
+
+    return found_in
+
+
 def elements(markup: Column, tag: str) -> Column:
     """The outermost elements of one kind, whole, in order; those inside of another one of the kind are part of it.
 
     Tags are matched by their depth. A row, cell or list item may have no end tag: it ends where the next one begins, or
     the table or list around it ends. Other elements without an end are left out. Tags in comments are no tags.
     """
-    within, ended_by = _WITHIN.get(tag), _ENDED_BY.get(tag)
-    kinds = "|".join(filter(None, [tag, within, ended_by]))
-    pattern = rf"(?is)<!--.*?-->|</?(?:{kinds})\b[^>]*>"
-    # a text and the tag behind it; behind the last text there is none
-    tags = F.concat(F.regexp_extract_all(markup, F.lit(pattern), F.lit(0)), F.array(F.lit("")))
-    pieces = F.arrays_zip(F.split(markup, pattern).alias("text"), tags.alias("mark"))
-    is_a = lambda mark, kind, slash: mark.rlike(rf"(?i)^<{slash}(?:{kind})\b") if kind else F.lit(False)
-
-    def state(opened: Column, depth: Column, at: Column, buffer: Column, found: Column) -> Column:
-        return F.struct(opened.alias("opened"), depth.alias("depth"), at.alias("at"), buffer.alias("buffer"), found.alias("found"))
-
-    def step(so_far: Column, piece: Column) -> Column:
-        opened, depth, at, buffer, found = (so_far[c] for c in ("opened", "depth", "at", "buffer", "found"))
-        mark = piece["mark"]
-        before, after = F.concat(buffer, piece["text"]), F.concat(buffer, piece["text"], mark)
-        one_more = lambda text: F.concat(found, F.array(text))
-        begins, ends = is_a(mark, tag, ""), is_a(mark, tag, "/")
-        closed, none = F.lit(False), F.lit("")
-        grown = state(opened, depth, at, F.when(opened, after).otherwise(none), found)
-        if within is None:
-            # as deep as elements of the kind are open
-            begun = state(F.lit(True), depth + 1, at, F.when(opened, after).otherwise(mark), found)
-            ended = F.when(depth == 1, state(closed, F.lit(0), at, none, one_more(after))).otherwise(state(opened, depth - 1, at, after, found))
-            return F.when(begins, begun).when(ends & opened, ended).otherwise(grown)
-        # as deep as tables or lists are open
-        level = opened & (depth == at)
-        inwards, outwards = is_a(mark, within, ""), is_a(mark, within, "/")
-        begun = state(F.lit(True), depth, depth, mark, F.when(level, one_more(before)).otherwise(found))
-        left = state(closed, depth - 1, at, none, one_more(before))
-        return (
-            F.when(begins & (level | ~opened), begun)
-            .when(ends & level, state(closed, depth, at, none, one_more(after)))
-            .when((is_a(mark, ended_by, "/?") | (mark == "")) & level, state(closed, depth, at, none, one_more(before)))
-            .when(outwards & level, left)
-            .when(inwards | outwards, state(opened, depth + F.when(inwards, 1).otherwise(-1), at, grown["buffer"], found))
-            .otherwise(grown)
-        )
-
-    start = state(F.lit(False), F.lit(0), F.lit(0), F.lit(""), F.array().cast("array<string>"))
-    return F.coalesce(F.aggregate(pieces, start, step, lambda end: end["found"]), F.array().cast("array<string>"))
+    found_in = _outermost(tag)
+
+    def of_texts(markup: pa.Array) -> pa.Array:
+        return pa.array([found_in(text) for text in markup.to_pylist()], pa.list_(pa.string()))
+
+    return F.arrow_udf(of_texts, "array<string>")(markup)
+
+
+def elements_of_each(markup: Column, tag: str) -> Column:
+    """The ``elements`` of every text of an array, in its order."""
+    found_in = _outermost(tag)
+
+    def of_lists(markup: pa.Array) -> pa.Array:
+        lists = [[found_in(text) for text in texts or ()] for texts in markup.to_pylist()]
+        return pa.array(lists, pa.list_(pa.list_(pa.string())))
+
+    return F.arrow_udf(of_lists, "array<array<string>>")(markup)
 
 
 def element_texts(markup: Column, tag: str) -> Column:

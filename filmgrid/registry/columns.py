@@ -64,7 +64,9 @@ def chart_pages(spark, folder):
         F.lit("<td>-</td></tr><tr><td>9</td><td>too short</td></tr></table></body></html>"),
     )
     url = F.format_string("https://charts.example.com/weekly/%dW%02d/?ref_=x", year, week)
-    return table(spark, folder, "orders").select(url.alias("url"), page.alias("html"))
+    # one task may read a whole file, and a page costs far more than its order; so the orders are dealt out
+    dealt = table(spark, folder, "orders").repartition(4 * spark.sparkContext.defaultParallelism)
+    return dealt.select(url.alias("url"), page.alias("html"))
 
 
 def chart_rows_from_html(spark, folder):
