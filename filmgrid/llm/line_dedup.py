@@ -29,23 +29,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from filmgrid.llm.common import LOWER, UPPER
-
 #: shorter keys are never dropped (code points)
 MIN_KEY = 10
 #: keys that one shard's filter is meant to hold, and shards at least
 SHARD_KEYS, MIN_SHARDS = 250_000, 8
 SLOTS, MAX_KICKS, MAX_LOAD = 4, 500, 0.9
 
-_LOWER = str.maketrans(UPPER, LOWER)
 # The white space stripped from both ends of a line.
-_BLANK = " \t\n\x0b\x0c\r"
+_BLANK = b" \t\n\x0b\x0c\r"
 
 
 def line_key(line: str) -> bytes | None:
     """Digest of the line's key, or None where the key is too short to count."""
-    key = line.strip(_BLANK).translate(_LOWER)
-    return xxhash.xxh3_128_digest(key.encode()) if len(key) >= MIN_KEY else None
+    return _keys_of([line.encode().lower()])[0]
+
+
+def _keys_of(lines: list[bytes]) -> list[bytes | None]:
+    """The keys of lines in UTF-8 whose A-Z are small already, which ``bytes.lower`` does without touching other letters."""
+    return [xxhash.xxh3_128_digest(key) if len(key) >= MIN_KEY and _long_enough(key) else None for key in [line.strip(_BLANK) for line in lines]]
+
+
+def _long_enough(key: bytes) -> bool:
+    # a character has four bytes at most
+    return len(key) >= 4 * MIN_KEY or key.isascii() or len(key.decode(errors="replace")) >= MIN_KEY
+
+
+def _bytes(text: pa.StringScalar) -> bytes:
+    """The text in UTF-8, null as empty."""
+    held = text.as_buffer()
+    return held.to_pybytes() if held is not None else b""
 
 
 class CuckooFilter:
@@ -137,7 +149,8 @@ def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, keys = [], []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            own = {key for line in (text.as_py() or "").split("\n") if (key := line_key(line))}
+            own = set(_keys_of(_bytes(text).lower().split(b"\n")))
+            own.discard(None)
             ids += [doc] * len(own)
             keys += own
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "key"])
@@ -153,13 +166,18 @@ def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         lines_of, dropped_of, kept_of = [], [], []
         for text, drop in zip(batch.column(1), batch.column(2)):
-            gone = set(drop.as_py() or ())
-            lines = (text.as_py() or "").split("\n")
-            left = [line for line in lines if line_key(line) not in gone] if gone else lines
+            whole, gone = _bytes(text), set(drop.as_py() or ())
+            if not gone:
+                lines_of.append(whole.count(b"\n") + 1)
+                dropped_of.append(0)
+                kept_of.append(whole)
+                continue
+            lines = whole.split(b"\n")
+            left = [line for line, key in zip(lines, _keys_of(whole.lower().split(b"\n"))) if key not in gone]
             lines_of.append(len(lines))
             dropped_of.append(len(lines) - len(left))
-            kept_of.append("\n".join(left))
-        columns = [batch.column(0), pa.array(lines_of, pa.int64()), pa.array(dropped_of, pa.int64()), pa.array(kept_of, pa.string())]
+            kept_of.append(b"\n".join(left))
+        columns = [batch.column(0), pa.array(lines_of, pa.int64()), pa.array(dropped_of, pa.int64()), pa.array(kept_of, pa.binary()).view(pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 

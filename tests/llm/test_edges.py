@@ -7,6 +7,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -81,6 +82,14 @@ def test_lines(spark, docs, texts, fresh):
             assert r.n_dropped == 0
 
 
+def test_keys_of_a_whole_text():
+    """Keys are made from a text's bytes, lower-cased once; letters beyond A-Z and characters of several bytes count as before."""
+    lines = ["  A Line Of Its Own\x0b", "ÀÉÎÕÜ ß İK", "千と千尋の神隠しです", "千と千尋の神隠しで", "123456789\x1c", "nine char", "\t ten chars!\r", "😀" * 9, "😀" * 10, ""]
+    expected = [(key := brute.line_key(x)) and xxhash.xxh3_128_digest(key.encode()) for x in lines]
+    assert [line_dedup.line_key(x) for x in lines] == expected
+    assert line_dedup._keys_of("\n".join(lines).encode().lower().split(b"\n")) == expected
+
+
 def test_lines_of_nothing(spark, no_docs, fresh):
     index = line_dedup.LineIndex(spark, fresh("lines"))
     index.insert(no_docs)
