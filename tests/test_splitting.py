@@ -135,6 +135,15 @@ def test_csv_with_line_feeds_cut_anywhere(spark, small_blocks, tmp_path, end):
         assert csv_rows(whole) == rows
 
 
+def test_csv_lines_stay_in_their_task(spark, small_blocks, tmp_path):
+    """Only what reaches beyond a block is shuffled, by one exchange; the lines used to go through windows and joins."""
+    write_rows(tmp_path / "a.csv", [(i, "line\nfeed" * 20, str(i)) for i in range(20)])
+    read = readers.read_csv(spark, str(tmp_path / "a.csv"), CSV, multi_line=True)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert sorted(r.id for r in read.collect()) == list(range(20))
+
+
 def test_csv_nulls_empty_lines_and_order_of_columns(spark, small_blocks, tmp_path):
     (tmp_path / "a.csv").write_text('t,extra,id,s\n"q\n",1,1,\n\n,2,2,"x"\n\n\n"",3,,z')
     found = readers.read_csv(spark, str(tmp_path / "a.csv"), CSV, multi_line=True)
