@@ -203,8 +203,11 @@ def chart_rows(pages: DataFrame) -> DataFrame:
     )
     # the headers are taken before the rows are spread, so that they are read once per page
     headers = html.texts_of(html.visible(html.elements(F.try_element_at("rows", F.lit(1)), "th")))
-    spread = tables.select("url", "year", "week", headers.alias("headers"), html.elements_of_each(F.col("rows"), "td").alias("rows"))
-    row = lambda cells, i: F.struct(i.alias("position"), html.visible(cells).alias("shown"))
+    # no filter on the rows, which would find them a second time; a page without any gives none below
+    spread = tables.withColumn("headers", headers)
+    row = lambda markup, i: F.struct(
+        i.alias("position"), html.visible(html.elements(markup, "td")).alias("shown")
+    )
     kept = F.filter(F.transform("rows", row), lambda r: (r["position"] > 0) & (F.size(r["shown"]) >= 3))
     rows = spread.select("url", "year", "week", "headers", F.inline(kept))
     # a row without a text for some header has null there, texts beyond the headers are left out
