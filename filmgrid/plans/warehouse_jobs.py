@@ -54,7 +54,7 @@ def initialise(spark: SparkSession, landing: str, warehouse: Warehouse, language
     paths = lambda prefix, extension: readers.file_paths(spark, landing, prefix, extension)
     warehouse.create_all()
     films = readers.read_ordered(spark, paths("raw_movie_details", "ndjson"), "ndjson", schemas.FILM_DETAILS)
-    films = dedup.keep_last(films, ["id"], ["_order", "_position"])
+    films = written(dedup.keep_last(films, ["id"], ["_order", "_position"]), "films")
     people = readers.read_ordered(spark, paths("raw_people", "ndjson"), "ndjson", schemas.PEOPLE_DETAILS)
     people = dedup.keep_last(people, ["id"], ["_order", "_position"])
     collections = readers.read_keyed_json(spark, readers.prefix_glob(landing, "raw_collection_data", "json"), schemas.COLLECTION_DETAILS)
@@ -164,7 +164,7 @@ def weekly_update(spark: SparkSession, landing: str, warehouse: Warehouse, langu
         maintained.apply_changes(warehouse, state, functools.reduce(DataFrame.union, touched), run_time)
     if collection_files:
         raw = readers.read_keyed_json(spark, collection_files, schemas.COLLECTION_DETAILS)
-        new = cleaning.clean_collections(raw)
+        new = written(cleaning.clean_collections(raw), "collections")
         known = warehouse.rows_of("collection", new.select("collection_id")).select("collection_id")
         # known collections stay as they are
         warehouse.upsert("collection", new.join(known, "collection_id", "left_anti"), run_time)

@@ -13,7 +13,7 @@ from filmgrid.plans import warehouse_jobs, worklists
 from filmgrid.registry import Query
 from filmgrid.registry.cleaning import RAW_CHART, RESOLVED, film_details, people_details
 from filmgrid.registry.views import CHART, chart, cte, film_columns, languages, table
-from filmgrid.session import fresh_path
+from filmgrid.session import fresh_path, written
 from filmgrid.sources import readers, writers
 from filmgrid.sources.warehouse import Warehouse
 from filmgrid.streaming.ingest import ingest_files
@@ -28,6 +28,24 @@ EVENTS = schemas.record(
 )
 
 
+#: rows of a table that one task makes records of
+ROWS_A_TASK = 50_000
+
+
+def dealt(spark, folder, keys):
+    """A folder with some tables of another, as ``keys`` has them with their key, in as many files as their rows keep tasks busy.
+
+    A small file is read by one task, however much its rows are made into. Rows of one key stay in one file and in order.
+    """
+    to = fresh_path(spark, "dealt")
+    for name, key in keys.items():
+        rows = table(spark, folder, name)
+        parts = -(-rows.count() // ROWS_A_TASK) or 1
+        placed = rows.withColumn("_place", F.monotonically_increasing_id()).repartition(parts, key)
+        placed.sortWithinPartitions("_place").drop("_place").write.parquet(f"{to}/{name}.parquet")
+    return to
+
+
 def land(spark, df, folder, name):
     """Files of a given name, written in parallel, their format that of the name's ending. Several get a part number each."""
     made = f"{folder}/_made/{name}"
@@ -195,12 +213,13 @@ def weekly_update_two_weeks(spark, folder):
     People change twice in one file, popularity, votes and views fall, a film file of the first week comes late, films
     get other titles, under which the chart does not know them, or drop their videos, and chart rows come again.
     """
-    landing = fresh_path(spark, "landing")
+    landing, tables = fresh_path(spark, "landing"), dealt(spark, folder, {"part": "p_partkey", "customer": "c_custkey"})
+    part, customers, codes = table(spark, tables, "part"), table(spark, tables, "customer"), languages(spark, folder)
     released = film_columns()["release_date"]
-    dates = table(spark, folder, "part").select(F.col("p_partkey").alias("id"), released.cast("string").alias("release_date"))
-    films = film_details(spark, folder).drop("release_date").join(dates, "id")
-    people, customers, charts = people_details(spark, folder), table(spark, folder, "customer"), _one_a_title(chart(spark, folder))
-    part, codes = table(spark, folder, "part"), languages(spark, folder)
+    dates = part.select(F.col("p_partkey").alias("id"), released.cast("string").alias("release_date"))
+    # made once, landed several times
+    films = written(film_details(spark, tables).drop("release_date").join(dates, "id"), "films")
+    people, charts = written(people_details(spark, tables), "people"), written(_one_a_title(chart(spark, folder)), "charts")
     put = lambda df, name: land(spark, df, landing, name)
 
     def counts(where, views):

@@ -5,6 +5,7 @@ import pytest
 
 from filmgrid import schemas
 from filmgrid.plans import warehouse_jobs
+from filmgrid.registry import files as landings
 from filmgrid.session import fresh_path
 from filmgrid.sources import readers, writers
 from filmgrid.sources.warehouse import Warehouse
@@ -314,3 +315,20 @@ def test_bad_lines_are_put_aside(spark, tmp_path):
     assert read_rejects(spark, str(tmp_path / "none")).isEmpty()
     with pytest.raises(ValueError, match="has no id"):
         warehouse.upsert("t", spark.createDataFrame([(None, "x")], "id long, v string"), NOW)
+
+
+def test_a_table_of_one_file_is_dealt_out(spark, tmp_path, monkeypatch):
+    """Texts for landing files are made by as many tasks as a table's rows keep busy; rows of one key stay in order."""
+    monkeypatch.setattr(landings, "ROWS_A_TASK", 10)
+    rows = [(None if i % 17 == 0 else i % 40, f"row {i:03d}") for i in range(120)]
+    spark.createDataFrame(rows, "k long, v string").coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
+    spark.createDataFrame([], "k long").write.parquet(str(tmp_path / "empty.parquet"))
+    folder = landings.dealt(spark, str(tmp_path), {"t": "k", "empty": "k"})
+    assert spark.read.parquet(f"{folder}/empty.parquet").isEmpty()
+    made = spark.read.parquet(f"{folder}/t.parquet").select("k", "v", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("place"))
+    found = made.orderBy("file", "place").collect()
+    assert sorted((r.k or -1, r.v) for r in found) == sorted((k or -1, v) for k, v in rows)
+    assert len({r.file for r in found}) > 4
+    for key in {k for k, _ in rows}:
+        own = [r for r in found if r.k == key]
+        assert len({r.file for r in own}) == 1 and [r.v for r in own] == sorted(r.v for r in own)
